@@ -76,7 +76,7 @@ def bar_index(df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
     """
     s, ts = layout.series, layout.ts
     if layout.mode == "plain":
-        return df.withColumn(IDX, F.row_number().over(_w_series(layout, ts)) - 1)
+        return df.withColumn(IDX, (F.row_number().over(_w_series(layout, ts)) - 1).cast("long"))
     width = layout.bar_seconds * layout.bucket_bars * 1_000_000
     b = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width)).cast("long")
     local = (df.withColumn("_bucket", b)
@@ -91,7 +91,7 @@ def bar_index(df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
     # offsets has one row per (series, bucket): AQE broadcasts it when its
     # measured size is small and keeps a sort-merge join otherwise.
     return (local.join(offsets, [s, "_bucket"])
-            .withColumn(IDX, F.col("_local") + F.col("_off"))
+            .withColumn(IDX, (F.col("_local") + F.col("_off")).cast("long"))
             .drop("_bucket", "_local", "_off"))
 
 
@@ -216,17 +216,17 @@ def linear_scan(df: DataFrame, x: Column | str, alpha: float, out: str, *,
         return df.withColumn(out, F.when(valid, x))
     w = 1.0 - alpha
     B, K = scan_params(alpha)
-    lnw = math.log(w)
+    # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps.
     u = F.when(j == 0, x).when(j > 0, F.lit(alpha) * F.coalesce(x, F.lit(0.0))).otherwise(F.lit(0.0))
     b = F.when(j >= 0, F.floor(j / F.lit(B))).otherwise(F.lit(-1)).cast("long")
     jj = F.when(j >= 0, j - b * F.lit(B)).otherwise(F.lit(0))
     tmp = (df.withColumn("_sb", b).withColumn("_sjj", jj)
-           .withColumn("_sv", u * F.exp(-F.lit(lnw) * F.col("_sjj"))))
+           .withColumn("_sv", u * F.pow(F.lit(w), -F.col("_sjj"))))
 
     def block(wb: Window) -> list[Column]:
         run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return [(F.exp(F.lit(lnw) * F.col("_sjj")) * F.sum("_sv").over(run)).alias("_sloc"),
+        return [(F.pow(F.lit(w), F.col("_sjj")) * F.sum("_sv").over(run)).alias("_sloc"),
                 F.when(F.col("_sb") >= 0, F.sum("_sv").over(whole) * F.lit(w ** (B - 1)))
                 .otherwise(F.lit(0.0)).alias("_slast")]
     tmp = over_series(tmp, block, layout=layout, back=B - 1, ahead=B - 1, extra_keys=["_sb"])
@@ -238,6 +238,6 @@ def linear_scan(df: DataFrame, x: Column | str, alpha: float, out: str, *,
             total = t if total is None else total + t
         return [total.alias("_scarry")]
     tmp = over_series(tmp, carry, layout=layout, back=K * B)
-    y = F.col("_sloc") + F.exp(F.lit(lnw) * (F.col("_sjj") + 1)) * F.col("_scarry")
+    y = F.col("_sloc") + F.pow(F.lit(w), F.col("_sjj") + 1) * F.col("_scarry")
     return (tmp.withColumn(out, F.when(valid, y))
             .drop("_sb", "_sjj", "_sv", "_sloc", "_slast", "_scarry"))
