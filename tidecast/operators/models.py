@@ -46,7 +46,6 @@ def gbt_forecast(train: DataFrame, features: Sequence[str], label: str, *, prese
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="yhat", seed=seed, **p)
     if validation_col:
         gbt.setValidationIndicatorCol(validation_col)
-        gbt.setValidationTol(p.get("validationTol", 0.01))
     return Pipeline(stages=[_vector(features), gbt]).fit(train.where(F.col(label).isNotNull()))
 
 
@@ -170,7 +169,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
 
 def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, *,
                    fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0), preset: str = "xgb",
-                   ts: str = "ts", spark: SparkSession | None = None) -> DataFrame:
+                   ts: str = "ts", spark: SparkSession | None = None, **params) -> DataFrame:
     """MO9: test RMSE when training on growing time prefixes of ``train``, and
     per boosting round on the full training set (``evaluateEachIteration``)."""
     spark = spark or train.sparkSession
@@ -180,13 +179,13 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
     full = None
     for frac, cut in zip(fractions, cuts):
         part = train.where(us <= F.lit(cut))
-        m = gbt_forecast(part, features, label, preset=preset)
+        m = gbt_forecast(part, features, label, preset=preset, **params)
         p = m.transform(test).withColumn("y", F.col(label)).withColumn("model", F.lit("m"))
         rmse = p.groupBy("model").agg(ev.rmse_expr()).first()[1]
         rows.append(("prefix", float(frac), float(rmse) if rmse is not None else None))
         full = m
     assembled = full.stages[0].transform(test.where(F.col(label).isNotNull()))
-    errs = full.stages[-1].evaluateEachIteration(assembled.withColumnRenamed(label, "label"), "squared")
+    errs = full.stages[-1].evaluateEachIteration(assembled, "squared")
     rows += [("round", float(i + 1), float(e) ** 0.5) for i, e in enumerate(errs)]
     return spark.createDataFrame(rows, "curve string, x double, rmse double")
 

@@ -298,7 +298,7 @@ def q_mo8(spark, sf_dir):
 @query("mo9_learning_curve")
 def q_mo9(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return finish(mo.learning_curve(train, test, FEATURES, LABEL, fractions=(0.25, 0.5, 1.0), preset="xgb"))
+    return finish(mo.learning_curve(train, test, FEATURES, LABEL, fractions=(0.25, 0.5, 1.0), preset="xgb", **QUICK))
 
 
 WF_MODELS = va.WalkForward(initial=1200, test=400, gap=1)
