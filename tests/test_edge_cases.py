@@ -25,6 +25,17 @@ def test_clean_bars_rejects_with_reasons(spark):
     assert sorted(r["reason"] for r in rej.collect()) == ["duplicate", "high_below_low", "non_positive_price", "null_price"]
 
 
+def test_clean_bars_hot_duplicate_group(spark):
+    base = ("A", dt.datetime(2024, 1, 1), 1.0, 2.0, 0.5, 1.5, 10.0)
+    rows = [base] * 500 + [("A", dt.datetime(2024, 1, 1), 1.0, 2.0, 0.5, 1.6, 10.0)] * 300 + \
+        [("A", dt.datetime(2024, 1, 1), 1.0, 2.0, 0.5, 1.0, 20.0)] * 2
+    df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, open double, high double, low double, close double, volume double")
+    clean, rej = clean_bars(df)
+    c = clean.collect()
+    assert len(c) == 1 and c[0]["volume"] == 20.0 and c[0]["close"] == 1.0
+    assert sum(r["copies"] for r in rej.collect()) == len(rows) - 1
+
+
 def test_one_row_and_short_series(spark):
     d = bar_index(bars_df(spark, [(0, 1, 1, 1, 1, 1)]), Layout())
     d = ti.sma(d, 3)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.schema import BARS, conform
@@ -27,33 +27,50 @@ def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
 
 
 REJECT_REASONS = ("duplicate", "null_price", "non_positive_price", "high_below_low")
+_VALUES = ("open", "high", "low", "close", "volume")
 
 
 def clean_bars(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """IO2: (clean, rejects).
 
-    Keeps one row per (series, ts): the duplicate kept is the first in the total
-    order (volume desc, close, open, high, low), so the choice is deterministic.
-    Drops rows with a NULL or non-positive price and rows with high < low.
-    ``rejects`` carries a ``reason`` column.  The duplicate window is partitioned
-    by (series, ts): its groups are as small as the duplicates themselves.
+    Validity: NULL or non-positive price, or high < low, rejects a row.
+    Duplicates: one row per (series, ts) is kept, the first valid row in the
+    order (volume desc, close, open, high, low); the other copies are rejected
+    as ``duplicate``.
+
+    No step sorts a (series, ts) group, so a key holding a large share of all
+    rows (many copies) does not land in one task: identical copies collapse
+    in a partially-aggregated hash aggregate (``copies`` counts them), the
+    winner per key is a ``max_by`` aggregate, and rejects are the distinct
+    rows joined to their key's winner (AQE splits a skewed join key).
+    ``rejects`` has the bar columns, ``reason`` and ``copies`` (input rows
+    the reject row stands for).
     """
-    w = Window.partitionBy("series", "ts").orderBy(
-        F.col("volume").desc_nulls_last(), F.col("close").asc_nulls_last(),
-        F.col("open").asc_nulls_last(), F.col("high").asc_nulls_last(),
-        F.col("low").asc_nulls_last())
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
     any_null = prices[0].isNull()
     for p in prices[1:]:
         any_null = any_null | p.isNull()
-    non_pos = F.least(*prices) <= 0
-    reason = (F.when(F.col("_rn") > 1, F.lit("duplicate"))
-              .when(any_null, F.lit("null_price"))
-              .when(non_pos, F.lit("non_positive_price"))
-              .when(F.col("high") < F.col("low"), F.lit("high_below_low")))
-    tagged = bars.withColumn("_rn", F.row_number().over(w)).withColumn("reason", reason).drop("_rn")
-    clean = tagged.where(F.col("reason").isNull()).drop("reason")
-    rejects = tagged.where(F.col("reason").isNotNull())
+    invalid = (F.when(any_null, F.lit("null_price"))
+               .when(F.least(*prices) <= 0, F.lit("non_positive_price"))
+               .when(F.col("high") < F.col("low"), F.lit("high_below_low")))
+    distinct = (bars.groupBy("series", "ts", *_VALUES).agg(F.count(F.lit(1)).alias("copies"))
+                .withColumn("_invalid", invalid))
+    # winner: max of (volume, -close, -open, -high, -low) among valid rows
+    rank_key = F.struct(F.coalesce(F.col("volume"), F.lit(float("-inf"))).alias("v"),
+                        (-F.col("close")).alias("c"), (-F.col("open")).alias("o"),
+                        (-F.col("high")).alias("h"), (-F.col("low")).alias("l"))
+    winners = (distinct.where(F.col("_invalid").isNull())
+               .groupBy("series", "ts")
+               .agg(F.max_by(F.struct(*_VALUES), rank_key).alias("_w")))
+    clean = winners.select("series", "ts", *[F.col(f"_w.{c}").alias(c) for c in _VALUES])
+    tagged = distinct.join(winners, ["series", "ts"], "left")
+    is_winner = F.lit(True)
+    for c in _VALUES:
+        is_winner = is_winner & F.col(c).eqNullSafe(F.col(f"_w.{c}"))
+    reason = F.coalesce(F.col("_invalid"), F.lit("duplicate"))
+    copies = F.when(F.col("_invalid").isNull() & is_winner, F.col("copies") - 1).otherwise(F.col("copies"))
+    rejects = (tagged.select("series", "ts", *_VALUES, reason.alias("reason"), copies.alias("copies"))
+               .where(F.col("copies") > 0))
     return clean, rejects
 
 
@@ -79,16 +96,18 @@ def chart_table(df: DataFrame, x: str, ys: list[str], buckets: int,
                 by: str = "series") -> DataFrame:
     """IO5: plot-ready reduction: per series and x bucket, min / max / last of each y.
 
-    Buckets split each series' x range into ``buckets`` equal widths
-    (``width_bucket``); the per-series range is a small aggregate joined back.
-    Output is at most series × buckets rows, whatever the input size.
+    Buckets split each series' x range into ``buckets`` equal widths with exact
+    integer arithmetic on microseconds: bucket = (x - lo) * n div (hi - lo) + 1,
+    the last edge folded into bucket n.  The per-series range is one row per
+    series, joined back.  Output is at most series × buckets rows, whatever
+    the input size.
     """
-    xs = F.unix_micros(F.col(x).cast("timestamp")).cast("double")
+    xs = F.unix_micros(F.col(x).cast("timestamp"))
     base = df.withColumn("_x", xs)
     rng = base.groupBy(by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    n = F.lit(buckets).cast("long")
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
-        F.least(F.width_bucket(F.col("_x"), F.col("_lo"), F.col("_hi"), F.lit(buckets)),
-                F.lit(buckets)))
+        F.least(F.expr(f"((_x - _lo) * {buckets}) div (_hi - _lo)") + 1, n))
     j = base.join(rng, by).withColumn("bucket", b.cast("int"))
     aggs = [F.min(x).alias("x_first"), F.max(x).alias("x_last")]
     for y in ys:
