@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextvars
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,14 +36,35 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
+# When set, plans use this layout instead of choosing one from the data (used to
+# run the halo path of a query against the same oracle at a small scale).
+FORCED_LAYOUT: contextvars.ContextVar[Layout | None] = contextvars.ContextVar("forced_layout", default=None)
+
+
 def fixture_bars(spark: SparkSession, sf_dir: str, fixture: str = "orders",
                  freq: str | int = "day") -> tuple[DataFrame, Layout]:
     """Bars of a fixture plus the layout chosen for them (one cheap job)."""
     ticks = FIXTURES[fixture](spark, sf_dir)
-    layout = Layout.auto(ticks, bar_seconds=freq_seconds(freq))
+    forced = FORCED_LAYOUT.get()
+    if forced is not None:
+        layout = replace(forced, bar_seconds=freq_seconds(freq))
+    else:
+        layout = Layout.auto(ticks, bar_seconds=freq_seconds(freq))
     return ticks_to_bars(ticks, freq), layout
 
 
+def with_layout(fn, layout: Layout):
+    """A query that builds its plan with ``layout`` forced."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = FORCED_LAYOUT.set(layout)
+        try:
+            return fn(spark, sf_dir)
+        finally:
+            FORCED_LAYOUT.reset(token)
+    run.__doc__ = f"{fn.__doc__ or ''} [{layout.mode} layout, chunks of {layout.chunk_rows} rows]"
+    return run
+
+
 def indexed_bars(spark: SparkSession, sf_dir: str, fixture: str = "orders",
                  freq: str | int = "day") -> tuple[DataFrame, Layout]:
     bars, layout = fixture_bars(spark, sf_dir, fixture, freq)

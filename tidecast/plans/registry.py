@@ -12,4 +12,20 @@ def all_queries():
         except ModuleNotFoundError as e:
             if e.name != mod:
                 raise
-    return dict(catalog.REGISTRY)
+    out = dict(catalog.REGISTRY)
+    # The scale path (halo windows, distributed index, chunked running
+    # aggregates, blocked scans) checked against the same oracles: small chunks
+    # make every sf0.01 series span many chunks and index buckets.
+    from tidecast.operators.ordered import Layout
+    from tidecast.plans.common import with_layout
+    halo = Layout(mode="halo", chunk_rows=256, bucket_bars=64)
+    for name in HALO_CHECKED:
+        fn, sql = out[name]
+        out[f"{name}_halo"] = (with_layout(fn, halo), sql)
+    return out
+
+
+HALO_CHECKED = ("ts3_fill_gaps", "ts4_returns", "ts5_drawdown", "ts6_autocorr", "ts7_summary", "fe2_rolling",
+                "fe3_rolling_quantile", "fe8_target", "fe10_sequence_windows", "ti2_wma", "ti6_stochastic",
+                "ti8_cci", "ti11_mfi", "ti12_obv", "ti14_ema", "ti15_macd", "ti16_rsi", "ti18_adx",
+                "mo4_naive_forecast", "sc2_block_scenario_fan", "flagship_metrics")
