@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.expr import safe_div, warm
 from tidecast.operators.features import frame
-from tidecast.operators.ordered import PLAIN, Layout, ensure_index, linear_scan, over_series, running
+from tidecast.operators.ordered import PLAIN, Layout, ensure_index, linear_scan, linear_scans, over_series, running
 
 # Fixed values of the published formulas.
 CCI_CONSTANT = 0.015
@@ -204,8 +204,8 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, *, col:
     """TI15: line = EMA_fast - EMA_slow (from the slow warm-up on), signal = EMA of
     the line seeded at its first value, histogram = line - signal."""
     d = ensure_index(df, layout)
-    d = linear_scan(d, col, 2.0 / (fast + 1), "_ef", layout=layout)
-    d = linear_scan(d, col, 2.0 / (slow + 1), "_es", layout=layout, min_rows=slow)
+    d = linear_scans(d, [(col, 2.0 / (fast + 1), "_ef", 1), (col, 2.0 / (slow + 1), "_es", slow)],
+                     layout=layout)
     d = d.withColumn("macd", F.col("_ef") - F.col("_es"))
     d = linear_scan(d, "macd", 2.0 / (signal + 1), "macd_signal", layout=layout,
                     start=slow - 1, min_rows=signal)
@@ -220,8 +220,7 @@ def rsi(df: DataFrame, n: int = 14, *, col: str = "close", layout: Layout = PLAI
                     layout=layout, back=1)
     d = d.withColumn("_gain", F.greatest(F.col("_dc"), F.lit(0.0))) \
          .withColumn("_loss", F.greatest(-F.col("_dc"), F.lit(0.0)))
-    d = linear_scan(d, "_gain", 1.0 / n, "_ag", layout=layout, start=1, min_rows=n)
-    d = linear_scan(d, "_loss", 1.0 / n, "_al", layout=layout, start=1, min_rows=n)
+    d = linear_scans(d, [("_gain", 1.0 / n, "_ag", n), ("_loss", 1.0 / n, "_al", n)], layout=layout, start=1)
     ag, al = F.col("_ag"), F.col("_al")
     v = (F.when(ag.isNull() | al.isNull(), F.lit(None).cast("double"))
          .when((ag == 0) & (al == 0), F.lit(None).cast("double"))
@@ -260,9 +259,8 @@ def adx(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
     d = (d.withColumn("_pdm", F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)))
          .withColumn("_mdm", F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)))
          .withColumn("_tr", F.when(has_prev, _true_range(F.col("_pc")))))
-    d = linear_scan(d, "_pdm", 1.0 / n, "_spdm", layout=layout, start=1, min_rows=n)
-    d = linear_scan(d, "_mdm", 1.0 / n, "_smdm", layout=layout, start=1, min_rows=n)
-    d = linear_scan(d, "_tr", 1.0 / n, "_str", layout=layout, start=1, min_rows=n)
+    d = linear_scans(d, [("_pdm", 1.0 / n, "_spdm", n), ("_mdm", 1.0 / n, "_smdm", n),
+                         ("_tr", 1.0 / n, "_str", n)], layout=layout, start=1)
     pdi = F.lit(100.0) * safe_div(F.col("_spdm"), F.col("_str"))
     mdi = F.lit(100.0) * safe_div(F.col("_smdm"), F.col("_str"))
     d = d.withColumn("plus_di", pdi).withColumn("minus_di", mdi)

@@ -199,45 +199,80 @@ def linear_scan(df: DataFrame, x: Column | str, alpha: float, out: str, *,
     The recurrence starts at bar index ``start`` with the seed y = x (the first
     input); rows before it give NULL.  Output is NULL until ``min_rows`` inputs
     have been seen.  A NULL input after the start counts as 0 and gives a NULL
-    output (callers feed clean, gap-free inputs).
+    output (callers feed clean, gap-free inputs).  See ``linear_scans``.
+    """
+    return linear_scans(df, [(x, alpha, out, min_rows)], layout=layout, start=start)
+
+
+def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAIN,
+                 start: int = 0) -> DataFrame:
+    """Several exponential smoothings ``(x, alpha, out, min_rows)`` sharing one
+    start bar, computed in one pass of two bounded windows.
 
     Join-free closed form per block of B rows (j = i - start, b = j div B):
       local_j = w^jj * sum_{k<=j in block} u_k w^-jj_k          (window per (series, b))
       carry_b = sum_{k=1..K} w^(B(k-1)) * last_local_{b-k}       (lag by k*B rows)
       y_j     = local_j + w^(jj+1) * carry_b
-    with u = x at the seed and alpha*x after.  B, K from ``scan_params``.
+    with u = x at the seed and alpha*x after.  B is the smallest block size
+    allowed by any alpha; each smoothing gets its own carry depth K.
     """
-    x = F.col(x) if isinstance(x, str) else x
-    if not 0.0 < alpha <= 1.0:
-        raise ValueError("alpha must be in (0, 1]")
+    norm = []
+    for x, alpha, out, min_rows in specs:
+        x = F.col(x) if isinstance(x, str) else x
+        if not 0.0 < alpha <= 1.0:
+            raise ValueError("alpha must be in (0, 1]")
+        norm.append((x, alpha, out, min_rows))
     j = F.col(IDX) - F.lit(start)
-    valid = x.isNotNull() & (j >= F.lit(min_rows - 1))
-    if alpha == 1.0:
-        return df.withColumn(out, F.when(valid, x))
-    w = 1.0 - alpha
-    B, K = scan_params(alpha)
-    # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps.
-    u = F.when(j == 0, x).when(j > 0, F.lit(alpha) * F.coalesce(x, F.lit(0.0))).otherwise(F.lit(0.0))
+    direct = [sp for sp in norm if sp[1] == 1.0]
+    scanned = [sp for sp in norm if sp[1] < 1.0]
+    tmp = df
+    for x, _a, out, min_rows in direct:
+        tmp = tmp.withColumn(out, F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), x))
+    if not scanned:
+        return tmp
+    B = min(scan_params(a)[0] for _x, a, _o, _m in scanned)
     b = F.when(j >= 0, F.floor(j / F.lit(B))).otherwise(F.lit(-1)).cast("long")
     jj = F.when(j >= 0, j - b * F.lit(B)).otherwise(F.lit(0))
-    tmp = (df.withColumn("_sb", b).withColumn("_sjj", jj)
-           .withColumn("_sv", u * F.pow(F.lit(w), -F.col("_sjj"))))
+    tmp = tmp.withColumn("_sb", b).withColumn("_sjj", jj)
+    # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps.
+    for n, (x, alpha, _out, _m) in enumerate(scanned):
+        w = 1.0 - alpha
+        u = F.when(j == 0, x).when(j > 0, F.lit(alpha) * F.coalesce(x, F.lit(0.0))).otherwise(F.lit(0.0))
+        tmp = tmp.withColumn(f"_sv{n}", u * F.pow(F.lit(w), -F.col("_sjj")))
 
     def block(wb: Window) -> list[Column]:
         run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return [(F.pow(F.lit(w), F.col("_sjj")) * F.sum("_sv").over(run)).alias("_sloc"),
-                F.when(F.col("_sb") >= 0, F.sum("_sv").over(whole) * F.lit(w ** (B - 1)))
-                .otherwise(F.lit(0.0)).alias("_slast")]
+        cols = []
+        for n, (_x, alpha, _out, _m) in enumerate(scanned):
+            w = 1.0 - alpha
+            cols += [(F.pow(F.lit(w), F.col("_sjj")) * F.sum(f"_sv{n}").over(run)).alias(f"_sloc{n}"),
+                     F.when(F.col("_sb") >= 0, F.sum(f"_sv{n}").over(whole) * F.lit(w ** (B - 1)))
+                     .otherwise(F.lit(0.0)).alias(f"_slast{n}")]
+        return cols
     tmp = over_series(tmp, block, layout=layout, back=B - 1, ahead=B - 1, extra_keys=["_sb"])
 
+    k_max = 1
+
     def carry(ws: Window) -> list[Column]:
-        total = None
-        for k in range(1, K + 1):
-            t = F.coalesce(F.lag("_slast", k * B).over(ws), F.lit(0.0)) * F.lit(w ** (B * (k - 1)))
-            total = t if total is None else total + t
-        return [total.alias("_scarry")]
-    tmp = over_series(tmp, carry, layout=layout, back=K * B)
-    y = F.col("_sloc") + F.pow(F.lit(w), F.col("_sjj") + 1) * F.col("_scarry")
-    return (tmp.withColumn(out, F.when(valid, y))
-            .drop("_sb", "_sjj", "_sv", "_sloc", "_slast", "_scarry"))
+        nonlocal k_max
+        cols = []
+        for n, (_x, alpha, _out, _m) in enumerate(scanned):
+            w = 1.0 - alpha
+            K = int(math.ceil(40.0 / (B * -math.log(w)))) + 1
+            k_max = max(k_max, K)
+            total = None
+            for k in range(1, K + 1):
+                t = F.coalesce(F.lag(f"_slast{n}", k * B).over(ws), F.lit(0.0)) * F.lit(w ** (B * (k - 1)))
+                total = t if total is None else total + t
+            cols.append(total.alias(f"_scarry{n}"))
+        return cols
+    k_all = max(int(math.ceil(40.0 / (B * -math.log(1.0 - a)))) + 1 for _x, a, _o, _m in scanned)
+    tmp = over_series(tmp, carry, layout=layout, back=k_all * B)
+    drop = ["_sb", "_sjj"]
+    for n, (x, alpha, out, min_rows) in enumerate(scanned):
+        w = 1.0 - alpha
+        y = F.col(f"_sloc{n}") + F.pow(F.lit(w), F.col("_sjj") + 1) * F.col(f"_scarry{n}")
+        tmp = tmp.withColumn(out, F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), y))
+        drop += [f"_sv{n}", f"_sloc{n}", f"_slast{n}", f"_scarry{n}"]
+    return tmp.drop(*drop)

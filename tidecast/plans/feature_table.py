@@ -19,6 +19,13 @@ from tidecast.plans.common import finish, indexed_bars
 
 def panel_features(spark: SparkSession, sf_dir: str, fixture: str = "lineitem") -> DataFrame:
     d, lay = indexed_bars(spark, sf_dir, fixture, "day")
+    # recurrences first, while rows are narrow: each scan re-sorts its input twice
+    d = ti.ema(d, 20, layout=lay)
+    d = ti.macd(d, layout=lay)
+    d = ti.rsi(d, 14, layout=lay)
+    d = ti.atr(d, 14, layout=lay)
+    d = ti.obv(d, layout=lay)
+    d = tb.drawdown(d, layout=lay)
     d = tb.returns(d, "log", 1, out="lr", layout=lay)
     d = fe.lags(d, "lr", [1, 2, 5], layout=lay)
     d = fe.rolling(d, "close", 20, ["mean", "std", "min", "max"], layout=lay)
@@ -29,12 +36,6 @@ def panel_features(spark: SparkSession, sf_dir: str, fixture: str = "lineitem")
     d = ti.stochastic(d, 14, 3, layout=lay)
     d = ti.vwap(d, 20, layout=lay)
     d = ti.mfi(d, 14, layout=lay)
-    d = ti.obv(d, layout=lay)
-    d = tb.drawdown(d, layout=lay)
-    d = ti.ema(d, 20, layout=lay)
-    d = ti.macd(d, layout=lay)
-    d = ti.rsi(d, 14, layout=lay)
-    d = ti.atr(d, 14, layout=lay)
     d = fe.target(d, 1, "return", layout=lay)
     return finish(fe.calendar(d))
 
