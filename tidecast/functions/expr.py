@@ -31,3 +31,18 @@ def md5_uniform(*parts: Column) -> Column:
     key = F.concat_ws("|", *[p.cast("string") for p in parts])
     digits = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double")
     return digits / F.lit(float(16 ** 13))
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_micros(ts: Column) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ wall-clock value since 1970-01-01 00:00,
+    independent of the session time zone (no TIMESTAMP cast)."""
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts)
+
+
+def ntz_from_micros(us: Column) -> Column:
+    """Inverse of ``ntz_micros``: a TIMESTAMP_NTZ, zone-free."""
+    return F.timestamp_add("MICROSECOND", us, _epoch_ntz())

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.expr import safe_div
+from tidecast.functions.expr import ntz_from_micros, ntz_micros, safe_div
 from tidecast.operators.ordered import IDX, PLAIN, Layout, ensure_index, over_series, running
 
-# Fixed-width bar sizes in seconds (calendar units are truncated by date_trunc).
+# Fixed-width bar sizes in seconds; week and month bars truncate the date.
 FREQ_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -23,12 +23,12 @@ def freq_seconds(freq: str | int) -> int:
 
 
 def bar_start(ts: Column, freq: str | int) -> Column:
-    """Start of the bar holding ``ts`` (TIMESTAMP_NTZ in, TIMESTAMP_NTZ out)."""
-    if isinstance(freq, str):
-        return F.date_trunc(freq, ts).cast("timestamp_ntz")
-    width = freq * 1_000_000
-    micros = F.unix_micros(ts.cast("timestamp"))
-    return F.timestamp_micros(F.floor(micros / F.lit(width)) * F.lit(width)).cast("timestamp_ntz")
+    """Start of the bar holding ``ts`` (TIMESTAMP_NTZ in, TIMESTAMP_NTZ out),
+    computed on the wall clock: no session-time-zone cast anywhere."""
+    if freq in ("week", "month"):
+        return F.trunc(ts.cast("date"), freq).cast("timestamp_ntz")
+    width = freq_seconds(freq) * 1_000_000
+    return ntz_from_micros(F.floor(ntz_micros(ts) / F.lit(width)) * F.lit(width))
 
 
 def ticks_to_bars(ticks: DataFrame, freq: str | int = "day") -> DataFrame:
@@ -74,7 +74,7 @@ def fill_gaps(bars: DataFrame, freq: str | int = "day", *, layout: Layout = PLAI
     if isinstance(freq, str) and freq not in FREQ_SECONDS:
         raise ValueError("fill_gaps needs a fixed-width frequency")
     width = freq_seconds(freq) * 1_000_000
-    n = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(width)).cast("long")
+    n = F.floor(ntz_micros(F.col("ts")) / F.lit(width)).cast("long")
     span = bars.groupBy("series").agg(F.min(n).alias("_lo"), F.max(n).alias("_hi"))
     bk = F.lit(bucket_bars)
     buckets = (span.withColumn("_k", F.explode(F.sequence(
@@ -84,7 +84,7 @@ def fill_gaps(bars: DataFrame, freq: str | int = "day", *, layout: Layout = PLAI
         F.greatest(F.col("_k") * bk, F.col("_lo")),
         F.least((F.col("_k") + 1) * bk - 1, F.col("_hi")))))
         .select("series",
-                F.timestamp_micros(F.col("_n") * F.lit(width)).cast("timestamp_ntz").alias("ts"),
+                ntz_from_micros(F.col("_n") * F.lit(width)).alias("ts"),
                 (F.col("_n") - F.col("_lo")).alias(IDX)))
     j = cal.join(bars.withColumn("_has", F.lit(True)), ["series", "ts"], "left")
     j = running(j, [("_ff", F.col("close"), "last")], layout=layout)
@@ -173,8 +173,7 @@ def summary(df: DataFrame, col: str = "close", *, freq: str | int = "day",
     d = ensure_index(df, layout)
     step = freq_seconds(freq)
     d = over_series(d, lambda w: [F.lag("ts", 1).over(w).alias("_pts")], layout=layout, back=1)
-    gap = (F.unix_micros(F.col("ts").cast("timestamp")) -
-           F.unix_micros(F.col("_pts").cast("timestamp"))) > F.lit(step * 1_000_000)
+    gap = (ntz_micros(F.col("ts")) - ntz_micros(F.col("_pts"))) > F.lit(step * 1_000_000)
     x = F.col(col)
     q = F.percentile_approx(x, list(quantiles), accuracy)
     out = d.groupBy("series").agg(

@@ -18,7 +18,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidecast.functions.expr import md5_uniform
+from tidecast.functions.expr import md5_uniform, ntz_micros
 from tidecast.operators import evaluate as ev
 from tidecast.operators.features import sequence_windows
 from tidecast.operators.ordered import IDX, PLAIN, Layout
@@ -53,7 +53,7 @@ def early_stop(train: DataFrame, features: Sequence[str], label: str, *, val_fra
                preset: str = "xgb", max_iter: int = 200, tol: float = 0.01, ts: str = "ts") -> PipelineModel:
     """MO2: GBT whose last ``val_fraction`` of training time is the validation
     set (chronological, never random)."""
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = ntz_micros(F.col(ts))
     cut = train.agg(F.percentile_approx(us, 1 - val_fraction, 100_000)).first()[0]
     flagged = train.withColumn("_is_val", us > F.lit(cut))
     return gbt_forecast(flagged, features, label, preset=preset, validation_col="_is_val",
@@ -173,7 +173,7 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
     """MO9: test RMSE when training on growing time prefixes of ``train``, and
     per boosting round on the full training set (``evaluateEachIteration``)."""
     spark = spark or train.sparkSession
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = ntz_micros(F.col(ts))
     cuts = train.agg(F.percentile_approx(us, list(fractions), 100_000)).first()[0]
     rows = []
     full = None

@@ -29,6 +29,8 @@ from typing import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import ntz_micros
+
 IDX = "i"  # bar index column name
 
 
@@ -50,8 +52,7 @@ class Layout:
         aggregation).  The bound per series is min(rows, span / bar width + 1),
         so many ticks per bar do not force the halo path.
         """
-        span = (F.unix_micros(F.max(ts).cast("timestamp")) -
-                F.unix_micros(F.min(ts).cast("timestamp"))) / F.lit(bar_seconds * 1_000_000)
+        span = (ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(bar_seconds * 1_000_000)
         per = (df.groupBy(series)
                .agg(F.least(F.count(F.lit(1)), F.floor(span).cast("long") + 1).alias("n")))
         longest = per.agg(F.max("n")).first()[0] or 0
@@ -78,7 +79,7 @@ def bar_index(df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
     if layout.mode == "plain":
         return df.withColumn(IDX, (F.row_number().over(_w_series(layout, ts)) - 1).cast("long"))
     width = layout.bar_seconds * layout.bucket_bars * 1_000_000
-    b = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width)).cast("long")
+    b = F.floor(ntz_micros(F.col(ts)) / F.lit(width)).cast("long")
     local = (df.withColumn("_bucket", b)
              .withColumn("_local", F.row_number().over(
                  Window.partitionBy(s, "_bucket").orderBy(ts)) - 1))

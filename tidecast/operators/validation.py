@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import ntz_micros
 from tidecast.operators.ordered import IDX, Layout, bar_index
 
 STEP = "t"
@@ -30,9 +31,9 @@ def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: st
     """
     if not (0 < train < 1 and 0 <= val < 1 and train + val < 1):
         raise ValueError("need 0 < train, train + val < 1")
-    cal = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")).distinct()
+    cal = df.select(ntz_micros(F.col(ts)).alias("_us")).distinct()
     c1, c2 = cal.agg(F.percentile_approx("_us", [train, train + val], accuracy)).first()[0]
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = ntz_micros(F.col(ts))
     split = (F.when(us <= F.lit(c1), F.lit("train"))
              .when(us <= F.lit(c2), F.lit("val")).otherwise(F.lit("test")))
     return df.withColumn("split", split)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import ntz_micros
 from tidecast.schema import BARS, conform
 
 
@@ -102,7 +103,7 @@ def chart_table(df: DataFrame, x: str, ys: list[str], buckets: int,
     series, joined back.  Output is at most series × buckets rows, whatever
     the input size.
     """
-    xs = F.unix_micros(F.col(x).cast("timestamp"))
+    xs = ntz_micros(F.col(x))
     base = df.withColumn("_x", xs)
     rng = base.groupBy(by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     n = F.lit(buckets).cast("long")

@@ -7,21 +7,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import ntz_from_micros, ntz_micros
 from tidecast.schema import TICKS
 
 
 def stream_bars(ticks_stream: DataFrame, freq: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Streaming OHLCV bars of a TICKS-shaped stream.  Event time must be a
-    TIMESTAMP for watermarks, so ts is cast (session time zone UTC)."""
+    TIMESTAMP for watermarks: the wall clock is carried over as epoch
+    microseconds (zone-free both ways), so windows align with batch bars in
+    any session time zone."""
     t = (ticks_stream.where(F.col("price").isNotNull())
-         .withColumn("ts", F.col("ts").cast("timestamp"))
+         .withColumn("ts", F.timestamp_micros(ntz_micros(F.col("ts"))))
          .withWatermark("ts", delay))
     key = F.struct(F.col("ts"), F.col("seq"), F.col("price"))
     return (t.groupBy(F.col("series"), F.window("ts", freq).alias("w"))
             .agg(F.min_by("price", key).alias("open"), F.max("price").alias("high"),
                  F.min("price").alias("low"), F.max_by("price", key).alias("close"),
                  F.sum(F.coalesce(F.col("qty"), F.lit(0.0))).alias("volume"))
-            .select("series", F.col("w.start").cast("timestamp_ntz").alias("ts"),
+            .select("series", ntz_from_micros(F.unix_micros(F.col("w.start"))).alias("ts"),
                     "open", "high", "low", "close", "volume"))
 
 
