@@ -39,6 +39,7 @@ def main() -> None:
         "walk_forward": "va2_walk_forward",
         "scenario_fan": "sc1_scenario_fan",
         "gbt_fit": "mo1_gbt_forecast",
+        "hybrid": "hybrid_walk_forward_ensemble",
     }
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
 

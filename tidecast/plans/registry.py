@@ -6,7 +6,7 @@ from __future__ import annotations
 def all_queries():
     from tidecast.plans import catalog  # noqa: F401  (registers on import)
     for mod in ("tidecast.plans.flagship", "tidecast.plans.modelling", "tidecast.plans.scenario_plans",
-                "tidecast.plans.feature_table"):
+                "tidecast.plans.feature_table", "tidecast.plans.hybrid"):
         try:
             __import__(mod)
         except ModuleNotFoundError as e:
