@@ -38,9 +38,10 @@ def rolling(df: DataFrame, col: str, n: int, stats: Sequence[str] = ("mean", "st
 
     def build(w):
         f = frame(w, n)
-        cnt = F.count(col).over(f)
-        return [warm(cnt, n, ROLLING_STATS[s](col).over(f)).alias(f"{col}_{s}{n}") for s in stats]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count(col).over(f).alias("_n")] + [ROLLING_STATS[s](col).over(f).alias(f"_r_{s}") for s in stats]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    return d.select("*", *[warm(F.col("_n"), n, F.col(f"_r_{s}")).alias(f"{col}_{s}{n}") for s in stats]) \
+        .drop("_n", *[f"_r_{s}" for s in stats])
 
 
 def rolling_quantile(df: DataFrame, col: str, n: int, qs: Sequence[float] = (0.5,),
@@ -63,9 +64,11 @@ def zscore(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFr
 
     def build(w):
         f = frame(w, n)
-        z = safe_div(F.col(col) - F.avg(col).over(f), F.stddev_pop(col).over(f))
-        return [warm(F.count(col).over(f), n, z).alias(f"{col}_z{n}")]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_m"),
+                F.stddev_pop(col).over(f).alias("_sd")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    z = safe_div(F.col(col) - F.col("_m"), F.col("_sd"))
+    return d.withColumn(f"{col}_z{n}", warm(F.col("_n"), n, z)).drop("_n", "_m", "_sd")
 
 
 def rolling_trend(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFrame:
@@ -74,11 +77,12 @@ def rolling_trend(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) ->
 
     def build(w):
         f = frame(w, n)
-        cnt = F.count(col).over(f)
         ii = F.col(IDX).cast("double")
-        return [warm(cnt, n, F.regr_slope(col, ii).over(f)).alias(f"{col}_slope{n}"),
-                warm(cnt, n, F.regr_r2(col, ii).over(f)).alias(f"{col}_r2_{n}")]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count(col).over(f).alias("_n"), F.regr_slope(col, ii).over(f).alias("_slope"),
+                F.regr_r2(col, ii).over(f).alias("_r2")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    return (d.withColumn(f"{col}_slope{n}", warm(F.col("_n"), n, F.col("_slope")))
+            .withColumn(f"{col}_r2_{n}", warm(F.col("_n"), n, F.col("_r2"))).drop("_n", "_slope", "_r2"))
 
 
 def rolling_corr(df: DataFrame, a: str, b: str, n: int, *, layout: Layout = PLAIN) -> DataFrame:

@@ -66,16 +66,17 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2.0, *, col: str = "close",
     """TI4: middle (SMA), upper / lower = middle ± k·population std, width, %B."""
     d = ensure_index(df, layout)
 
-    def build(w):
+    def build(w):  # each window aggregate once; outputs derive from the columns
         f = frame(w, n)
-        cnt = F.count(col).over(f)
-        mid, sd = F.avg(col).over(f), F.stddev_pop(col).over(f)
-        up, lo = mid + F.lit(k) * sd, mid - F.lit(k) * sd
-        return [warm(cnt, n, mid).alias("bb_mid"), warm(cnt, n, up).alias("bb_up"),
-                warm(cnt, n, lo).alias("bb_lo"),
-                warm(cnt, n, safe_div(up - lo, mid)).alias("bb_width"),
-                warm(cnt, n, safe_div(F.col(col) - lo, up - lo)).alias("bb_pctb")]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_mid"),
+                F.stddev_pop(col).over(f).alias("_sd")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    cnt, mid, sd = F.col("_n"), F.col("_mid"), F.col("_sd")
+    up, lo = mid + F.lit(k) * sd, mid - F.lit(k) * sd
+    return d.select("*", warm(cnt, n, mid).alias("bb_mid"), warm(cnt, n, up).alias("bb_up"),
+                    warm(cnt, n, lo).alias("bb_lo"),
+                    warm(cnt, n, safe_div(up - lo, mid)).alias("bb_width"),
+                    warm(cnt, n, safe_div(F.col(col) - lo, up - lo)).alias("bb_pctb")).drop("_n", "_mid", "_sd")
 
 
 def donchian(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame:
@@ -84,11 +85,12 @@ def donchian(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame
 
     def build(w):
         f = frame(w, n)
-        cnt = F.count("close").over(f)
-        hh, ll = F.max("high").over(f), F.min("low").over(f)
-        return [warm(cnt, n, hh).alias("dc_high"), warm(cnt, n, ll).alias("dc_low"),
-                warm(cnt, n, (hh + ll) / 2).alias("dc_mid")]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
+                F.min("low").over(f).alias("_ll")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    cnt, hh, ll = F.col("_n"), F.col("_hh"), F.col("_ll")
+    return d.select("*", warm(cnt, n, hh).alias("dc_high"), warm(cnt, n, ll).alias("dc_low"),
+                    warm(cnt, n, (hh + ll) / 2).alias("dc_mid")).drop("_n", "_hh", "_ll")
 
 
 def stochastic(df: DataFrame, n: int = 14, m: int = 3, *, layout: Layout = PLAIN) -> DataFrame:
@@ -97,10 +99,12 @@ def stochastic(df: DataFrame, n: int = 14, m: int = 3, *, layout: Layout = PLAIN
 
     def k_build(w):
         f = frame(w, n)
-        hh, ll = F.max("high").over(f), F.min("low").over(f)
-        k = F.lit(100.0) * safe_div(F.col("close") - ll, hh - ll)
-        return [warm(F.count("close").over(f), n, k).alias("stoch_k")]
+        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
+                F.min("low").over(f).alias("_ll")]
     d = over_series(d, k_build, layout=layout, back=n - 1)
+    hh, ll = F.col("_hh"), F.col("_ll")
+    k = F.lit(100.0) * safe_div(F.col("close") - ll, hh - ll)
+    d = d.withColumn("stoch_k", warm(F.col("_n"), n, k)).drop("_n", "_hh", "_ll")
 
     def d_build(w):
         f = frame(w, m)
@@ -114,10 +118,12 @@ def williams_r(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFra
 
     def build(w):
         f = frame(w, n)
-        hh, ll = F.max("high").over(f), F.min("low").over(f)
-        v = F.lit(-100.0) * safe_div(hh - F.col("close"), hh - ll)
-        return [warm(F.count("close").over(f), n, v).alias(f"willr{n}")]
-    return over_series(d, build, layout=layout, back=n - 1)
+        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
+                F.min("low").over(f).alias("_ll")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    hh, ll = F.col("_hh"), F.col("_ll")
+    v = F.lit(-100.0) * safe_div(hh - F.col("close"), hh - ll)
+    return d.withColumn(f"willr{n}", warm(F.col("_n"), n, v)).drop("_n", "_hh", "_ll")
 
 
 def cci(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame:
@@ -165,13 +171,15 @@ def mfi(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
 
     def build(w):
         f = frame(w, n)
-        pf = F.sum(F.when(F.col("_tp") > F.col("_ptp"), flow).otherwise(0.0)).over(f)
-        nf = F.sum(F.when(F.col("_tp") < F.col("_ptp"), flow).otherwise(0.0)).over(f)
-        v = (F.when((pf == 0) & (nf == 0), F.lit(None).cast("double"))
-             .when(nf == 0, F.lit(100.0))
-             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + pf / nf)))
-        return [warm(F.count("_ptp").over(f), n, v).alias(f"mfi{n}")]
-    return over_series(d, build, layout=layout, back=n - 1).drop("_tp", "_ptp")
+        return [F.sum(F.when(F.col("_tp") > F.col("_ptp"), flow).otherwise(0.0)).over(f).alias("_pf"),
+                F.sum(F.when(F.col("_tp") < F.col("_ptp"), flow).otherwise(0.0)).over(f).alias("_nf"),
+                F.count("_ptp").over(f).alias("_n")]
+    d = over_series(d, build, layout=layout, back=n - 1)
+    pf, nf = F.col("_pf"), F.col("_nf")
+    v = (F.when((pf == 0) & (nf == 0), F.lit(None).cast("double"))
+         .when(nf == 0, F.lit(100.0))
+         .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + pf / nf)))
+    return d.withColumn(f"mfi{n}", warm(F.col("_n"), n, v)).drop("_tp", "_ptp", "_pf", "_nf", "_n")
 
 
 def obv(df: DataFrame, *, layout: Layout = PLAIN) -> DataFrame:
