@@ -109,3 +109,17 @@ def test_stream_bars_equal_batch_on_closed_windows(spark, tmp_path):
         s = streamed[(r["series"], r["ts"])]
         for c in ("open", "high", "low", "close", "volume"):
             assert s[c] == pytest.approx(r[c])
+
+
+def test_layout_rule():
+    from tidecast.operators.ordered import choose_layout
+    # small data: plain
+    assert choose_layout(2_400, 12_000, 8)[0] == "plain"
+    # one series beyond a task's limit: halo
+    assert choose_layout(3_000_000, 3_000_000, 8)[0] == "halo"
+    # five long series on a large cluster: halo, chunks sized for ~2 per core
+    mode, chunk = choose_layout(20_000_000, 100_000_000, 4000)
+    assert mode == "halo" and chunk == 1 << 16
+    # many short series: plain even when the total is huge
+    assert choose_layout(5_000, 10_000_000_000, 4000)[0] == "plain"
+    assert choose_layout(300_000, 100_000_000, 8)[1] == 1 << 20

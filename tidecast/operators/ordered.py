@@ -45,18 +45,22 @@ class Layout:
 
     @staticmethod
     def auto(df: DataFrame, *, bar_seconds: int = 86400, max_plain_rows: int = 2_000_000,
-             series: str = "series", ts: str = "ts", **kw) -> "Layout":
-        """Choose plain windows unless some series may exceed ``max_plain_rows`` bars.
+             min_halo_rows: int = 262_144, series: str = "series", ts: str = "ts", **kw) -> "Layout":
+        """Choose the layout from per-series row bounds (one cheap aggregate job
+        reading only the series and ts columns, partially aggregated).
 
-        One cheap aggregate job (reads only the series and ts columns; partial
-        aggregation).  The bound per series is min(rows, span / bar width + 1),
-        so many ticks per bar do not force the halo path.
+        The bound per series is min(rows, span / bar width + 1), so many ticks
+        per bar do not count.  See ``choose_layout`` for the rule.
         """
         span = (ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(bar_seconds * 1_000_000)
         per = (df.groupBy(series)
                .agg(F.least(F.count(F.lit(1)), F.floor(span).cast("long") + 1).alias("n")))
-        longest = per.agg(F.max("n")).first()[0] or 0
-        mode = "plain" if longest <= max_plain_rows else "halo"
+        row = per.agg(F.max("n"), F.sum("n")).first()
+        longest, total = int(row[0] or 0), int(row[1] or 0)
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        mode, chunk = choose_layout(longest, total, parallelism, max_plain_rows=max_plain_rows,
+                                    min_halo_rows=min_halo_rows)
+        kw.setdefault("chunk_rows", chunk)
         return Layout(mode=mode, series=series, ts=ts, bar_seconds=bar_seconds, **kw)
 
     def with_mode(self, mode: str, **kw) -> "Layout":
@@ -66,6 +70,23 @@ class Layout:
 PLAIN = Layout()
 
 
+def choose_layout(longest: int, total: int, parallelism: int, *, max_plain_rows: int = 2_000_000,
+                  min_halo_rows: int = 262_144) -> tuple[str, int]:
+    """(mode, chunk_rows) for series whose longest holds ``longest`` of ``total`` rows.
+
+    Halo when the longest series is too long for one task (> ``max_plain_rows``),
+    or when it is big enough to matter (> ``min_halo_rows``) and more than twice
+    a fair task share (total / parallelism): with few long series the plain
+    layout would leave most cores idle.  Chunks aim at about two per core,
+    between 64k and 1M rows.
+    """
+    share = max(1, total // max(1, parallelism))
+    halo = longest > max_plain_rows or (longest > min_halo_rows and longest > 2 * share)
+    target = max(1, total // max(1, 2 * parallelism))
+    chunk = 1 << max(16, min(20, (target - 1).bit_length()))
+    return ("halo" if halo else "plain"), chunk
+
+
 def _w_series(layout: Layout, order: str) -> Window:
     return Window.partitionBy(layout.series).orderBy(order)
 
