@@ -123,3 +123,24 @@ def test_layout_rule():
     # many short series: plain even when the total is huge
     assert choose_layout(5_000, 10_000_000_000, 4000)[0] == "plain"
     assert choose_layout(300_000, 100_000_000, 8)[1] == 1 << 20
+
+
+def test_hot_series_auto_layout(spark):
+    """One series with about a third of all ticks: the auto rule picks the halo
+    layout (thresholds lowered to the fixture's size) and results equal plain."""
+    from pyspark.sql import functions as F
+    ticks = FIXTURES["lineitem"](spark, SF001)
+    hot = ticks.withColumn("series", F.when(F.col("series").cast("long") % 3 == 0, F.lit("hot"))
+                           .otherwise(F.col("series")))
+    bars = tb.ticks_to_bars(hot, "day").cache()
+    lay = Layout.auto(hot, bar_seconds=86400, max_plain_rows=400, min_halo_rows=100)
+    assert lay.mode == "halo"
+    lay = lay.with_mode("halo", chunk_rows=128, bucket_bars=32)
+    plain = {(r["series"], r["ts"]): r for r in feature_table(bars, Layout()).collect()}
+    halo = feature_table(bars, lay).collect()
+    bars.unpersist()
+    assert len(halo) == len(plain)
+    for r in halo:
+        p = plain[(r["series"], r["ts"])]
+        for k in r.asDict():
+            assert _close(r[k], p[k]), (k, r[k], p[k])
