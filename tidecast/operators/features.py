@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import safe_div, warm
-from tidecast.operators.bars import pair_corr
 from tidecast.operators.ordered import IDX, PLAIN, Layout, ensure_index, over_series
 
 

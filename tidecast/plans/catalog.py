@@ -6,12 +6,11 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidecast.operators import bars as tb
 from tidecast.operators import features as fe
 from tidecast.operators import indicators as ti
-from tidecast.plans.common import TICKS_SQL, bars_sql, finish, fixture_bars, indexed_bars, r, with_bars
+from tidecast.plans.common import bars_sql, finish, fixture_bars, indexed_bars, r, with_bars
 from tidecast.sources import io
 from tidecast.sources.tables import FIXTURES
 

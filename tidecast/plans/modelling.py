@@ -15,7 +15,7 @@ from tidecast.operators import models as mo
 from tidecast.operators import validation as va
 from tidecast.operators.naive import naive_forecast
 from tidecast.plans.catalog import query
-from tidecast.plans.common import finish, indexed_bars, r, rsql, with_bars
+from tidecast.plans.common import finish, indexed_bars, r, with_bars
 from tidecast.plans.flagship import METRICS_SELECT
 from tidecast.session import checkpoint_dir, cut_lineage
 from tidecast.sources import io
@@ -69,10 +69,6 @@ def q_io3(spark, sf_dir):
     return finish(back.select("model", "fold", "series", "ts", "horizon", "y", "yhat"))
 
 
-def _metric_sql(expr_name_pairs) -> str:
-    return ", ".join(r(e, n) for e, n in expr_name_pairs)
-
-
 PAIR = "y IS NOT NULL AND yhat IS NOT NULL"
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import functions as F
-
 from tidecast.operators import scenarios as sc
 from tidecast.plans.catalog import query
 from tidecast.plans.common import bars_sql, finish, indexed_bars, r, with_bars
