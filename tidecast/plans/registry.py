@@ -25,7 +25,11 @@ def all_queries():
     return out
 
 
-HALO_CHECKED = ("ts3_fill_gaps", "ts4_returns", "ts5_drawdown", "ts6_autocorr", "ts7_summary", "fe2_rolling",
-                "fe3_rolling_quantile", "fe8_target", "fe10_sequence_windows", "ti2_wma", "ti6_stochastic",
-                "ti8_cci", "ti11_mfi", "ti12_obv", "ti14_ema", "ti15_macd", "ti16_rsi", "ti18_adx",
-                "mo4_naive_forecast", "sc2_block_scenario_fan", "flagship_metrics")
+HALO_CHECKED = ("ts3_fill_gaps", "ts4_returns", "ts5_drawdown", "ts5_max_drawdown", "ts6_autocorr", "ts7_summary",
+                "fe1_lags", "fe2_rolling", "fe3_rolling_quantile", "fe4_zscore", "fe5_rolling_trend",
+                "fe6_rolling_corr", "fe8_target", "fe10_sequence_windows",
+                "ti1_sma", "ti2_wma", "ti3_roc", "ti4_bollinger", "ti5_donchian", "ti6_stochastic", "ti7_williams_r",
+                "ti8_cci", "ti9_vwap", "ti10_cmf", "ti11_mfi", "ti12_obv", "ti13_adl", "ti14_ema", "ti15_macd",
+                "ti16_rsi", "ti17_atr", "ti18_adx", "mo4_naive_forecast", "mo5_ensemble_weighted",
+                "ev7_interval_coverage", "sc1_scenario_fan", "sc2_block_scenario_fan", "sc3_threshold_probability",
+                "flagship_metrics")
