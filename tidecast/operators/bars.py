@@ -161,26 +161,29 @@ def autocorr(df: DataFrame, col: str, lags: list[int], *, layout: Layout = PLAIN
 
 
 def summary(df: DataFrame, col: str = "close", *, freq: str | int = "day",
-            layout: Layout = PLAIN, quantiles=(0.25, 0.5, 0.75),
-            accuracy: int = 100_000) -> DataFrame:
+            layout: Layout = PLAIN, quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """TS7: per-series count, mean, sample std, population skewness, excess
-    kurtosis, min, max, quantiles and gap count (steps longer than one bar).
+    kurtosis, min, max, exact nearest-rank quantiles and gap count (steps
+    longer than one bar).
 
-    Quantiles use ``percentile_approx`` so the per-series state is a bounded
-    sketch: exact (nearest rank) while a series has at most ``accuracy`` rows,
-    rank error at most rows/accuracy beyond that.  Everything else is exact.
+    Moments come from one partially-aggregated hash aggregate; quantiles from
+    ``exact_quantiles`` (bounded memory per series, exact at any size).
     """
+    from tidecast.operators.quantiles import exact_quantiles
+
     d = ensure_index(df, layout)
     step = freq_seconds(freq)
     d = over_series(d, lambda w: [F.lag("ts", 1).over(w).alias("_pts")], layout=layout, back=1)
     gap = (ntz_micros(F.col("ts")) - ntz_micros(F.col("_pts"))) > F.lit(step * 1_000_000)
     x = F.col(col)
-    q = F.percentile_approx(x, list(quantiles), accuracy)
     out = d.groupBy("series").agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt"),
-        F.min(x).alias("min"), F.max(x).alias("max"), q.alias("_q"),
+        F.min(x).alias("min"), F.max(x).alias("max"),
         F.count(F.when(gap, 1)).alias("gaps"))
-    for j, p in enumerate(quantiles):
-        out = out.withColumn(f"q{int(round(p * 100)):02d}", F.col("_q")[j])
-    return out.drop("_q")
+    names = {float(p): f"q{int(round(p * 100)):02d}" for p in quantiles}
+    q = (exact_quantiles(d, col, list(quantiles), by=["series"])
+         .groupBy("series").pivot("p", list(names)).agg(F.first("value")))
+    for p, name in names.items():
+        q = q.withColumnRenamed(str(p), name)
+    return out.join(q, "series", "left")

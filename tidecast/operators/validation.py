@@ -20,19 +20,20 @@ from tidecast.operators.ordered import IDX, Layout, bar_index
 STEP = "t"
 
 
-def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: str = "ts",
-                 accuracy: int = 100_000) -> DataFrame:
+def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: str = "ts") -> DataFrame:
     """VA1: add ``split`` in {train, val, test} by time.
 
-    Cut points are nearest-rank quantiles of the distinct timestamps
-    (``percentile_approx``: a bounded sketch; exact while there are at most
-    ``accuracy`` distinct timestamps).  train: ts <= c1, val: c1 < ts <= c2,
-    test: ts > c2.  Only the two cut instants reach the driver.
+    Cut points are exact nearest-rank quantiles of the distinct timestamps
+    (``exact_quantiles``): train: ts <= c1, val: c1 < ts <= c2, test: ts > c2.
+    Only the two cut instants reach the driver.
     """
+    from tidecast.operators.quantiles import exact_quantiles
+
     if not (0 < train < 1 and 0 <= val < 1 and train + val < 1):
         raise ValueError("need 0 < train, train + val < 1")
     cal = df.select(ntz_micros(F.col(ts)).alias("_us")).distinct()
-    c1, c2 = cal.agg(F.percentile_approx("_us", [train, train + val], accuracy)).first()[0]
+    cuts = {r["p"]: int(r["value"]) for r in exact_quantiles(cal, "_us", [train, train + val]).collect()}
+    c1, c2 = cuts[float(train)], cuts[float(train + val)]
     us = ntz_micros(F.col(ts))
     split = (F.when(us <= F.lit(c1), F.lit("train"))
              .when(us <= F.lit(c2), F.lit("val")).otherwise(F.lit("test")))
