@@ -58,8 +58,12 @@ def rolling_quantile(df: DataFrame, col: str, n: int, qs: Sequence[float] = (0.5
 
 
 def zscore(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFrame:
-    """FE4: (x - rolling mean) / rolling population std; NULL when std = 0."""
+    """FE4: (x - rolling mean) / rolling population std; NULL when std = 0.
+    Reuses ``{col}_mean{n}`` / ``{col}_std{n}`` from ``rolling`` when present."""
     d = ensure_index(df, layout)
+    mean, std = f"{col}_mean{n}", f"{col}_std{n}"
+    if mean in d.columns and std in d.columns:  # reuse ``rolling`` output (same warm-up mask)
+        return d.withColumn(f"{col}_z{n}", safe_div(F.col(col) - F.col(mean), F.col(std)))
 
     def build(w):
         f = frame(w, n)

@@ -63,14 +63,20 @@ def roc(df: DataFrame, n: int, *, col: str = "close", layout: Layout = PLAIN) ->
 
 def bollinger(df: DataFrame, n: int = 20, k: float = 2.0, *, col: str = "close",
               layout: Layout = PLAIN) -> DataFrame:
-    """TI4: middle (SMA), upper / lower = middle ± k·population std, width, %B."""
+    """TI4: middle (SMA), upper / lower = middle ± k·population std, width, %B.
+    Reuses ``{col}_mean{n}`` / ``{col}_std{n}`` from ``rolling`` when present."""
     d = ensure_index(df, layout)
 
-    def build(w):  # each window aggregate once; outputs derive from the columns
-        f = frame(w, n)
-        return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_mid"),
-                F.stddev_pop(col).over(f).alias("_sd")]
-    d = over_series(d, build, layout=layout, back=n - 1)
+    mean, std = f"{col}_mean{n}", f"{col}_std{n}"
+    if mean in d.columns and std in d.columns:  # reuse ``rolling`` output (same warm-up mask)
+        d = d.withColumn("_n", F.when(F.col(mean).isNotNull(), F.lit(n)).otherwise(F.lit(0))) \
+             .withColumn("_mid", F.col(mean)).withColumn("_sd", F.col(std))
+    else:
+        def build(w):  # each window aggregate once; outputs derive from the columns
+            f = frame(w, n)
+            return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_mid"),
+                    F.stddev_pop(col).over(f).alias("_sd")]
+        d = over_series(d, build, layout=layout, back=n - 1)
     cnt, mid, sd = F.col("_n"), F.col("_mid"), F.col("_sd")
     up, lo = mid + F.lit(k) * sd, mid - F.lit(k) * sd
     return d.select("*", warm(cnt, n, mid).alias("bb_mid"), warm(cnt, n, up).alias("bb_up"),
