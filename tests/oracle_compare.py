@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v  # strict: both engines round identically, so raw values must match
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):

@@ -20,7 +20,8 @@ def rnd_half(c, digits: int = DIGITS):
     """round(x * 10^d) / 10^d: the same IEEE steps in every engine, so exact
     decimal ties (e.g. sums divided by 8) round the same way everywhere."""
     scale = float(10 ** digits)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+    v = F.round(c * F.lit(scale), 0) / F.lit(scale)
+    return F.when(v == 0, F.lit(0.0)).otherwise(v)  # one zero: -0.0 and 0.0 hash differently
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -103,7 +104,8 @@ def r(expr: str, name: str, digits: int = DIGITS) -> str:
 
 
 def rsql(expr: str, digits: int = DIGITS) -> str:
-    return f"(round(({expr}) * {float(10 ** digits)!r}) / {float(10 ** digits)!r})"
+    v = f"(round(({expr}) * {float(10 ** digits)!r}) / {float(10 ** digits)!r})"
+    return f"(CASE WHEN {v} = 0 THEN CAST(0 AS DOUBLE) ELSE {v} END)"
 
 
 def nan_null(expr: str) -> str:

@@ -17,7 +17,7 @@ from tidecast.operators import indicators as ti
 from tidecast.operators.features import frame
 from tidecast.operators.ordered import over_series
 from tidecast.plans.catalog import query
-from tidecast.plans.common import finish, indexed_bars, with_bars
+from tidecast.plans.common import finish, indexed_bars, rsql, with_bars
 
 SMA_N = 20
 
@@ -60,15 +60,15 @@ p AS (SELECT 'last' AS model, series, y, close AS yhat FROM f WHERE tts IS NOT N
 
 
 # metrics SELECT shared by evaluation oracles: {src} table, {keys} group keys
-METRICS_SELECT = """SELECT {keys}, count(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN 1 END) AS n,
-  round(sqrt(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN (y - yhat) * (y - yhat) END)) * 1e6) / 1e6 AS rmse,
-  round(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN abs(y - yhat) END) * 1e6) / 1e6 AS mae,
-  round(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL AND y <> 0 THEN abs((y - yhat) / y) END) * 100 * 1e6) / 1e6 AS mape,
-  count(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL AND y = 0 THEN 1 END) AS mape_excluded,
-  round((1 - sum(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN (y - yhat) * (y - yhat) END)
-    / NULLIF(regr_syy(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN y END,
-                      CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN yhat END), 0)) * 1e6) / 1e6 AS r2
-FROM {src} GROUP BY {keys}"""
+METRICS_SELECT = ("SELECT {keys}, count(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN 1 END) AS n, "
+                  + rsql("sqrt(avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN (y - yhat) * (y - yhat) END))") + " AS rmse, "
+                  + rsql("avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN abs(y - yhat) END)") + " AS mae, "
+                  + rsql("avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL AND y <> 0 THEN abs((y - yhat) / y) END) * 100") + " AS mape, "
+                  + "count(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL AND y = 0 THEN 1 END) AS mape_excluded, "
+                  + rsql("1 - sum(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN (y - yhat) * (y - yhat) END)"
+                         " / NULLIF(regr_syy(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN y END,"
+                         " CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN yhat END), 0)") + " AS r2 "
+                  + "FROM {src} GROUP BY {keys}")
 
 
 @query("flagship_metrics", _flagship_sql())
