@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tidecast.functions.expr import ntz_micros
 
 IDX = "i"  # bar index column name
+_BOUNDS: dict[tuple, tuple[int, int]] = {}  # (plan hash, series, ts, bar width) -> (longest, total)
 
 
 @dataclass(frozen=True)
@@ -50,13 +51,18 @@ class Layout:
         reading only the series and ts columns, partially aggregated).
 
         The bound per series is min(rows, span / bar width + 1), so many ticks
-        per bar do not count.  See ``choose_layout`` for the rule.
+        per bar do not count.  See ``choose_layout`` for the rule.  The bounds
+        are remembered per source plan for the session: a layout only changes
+        speed, never results, so a stale decision cannot make an answer wrong.
         """
-        span = (ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(bar_seconds * 1_000_000)
-        per = (df.groupBy(series)
-               .agg(F.least(F.count(F.lit(1)), F.floor(span).cast("long") + 1).alias("n")))
-        row = per.agg(F.max("n"), F.sum("n")).first()
-        longest, total = int(row[0] or 0), int(row[1] or 0)
+        key = (df.semanticHash(), series, ts, bar_seconds)
+        if key not in _BOUNDS:
+            span = (ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / F.lit(bar_seconds * 1_000_000)
+            per = (df.groupBy(series)
+                   .agg(F.least(F.count(F.lit(1)), F.floor(span).cast("long") + 1).alias("n")))
+            row = per.agg(F.max("n"), F.sum("n")).first()
+            _BOUNDS[key] = (int(row[0] or 0), int(row[1] or 0))
+        longest, total = _BOUNDS[key]
         parallelism = df.sparkSession.sparkContext.defaultParallelism
         mode, chunk = choose_layout(longest, total, parallelism, max_plain_rows=max_plain_rows,
                                     min_halo_rows=min_halo_rows)
