@@ -19,7 +19,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     os.environ.setdefault("TIDECAST_MASTER", f"local[{cpus}]")
-    os.environ.setdefault("TIDECAST_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2)))
+    os.environ.setdefault("TIDECAST_SHUFFLE_PARTITIONS", str(max(1, int(cpus))))  # one partition per core at this size
 
     from tidecast.plans.registry import all_queries
     from tidecast.session import checkpoint_dir, get_session
