@@ -35,9 +35,10 @@ def ticks_to_bars(ticks: DataFrame, freq: str | int = "day") -> DataFrame:
     """TS1: OHLCV per series and bar.
 
     Open / close are the first / last tick in the total order (ts, seq, price);
-    putting the price last makes any remaining ties harmless.  One hash-partitioned
-    aggregate on (series, bar) with map-side partial aggregation: a hot series is
-    spread over its many bars, never held by one task.
+    putting the price last makes any remaining ties harmless.  One aggregate,
+    hash-partitioned on (series, bar), with map-side partial aggregation: a hot
+    series is spread over its many bars, never held by one task.  (The struct
+    ordering key makes it a sort-based aggregate.)
     """
     key = F.struct(F.col("ts"), F.col("seq"), F.col("price"))
     t = ticks.where(F.col("price").isNotNull()).withColumn("_bar", bar_start(F.col("ts"), freq))
