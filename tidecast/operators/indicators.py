@@ -232,8 +232,8 @@ def rsi(df: DataFrame, n: int = 14, *, col: str = "close", layout: Layout = PLAI
     d = ensure_index(df, layout)
     d = over_series(d, lambda w: [(F.col(col) - F.lag(col, 1).over(w)).alias("_dc")],
                     layout=layout, back=1)
-    d = d.withColumn("_gain", F.greatest(F.col("_dc"), F.lit(0.0))) \
-         .withColumn("_loss", F.greatest(-F.col("_dc"), F.lit(0.0)))
+    d = d.withColumns({"_gain": F.greatest(F.col("_dc"), F.lit(0.0)),
+                       "_loss": F.greatest(-F.col("_dc"), F.lit(0.0))})
     d = linear_scans(d, [("_gain", 1.0 / n, "_ag", n), ("_loss", 1.0 / n, "_al", n)], layout=layout, start=1)
     ag, al = F.col("_ag"), F.col("_al")
     v = (F.when(ag.isNull() | al.isNull(), F.lit(None).cast("double"))
@@ -270,14 +270,14 @@ def adx(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
                     layout=layout, back=1)
     up, down = F.col("high") - F.col("_ph"), F.col("_pl") - F.col("low")
     has_prev = F.col("_pc").isNotNull()
-    d = (d.withColumn("_pdm", F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)))
-         .withColumn("_mdm", F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)))
-         .withColumn("_tr", F.when(has_prev, _true_range(F.col("_pc")))))
+    d = d.withColumns({"_pdm": F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)),
+                       "_mdm": F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)),
+                       "_tr": F.when(has_prev, _true_range(F.col("_pc")))})
     d = linear_scans(d, [("_pdm", 1.0 / n, "_spdm", n), ("_mdm", 1.0 / n, "_smdm", n),
                          ("_tr", 1.0 / n, "_str", n)], layout=layout, start=1)
     pdi = F.lit(100.0) * safe_div(F.col("_spdm"), F.col("_str"))
     mdi = F.lit(100.0) * safe_div(F.col("_smdm"), F.col("_str"))
-    d = d.withColumn("plus_di", pdi).withColumn("minus_di", mdi)
+    d = d.withColumns({"plus_di": pdi, "minus_di": mdi})
     # DX is 0 when there is no directional movement at all (+DI + -DI = 0).
     dsum = F.col("plus_di") + F.col("minus_di")
     dx = F.when(dsum == 0, F.lit(0.0)).otherwise(

@@ -254,19 +254,22 @@ def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAI
     direct = [sp for sp in norm if sp[1] == 1.0]
     scanned = [sp for sp in norm if sp[1] < 1.0]
     tmp = df
-    for x, _a, out, min_rows in direct:
-        tmp = tmp.withColumn(out, F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), x))
+    if direct:
+        tmp = tmp.withColumns({out: F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), x)
+                               for x, _a, out, min_rows in direct})
     if not scanned:
         return tmp
     B = min(scan_params(a)[0] for _x, a, _o, _m in scanned)
     b = F.when(j >= 0, F.floor(j / F.lit(B))).otherwise(F.lit(-1)).cast("long")
     jj = F.when(j >= 0, j - b * F.lit(B)).otherwise(F.lit(0))
-    tmp = tmp.withColumn("_sb", b).withColumn("_sjj", jj)
+    tmp = tmp.withColumns({"_sb": b, "_sjj": jj})
     # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps.
+    sv = {}
     for n, (x, alpha, _out, _m) in enumerate(scanned):
         w = 1.0 - alpha
         u = F.when(j == 0, x).when(j > 0, F.lit(alpha) * F.coalesce(x, F.lit(0.0))).otherwise(F.lit(0.0))
-        tmp = tmp.withColumn(f"_sv{n}", u * F.pow(F.lit(w), -F.col("_sjj")))
+        sv[f"_sv{n}"] = u * F.pow(F.lit(w), -F.col("_sjj"))
+    tmp = tmp.withColumns(sv)
 
     def block(wb: Window) -> list[Column]:
         run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -298,9 +301,10 @@ def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAI
     k_all = max(int(math.ceil(40.0 / (B * -math.log(1.0 - a)))) + 1 for _x, a, _o, _m in scanned)
     tmp = over_series(tmp, carry, layout=layout, back=k_all * B)
     drop = ["_sb", "_sjj"]
+    outs = {}
     for n, (x, alpha, out, min_rows) in enumerate(scanned):
         w = 1.0 - alpha
         y = F.col(f"_sloc{n}") + F.pow(F.lit(w), F.col("_sjj") + 1) * F.col(f"_scarry{n}")
-        tmp = tmp.withColumn(out, F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), y))
+        outs[out] = F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), y)
         drop += [f"_sv{n}", f"_sloc{n}", f"_slast{n}", f"_scarry{n}"]
-    return tmp.drop(*drop)
+    return tmp.withColumns(outs).drop(*drop)
