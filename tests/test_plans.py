@@ -41,3 +41,15 @@ def test_scan_prunes_columns(spark):
         assert used in schema
     for unused in ("l_partkey", "l_discount", "l_tax", "l_returnflag", "l_linestatus"):
         assert unused not in schema, schema
+
+
+def test_halo_plan_has_no_cartesian_or_python(spark):
+    lay = Layout(mode="halo", chunk_rows=256, bucket_bars=64)
+    bars = tb.ticks_to_bars(FIXTURES["orders"](spark, SF001), "day")
+    d = bar_index(bars, lay)
+    d = fe.rolling(d, "close", 20, layout=lay)
+    d = ti.macd(d, layout=lay)
+    d = ti.obv(d, layout=lay)
+    plan = _plan(d)
+    for bad in ("Cartesian", "NestedLoop", "Python"):
+        assert bad not in plan
