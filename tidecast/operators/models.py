@@ -22,6 +22,7 @@ from tidecast.functions.expr import md5_uniform, ntz_micros
 from tidecast.operators import evaluate as ev
 from tidecast.operators.features import sequence_windows
 from tidecast.operators.ordered import IDX, PLAIN, Layout
+from tidecast.operators.quantiles import exact_quantiles
 
 # Named presets for the two boosters (MLlib GBT parameters).
 GBT_PRESETS = {
@@ -54,7 +55,7 @@ def early_stop(train: DataFrame, features: Sequence[str], label: str, *, val_fra
     """MO2: GBT whose last ``val_fraction`` of training time is the validation
     set (chronological, never random)."""
     us = ntz_micros(F.col(ts))
-    cut = train.agg(F.percentile_approx(us, 1 - val_fraction, 100_000)).first()[0]
+    cut = int(exact_quantiles(train, us, [1 - val_fraction]).first()["value"])
     flagged = train.withColumn("_is_val", us > F.lit(cut))
     return gbt_forecast(flagged, features, label, preset=preset, validation_col="_is_val",
                         maxIter=max_iter, validationTol=tol)
@@ -174,10 +175,11 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
     per boosting round on the full training set (``evaluateEachIteration``)."""
     spark = spark or train.sparkSession
     us = ntz_micros(F.col(ts))
-    cuts = train.agg(F.percentile_approx(us, list(fractions), 100_000)).first()[0]
+    by_p = {r["p"]: int(r["value"]) for r in exact_quantiles(train, us, list(fractions)).collect()}
     rows = []
     full = None
-    for frac, cut in zip(fractions, cuts):
+    for frac in fractions:
+        cut = by_p[float(frac)]
         part = train.where(us <= F.lit(cut))
         m = gbt_forecast(part, features, label, preset=preset, **params)
         p = m.transform(test).withColumn("y", F.col(label)).withColumn("model", F.lit("m"))
