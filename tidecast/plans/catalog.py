@@ -56,6 +56,30 @@ def q_io2(spark, sf_dir):
     return finish(clean)
 
 
+@query("io2_clean_bars_rejects", f"""WITH bars AS ({bars_sql('lineitem')}),
+d AS (SELECT series, ts, open, high, low, close, volume, count(*) AS copies
+      FROM bars GROUP BY series, ts, open, high, low, close, volume),
+v AS (SELECT *, CASE WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL THEN 'null_price'
+                     WHEN least(open, high, low, close) <= 0 THEN 'non_positive_price'
+                     WHEN high < low THEN 'high_below_low' END AS invalid FROM d),
+w AS (SELECT series, ts, arg_max(struct_pack(wo := open, wh := high, wl := low, wc := close, wv := volume),
+        (coalesce(volume, CAST('-inf' AS DOUBLE)), -close, -open, -high, -low)) AS win
+      FROM v WHERE invalid IS NULL GROUP BY series, ts),
+t AS (SELECT v.*, (w.win IS NOT NULL AND v.open IS NOT DISTINCT FROM w.win.wo AND v.high IS NOT DISTINCT FROM w.win.wh
+        AND v.low IS NOT DISTINCT FROM w.win.wl AND v.close IS NOT DISTINCT FROM w.win.wc
+        AND v.volume IS NOT DISTINCT FROM w.win.wv) AS is_winner
+      FROM v LEFT JOIN w ON v.series = w.series AND v.ts = w.ts)
+SELECT series, ts, {r('open', 'open')}, {r('high', 'high')}, {r('low', 'low')}, {r('close', 'close')},
+  {r('volume', 'volume')}, coalesce(invalid, 'duplicate') AS reason,
+  CASE WHEN invalid IS NULL AND is_winner THEN copies - 1 ELSE copies END AS copies
+FROM t WHERE (CASE WHEN invalid IS NULL AND is_winner THEN copies - 1 ELSE copies END) > 0""")
+def q_io2r(spark, sf_dir):
+    """IO2: the rejected rows (with reason and copy count) of supplier daily bars."""
+    bars, _ = fixture_bars(spark, sf_dir, "lineitem")
+    _clean, rejects = io.clean_bars(bars)
+    return finish(rejects)
+
+
 @query("io5_chart_table", with_bars("orders", extra="""x AS (SELECT *, epoch_us(ts) AS xu FROM bars),
 rg AS (SELECT series, min(xu) AS lo, max(xu) AS hi FROM x GROUP BY series),
 bk AS (SELECT x.*, CASE WHEN hi = lo THEN 1 ELSE least((xu - lo) * 50 // (hi - lo) + 1, 50) END AS bucket
