@@ -103,3 +103,27 @@ def test_scan_with_null_after_start(spark):
     # and gives a NULL output, the state decays: 1, 1.5, 2.25, (1.125), 3.0625, 4.53125
     assert out[:3] == [1.0, 1.5, 2.25] and out[3] is None
     assert out[4] == pytest.approx(3.0625) and out[5] == pytest.approx(4.53125)
+
+
+def test_clean_bars_rejects_match_oracle_sql_on_dirty_bars(spark):
+    """The registered IO2 rejects oracle and clean_bars agree on bars with
+    duplicates, exact copies, invalid prices and a NULL volume."""
+    import duckdb
+    import pandas as pd
+
+    import __spark_entry__ as entry
+    d0 = dt.datetime(2024, 1, 1)
+    rows = ([("A", d0, 1.0, 2.0, 0.5, 1.5, 10.0)] * 3 + [("A", d0, 1.0, 2.0, 0.5, 1.4, 5.0)] * 2 +
+            [("A", d0 + dt.timedelta(days=1), None, 2.0, 0.5, 1.5, 10.0),
+             ("A", d0 + dt.timedelta(days=2), 1.0, 2.0, -1.0, 1.5, 10.0),
+             ("A", d0 + dt.timedelta(days=3), 1.0, 0.5, 2.0, 1.5, 10.0),
+             ("B", d0, 3.0, 3.0, 3.0, 3.0, None), ("B", d0, 3.0, 3.0, 3.0, 2.0, 1.0)])
+    cols = ["series", "ts", "open", "high", "low", "close", "volume"]
+    sdf = spark.createDataFrame(rows, "series string, ts timestamp_ntz, open double, high double, low double, close double, volume double")
+    _, rej = clean_bars(sdf)
+    sql = entry.oracle_sql()["io2_clean_bars_rejects"]
+    con = duckdb.connect()
+    con.register("bars_df", pd.DataFrame(rows, columns=cols))
+    want = con.execute("WITH bars AS (SELECT * FROM bars_df), " + sql[sql.index("d AS ("):]).fetchall()
+    got = sorted(tuple(r) for r in rej.collect())
+    assert got == sorted(tuple(r) for r in want) and len(got) == 6
