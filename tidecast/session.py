@@ -39,8 +39,8 @@ def get_session(master: str | None = None, *, shuffle_partitions: int | None = N
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; only when it is
-    unset (local tests) do we create a private scratch folder.
+    On a cluster it must be set to shared storage; only a local master (tests) gets a
+    private scratch folder where it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tidecast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
