@@ -56,6 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers started from now on import this library from the driver's path,
+    for drivers that were started elsewhere. Where executors have the library installed it
+    changes nothing."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     checkpoint_dir(df.sparkSession)
