@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.schemas import plus
+
 WORDS = 400_000  # cached words and table entries of a worker
 ENTRIES = 500_000
 LATE = 1 << 30
@@ -287,7 +289,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text") -> Dat
                                                  [*carried, "ids", "n_tokens"])
 
     source = docs.select(*carried, F.col(text_col).cast("string").alias(text_col))
-    return source.mapInArrow(run, source.select(*carried).schema.add("ids", "binary").add("n_tokens", "long"))
+    return source.mapInArrow(run, plus(source.select(*carried).schema, "ids binary, n_tokens long"))
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer, ids_col: str = "ids", out: str = "text") -> DataFrame:
@@ -304,4 +306,4 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer, ids_col: str = "ids", out:
                 yield pa.RecordBatch.from_arrays([*(c[a:b] for c in batch.columns[:len(carried)]), ids[a:b], texts], [*carried, ids_col, out])
 
     source = encoded.select(*carried, ids_col)
-    return source.mapInArrow(run, source.schema.add(out, "string"))
+    return source.mapInArrow(run, plus(source.schema, f"`{out}` string"))

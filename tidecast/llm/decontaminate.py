@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.arrow_words import lower_words
+from tidecast.llm.schemas import plus
 
 SEED = 4
 THRESHOLD = 0.5
@@ -201,7 +202,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("d
     spark = docs.sparkSession
     rows = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("_text"))
     text_at = len(id_cols)
-    schema = (rows.select(*id_cols).schema.add("item_id", "long").add("score", "double").add("first_word", "long").add("end_word", "long"))
+    schema = plus(rows.select(*id_cols).schema, "item_id long, score double, first_word long, end_word long")
     out = None
     for block in _blocks(items, item_col, item_text_col, block_chars):
         index = Items(sorted((r["id"], r["text"]) for r in block.collect()), seed)

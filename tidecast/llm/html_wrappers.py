@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.schemas import plus
 from tidecast.session import cut_lineage
 
 GROUP = 256  # structures that one task aligns
@@ -522,7 +523,7 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     both = kinds.join(wrappers.select("host", F.col("tokens").alias("wrapper"), F.col("stats").alias("whole")), "host")
     judged = both.select("host", "sig", "tokens", "stats", "wrapper", "whole").mapInArrow(_judge, "host string, sig long, kept string")
     source = pages.select(*carried, _host(url_col).alias("_host"), F.col(html_col).cast("string").alias("_html"))
-    schema = source.drop("_html").schema.add("_sig", "long").add("_slots", "array<int>").add("_texts", "array<string>")
+    schema = plus(source.drop("_html").schema, "_sig long, _slots array<int>, _texts array<string>")
     texts = source.mapInArrow(_texts(len(carried), carried), schema)
     joined = texts.join(judged.select(F.col("host").alias("_host"), F.col("sig").alias("_sig"), "kept"), ["_host", "_sig"], "left")
     blocks = F.filter(F.arrays_zip("_slots", "_texts"), lambda x: F.substring(F.col("kept"), x["_slots"] + 1, F.lit(1)) == "1")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.schemas import plus
+
 THRESHOLD = 0.8
 WORD = re.compile(r"[^\W_]+")
 
@@ -164,5 +166,5 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", templates: tuple[tupl
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(carried)], pa.array(found, pa.list_(item))], [*carried, out])
 
     source = docs.select(*carried, F.col(text_col).cast("string").alias(text_col))
-    schema = source.select(*carried).schema.add(out, "array<struct<license:string,dice:double,begin:bigint,end:bigint>>")
+    schema = plus(source.select(*carried).schema, f"`{out}` array<struct<license:string,dice:double,begin:bigint,end:bigint>>")
     return source.mapInArrow(run, schema)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.arrow_words import lower_words, outer_bytes
+from tidecast.llm.schemas import plus
 from tidecast.session import cut_lineage
 
 WINDOW = 2
@@ -269,5 +270,4 @@ def score_masked_lm(docs: DataFrame, model: Model, text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(carried)], pa.array(counts), pa.array(sums), mean], [*carried, *new])
 
     source = docs.select(*carried, F.col(text_col).cast("string").alias(text_col))
-    schema = source.select(*carried).schema
-    return source.mapInArrow(run, schema.add(new[0], "long").add(new[1], "double").add(new[2], "double"))
+    return source.mapInArrow(run, plus(source.select(*carried).schema, "n_tokens long, log_likelihood double, mean_log_likelihood double"))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.schemas import plus
+
 DIMS = 1 << 18
 SHIFT = np.uint64(64 - 18)
 FIT_ROWS = 12_000
@@ -233,7 +235,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
                 [*batch.columns[:len(carried)], pa.array(scores), pa.array((scores >= keep).astype(np.int32))], [*carried, "score", "predicted"])
 
     source = docs.select(*carried, F.col(text_col).cast("string").alias(text_col))
-    return source.mapInArrow(run, source.select(*carried).schema.add("score", "double").add("predicted", "int"))
+    return source.mapInArrow(run, plus(source.select(*carried).schema, "score double, predicted int"))
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: float = KEEP_FROM) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.llm import bpe, chat, decontaminate, html_wrappers, licenses, masked_lm, near_vectors, pii, quality, simhash
+from tidecast.session import reach_workers
 
 BPE_FILE = "byte_bpe_50k.json"
 CHAT_PROBE = -7
@@ -18,6 +19,7 @@ PROBE_TEXT = r"\### Assistant: </turn> ok"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -103,6 +105,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over the documents."""
     import corpus_pipeline
 
+    reach_workers(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 

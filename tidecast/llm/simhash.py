@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.components import connected_components, local_roots
+from tidecast.llm.schemas import plus
 from tidecast.session import cut_lineage
 
 SEED = 42
@@ -73,7 +74,7 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", shingle: int = 3, ou
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(carried)], pa.array(prints.view(np.int64))], [*carried, out])
 
     source = df.select(*carried, F.col(text_col).cast("string"))
-    schema = source.select(*carried).schema.add(out, "long")
+    schema = plus(source.select(*carried).schema, f"`{out}` long")
     return source.mapInArrow(run, schema)
 
 
