@@ -25,6 +25,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -261,7 +262,7 @@ class Tokenizer:
 def _slices(column: pa.Array, to_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a column of strings or binaries, of about ``to_bytes`` each: output batches stay small."""
     start, size = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(column).fill_null(0).to_pylist()):
+    for i, n in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
         size += n
         if size >= to_bytes:
             yield start, i + 1
