@@ -27,7 +27,7 @@ KEY = "tidecast"
 
 # The patterns of the kinds of value looked for, in order of preference.
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9][A-Za-z0-9.\-]*\.[A-Za-z]{2,}"
-SECRET = r"""(?i:(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key))\s{0,3}[=:]\s{0,3}"?[^\s"]{6,}"""
+SECRET = r"""(?i:(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key))\s{0,3}[=:]\s{0,3}"?[^\s"]{5,}[^\s"'.,;:!?)\]]"""
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE_ISO = r"(?<![0-9\-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9\-])"
