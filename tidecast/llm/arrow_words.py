@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,3 +35,16 @@ def outer_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
     content = np.frombuffer(data, np.uint8)
     return np.diff(ends), content[ends[:-1]].astype(np.int64), content[ends[1:] - 1].astype(np.int64)
+
+
+def slices(column: pa.Array, to_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(begin, end) of row ranges of a column of strings or binaries, of about ``to_bytes``
+    each, so that what a task makes of a batch stays small."""
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    begin = 0
+    while begin < len(column):
+        total = np.cumsum(sizes[begin:])
+        end = begin + min(int(np.searchsorted(total, to_bytes)) + 1, total.size)
+        yield begin, end
+        begin = end
+    pa.default_memory_pool().release_unused()

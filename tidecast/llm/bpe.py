@@ -25,15 +25,15 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.arrow_words import slices
 from tidecast.llm.schemas import plus
 
-WORDS = 400_000  # cached words and table entries of a worker
-ENTRIES = 500_000
+WORDS = 150_000  # cached words and table entries of a worker
+ENTRIES = 200_000
 LATE = 1 << 30
 
 
@@ -259,18 +259,6 @@ class Tokenizer:
         return b"".join([label(i, b"") for i in np.frombuffer(ids or b"", "<u4").tolist()]).decode("utf-8", "replace")
 
 
-def _slices(column: pa.Array, to_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of a column of strings or binaries, of about ``to_bytes`` each: output batches stay small."""
-    start, size = 0, 0
-    for i, n in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
-        size += n
-        if size >= to_bytes:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(column):
-        yield start, len(column)
-
-
 def encode(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, then ``ids`` (binary: little-endian unsigned 32-bit
     integers) and ``n_tokens``. Special token strings in a text become their ids; nothing
@@ -283,7 +271,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text") -> Dat
         encode = shared.value.encode
         for batch in batches:
             texts = batch.column(len(carried))
-            for a, b in _slices(texts):
+            for a, b in slices(texts):
                 ids = [encode(t.as_py()) for t in texts[a:b]]
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([*(c[a:b] for c in batch.columns[:len(carried)]), pa.array(ids, pa.binary()), counts],
@@ -302,7 +290,7 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer, ids_col: str = "ids", out:
         decode = shared.value.decode
         for batch in batches:
             ids = batch.column(len(carried))
-            for a, b in _slices(ids):
+            for a, b in slices(ids):
                 texts = pa.array([decode(x.as_py()) for x in ids[a:b]], pa.string())
                 yield pa.RecordBatch.from_arrays([*(c[a:b] for c in batch.columns[:len(carried)]), ids[a:b], texts], [*carried, ids_col, out])
 

@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.arrow_words import lower_words
+from tidecast.llm.arrow_words import lower_words, slices
 from tidecast.llm.schemas import plus
 
 SEED = 4
@@ -35,7 +36,7 @@ THRESHOLD = 0.5
 GAP = 0.5  # cost of a changed, missing or added word
 RARE = 50  # documents with an n-gram that is rare in any case
 TIMES = 4  # or so many times the item's median
-BLOCK_CHARS = 16_000_000  # text of the items in one broadcast index
+BLOCK_CHARS = 8_000_000  # text of the items in one broadcast index
 MARKS = string.punctuation + "«»„“”‘’…–—¿¡"
 MIX = np.int64(0x5851F42D4C957F2D)
 
@@ -189,6 +190,30 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, chars: int) -> list[Da
     return [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)] if total else []
 
 
+def _indexes(rows: DataFrame, items: DataFrame, item_col: str, item_text_col: str, seed: int, block_chars: int) -> Iterator[Broadcast]:
+    """For each block of items its index with the seeds marked; ``rows`` has one column, the text."""
+    context = rows.sparkSession.sparkContext
+    for block in _blocks(items, item_col, item_text_col, block_chars):
+        index = Items(sorted((r["id"], r["text"]) for r in block.collect()), seed)
+        shared = context.broadcast(index)
+
+        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            counts = np.zeros(index.keys.size, dtype=np.int64)
+            for batch in batches:
+                for a, b in slices(batch.column(0)):
+                    text, _, gram = index.hits(*index.read(batch.column(0)[a:b]))
+                    counts += np.bincount(np.unique(text * index.keys.size + gram) % max(1, index.keys.size), minlength=index.keys.size)
+            seen = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["gram", "n"])
+
+        counts = np.zeros(index.keys.size, dtype=np.int64)
+        for r in rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+            counts[r["gram"]] = r["n"]  # at most one row per n-gram of the block
+        index.set_counts(counts)
+        yield context.broadcast(index)
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``id_cols``, ``item_id``, ``score`` (alignment score over item length, up to 1),
@@ -199,34 +224,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("d
     nothing. Items with equal words are found each; of several alignments with one item
     the first best one is returned. Repeated rows of ``docs`` each give their rows.
     """
-    spark = docs.sparkSession
     rows = docs.select(*(F.col(c) for c in id_cols), F.col(text_col).cast("string").alias("_text"))
     text_at = len(id_cols)
     schema = plus(rows.select(*id_cols).schema, "item_id long, score double, first_word long, end_word long")
     out = None
-    for block in _blocks(items, item_col, item_text_col, block_chars):
-        index = Items(sorted((r["id"], r["text"]) for r in block.collect()), seed)
-        shared = spark.sparkContext.broadcast(index)
+    for shared in _indexes(rows.select("_text"), items, item_col, item_text_col, seed, block_chars):
 
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            counts = np.zeros(index.keys.size, dtype=np.int64)
             for batch in batches:
-                text, _, gram = index.hits(*index.read(batch.column(0)))
-                counts += np.bincount(np.unique(text * index.keys.size + gram) % max(1, index.keys.size), minlength=index.keys.size)
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["gram", "n"])
-
-        counts = np.zeros(index.keys.size, dtype=np.int64)
-        for r in rows.select("_text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            counts[r["gram"]] = r["n"]  # at most one row per n-gram of the block
-        index.set_counts(counts)
-        final = spark.sparkContext.broadcast(index)
-
-        def match(batches: Iterator[pa.RecordBatch], final=final) -> Iterator[pa.RecordBatch]:
-            index = final.value
-            for batch in batches:
-                found = index.matches(batch.column(text_at), threshold)
+                texts = batch.column(text_at)
+                found = [(m[0] + a, *m[1:]) for a, b in slices(texts) for m in index.matches(texts[a:b], threshold)]
                 if found:
                     row, item, score, first, end = zip(*found)
                     at = pa.array(row, pa.int64())
@@ -236,14 +244,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("d
 
         found = rows.mapInArrow(match, schema)
         out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], schema) if out is None else out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no item is found. A row is known by id
-    and text, so a repeated id with a clean text stays; null ids are kept or dropped by their text."""
-    marked = docs.withColumn("_hash_of_text", F.xxhash64(F.col(text_col).cast("string")))
-    narrow = marked.select(F.col(id_col).alias("_key"), F.col("_hash_of_text").alias("_hash"), F.col(text_col).alias("_body"))
-    leaks = find_leaks(narrow, items, ("_key", "_hash"), "_body", **options).select("_key", "_hash").distinct()
-    same = marked[id_col].eqNullSafe(leaks["_key"]) & (marked["_hash_of_text"] == leaks["_hash"])
-    return marked.join(leaks, same, "left_anti").drop("_hash_of_text")
+def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               threshold: float = THRESHOLD, seed: int = SEED, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item is found; a row is judged by its
+    own text, so there is no join. What matches nothing is as in ``find_leaks``."""
+    place = docs.columns.index(text_col)
+    kept = docs
+    for shared in _indexes(docs.select(F.col(text_col).cast("string")), items, item_col, item_text_col, seed, block_chars):
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                texts = batch.column(place).cast(pa.string())
+                for a, b in slices(texts):
+                    mark = np.ones(b - a, dtype=bool)
+                    mark[[m[0] for m in index.matches(texts[a:b], threshold)]] = False
+                    yield batch.slice(a, b - a).filter(pa.array(mark))
+
+        kept = kept.mapInArrow(clean, docs.schema)
+    return kept

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.arrow_words import lower_words, outer_bytes
+from tidecast.llm.arrow_words import lower_words, outer_bytes, slices
 from tidecast.llm.schemas import plus
 from tidecast.session import cut_lineage
 
@@ -68,10 +68,13 @@ class Vocabulary:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words, _ = lower_words(batch.column(0))
-        found = words.value_counts()
-        group = pa.array(other_group(found.field("values")).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), group, found.field("counts")], ["word", "other", "n"])
+        counts = [lower_words(batch.column(0)[a:b])[0].value_counts() for a, b in slices(batch.column(0))]
+        if counts:
+            parts = pa.table({"word": pa.chunked_array([c.field("values") for c in counts]), "n": pa.chunked_array([c.field("counts") for c in counts])})
+            found = parts.group_by("word").aggregate([("n", "sum")]).combine_chunks()
+            words = found.column("word").combine_chunks()
+            group = pa.array(other_group(words).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), group, found.column("n_sum").combine_chunks()], ["word", "other", "n"])
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -199,7 +202,7 @@ def _round(docs: DataFrame, model: Model, seed: int) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, seen = _train(shared.value, (b.column(0) for b in batches), [seed])
+        flat, seen = _train(shared.value, (b.column(0)[i:j] for b in batches for i, j in slices(b.column(0))), [seed])
         if seen:
             cuts = range(0, flat.size, BLOCK)
             blobs = [(flat[k:k + BLOCK].astype("<f8") * seen).tobytes() for k in cuts]
@@ -215,11 +218,24 @@ def _round(docs: DataFrame, model: Model, seed: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["total"], "<f8") / r["weight"] for r in blocks]).astype(np.float32)
 
 
+def top_words(counts: DataFrame, n: int) -> list:
+    """The ``n`` most frequent words (ties by word). Only words of the highest bands of
+    counts (powers of two) that hold ``n`` words are sorted, so few rows reach the driver."""
+    band = F.floor(F.log2("n")).cast("int")
+    sizes = sorted(((r["band"], r["words"]) for r in counts.groupBy(band.alias("band")).agg(F.count("*").alias("words")).collect()), reverse=True)
+    lowest, held = 0, 0
+    for lowest, words in sizes:  # at most 63 bands
+        held += words
+        if held >= n:
+            break
+    return counts.where(band >= lowest).orderBy(F.col("n").desc(), "word").limit(n).collect()
+
+
 def fit_masked_lm(docs: DataFrame, text_col: str = "text", vocabulary: int = VOCABULARY, rounds: int = 2, seed: int = 5) -> Model:
     """Counts all words, then ``rounds`` passes of averaged local training over all texts."""
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     counts = cut_lineage(word_counts(texts))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(vocabulary).collect()
+    top = top_words(counts, vocabulary)
     words = [r["word"] for r in top]
     mass = {r["other"]: r["n"] for r in counts.groupBy("other").agg(F.sum("n").alias("n")).collect()}  # OTHER rows
     for r in top:
@@ -262,8 +278,8 @@ def score_masked_lm(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
+            for a, b in slices(batch.column(len(carried))):
+                part = batch.slice(a, b - a)
                 counts, sums = log_likelihoods(model, part.column(len(carried)))
                 with np.errstate(invalid="ignore", divide="ignore"):
                     mean = pa.array(sums / counts, mask=counts == 0)

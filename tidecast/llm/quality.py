@@ -27,10 +27,10 @@ from tidecast.llm.schemas import plus
 
 DIMS = 1 << 18
 SHIFT = np.uint64(64 - 18)
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 HELD_OUT_OF = 5
 KEEP_FROM = 0.3
-CACHE = 300_000
+CACHE = 100_000
 REPEATED = np.uint64(zlib.crc32(b"repeated word"))
 # odd multipliers of the feature hashes
 M1, M2, M3, M4, M5, M6 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -217,7 +217,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     chosen = texts.join(F.broadcast(sample), "doc").groupBy("doc", "good").agg(F.min("body").alias("body"))
     got = chosen.mapInArrow(_feature_rows, "doc long, good boolean, feats binary").collect()
     got.sort(key=lambda r: (zlib.crc32(str(r["doc"]).encode()), r["doc"]))
-    return fit_rows([np.frombuffer(r["feats"], "<i4").astype(np.int64) for r in got], np.array([r["good"] for r in got], dtype=bool))
+    good = np.array([r["good"] for r in got], dtype=bool)
+    feats = [np.frombuffer(r["feats"], "<i4").astype(np.int64) for r in got]
+    del got
+    return fit_rows(feats, good)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: float = KEEP_FROM) -> DataFrame:

@@ -271,9 +271,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = F.xxhash64(F.col(text_col).cast("string"))
     narrow = docs.select(F.col(id_col).alias("_key"), keys.alias("_hash"), F.col(text_col).alias("_body"))
     groups = near_duplicates(narrow, "_key", "_body", shingle, max_bits, carry=("_hash",))
-    best = (groups.where(F.col("_key").eqNullSafe(F.col("component_id")))
-            .groupBy("component_id", F.when(F.col("_key").isNull(), F.col("fingerprint")).alias("_own"))
-            .agg(F.min("_hash").alias("_hash")).select(F.col("component_id").alias("_key"), "_hash").distinct())
+    first = (groups.where(F.col("_key").eqNullSafe(F.col("component_id")))
+             .groupBy("_key", F.when(F.col("_key").isNull(), F.col("fingerprint")).alias("_own"), "_hash").agg(F.count("*").alias("n"))
+             .groupBy("_key", "_own").agg(F.min(F.struct("_hash", "n")).alias("f")))
+    best = cut_lineage(first.groupBy("_key", F.col("f._hash").alias("_hash")).agg(F.sum("f.n").alias("n")))
     marked = docs.withColumn("_hash_of_text", keys)
-    kept = (marked.join(best, marked[id_col].eqNullSafe(best["_key"]) & (marked["_hash_of_text"] == best["_hash"]), "left_semi"))
-    return kept.dropDuplicates([id_col, "_hash_of_text"]).drop("_hash_of_text")
+
+    def rows_of(kept: DataFrame) -> DataFrame:  # the narrow side is hashed, the texts are not sorted
+        same = marked[id_col].eqNullSafe(kept["_key"]) & (marked["_hash_of_text"] == kept["_hash"])
+        return marked.join(kept.hint("shuffle_hash"), same, "left_semi")
+
+    one, several = best.where("n = 1"), best.where("n > 1")
+    if several.isEmpty():
+        return rows_of(one).drop("_hash_of_text")
+    return rows_of(one).unionByName(rows_of(several).dropDuplicates([id_col, "_hash_of_text"])).drop("_hash_of_text")
