@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import ntz_from_micros, ntz_micros, safe_div
-from tidecast.operators.ordered import IDX, PLAIN, Layout, ensure_index, over_series, running
+from tidecast.operators.ordered import IDX, Layout, PLAIN, ensure_index, join_null_safe, over_series, running
 
 # Fixed-width bar sizes in seconds; week and month bars truncate the date.
 FREQ_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -70,24 +70,28 @@ def fill_gaps(bars: DataFrame, freq: str | int = "day", *, layout: Layout = PLAI
     ``bucket_bars`` bars (a per-series row only expands into bucket rows; each
     bucket row expands into at most ``bucket_bars`` bars), so a long series is
     generated by many tasks.  Because the result is gap-free, the bar index is
-    arithmetic (no index shuffle).  Fixed-width frequencies only.
+    arithmetic (no index shuffle).  The calendar of a series starts at its
+    first bar, so weekly bars and bars off the epoch grid keep their places;
+    bars that are not whole bar widths apart raise an error.  Rows with a NULL
+    ts are no bars and are left out.  Fixed-width frequencies only.
     """
     if isinstance(freq, str) and freq not in FREQ_SECONDS:
         raise ValueError("fill_gaps needs a fixed-width frequency")
     width = freq_seconds(freq) * 1_000_000
-    n = F.floor(ntz_micros(F.col("ts")) / F.lit(width)).cast("long")
-    span = bars.groupBy("series").agg(F.min(n).alias("_lo"), F.max(n).alias("_hi"))
+    us = ntz_micros(F.col("ts"))
+    off = F.pmod(us, F.lit(width))
+    span = bars.groupBy("series").agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.min(off).alias("_o1"), F.max(off).alias("_o2"))
+    lo = F.when(F.col("_o1") == F.col("_o2"), F.col("_lo")).otherwise(
+        F.raise_error(F.lit("fill_gaps: bars of a series are not a whole number of bar widths apart")))
+    span = span.where(F.col("_lo").isNotNull()).withColumn("_lo", lo)
+    last = F.floor((F.col("_hi") - F.col("_lo")) / F.lit(width)).cast("long")
     bk = F.lit(bucket_bars)
-    buckets = (span.withColumn("_k", F.explode(F.sequence(
-        F.floor(F.col("_lo") / bk), F.floor(F.col("_hi") / bk))))
-        .repartition("series", "_k"))
-    cal = (buckets.withColumn("_n", F.explode(F.sequence(
-        F.greatest(F.col("_k") * bk, F.col("_lo")),
-        F.least((F.col("_k") + 1) * bk - 1, F.col("_hi")))))
-        .select("series",
-                ntz_from_micros(F.col("_n") * F.lit(width)).alias("ts"),
-                (F.col("_n") - F.col("_lo")).alias(IDX)))
-    j = cal.join(bars.withColumn("_has", F.lit(True)), ["series", "ts"], "left")
+    buckets = (span.withColumn("_last", last)
+               .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / bk))))
+               .repartition("series", "_k"))
+    cal = (buckets.withColumn(IDX, F.explode(F.sequence(F.col("_k") * bk, F.least((F.col("_k") + 1) * bk - 1, F.col("_last")))))
+           .select("series", ntz_from_micros(F.col("_lo") + F.col(IDX) * F.lit(width)).alias("ts"), IDX))
+    j = join_null_safe(cal, bars.withColumn("_has", F.lit(True)), ["series", "ts"], "left")
     j = running(j, [("_ff", F.col("close"), "last")], layout=layout)
     return j.select(
         "series", "ts", IDX,

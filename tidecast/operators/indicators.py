@@ -232,8 +232,9 @@ def rsi(df: DataFrame, n: int = 14, *, col: str = "close", layout: Layout = PLAI
     d = ensure_index(df, layout)
     d = over_series(d, lambda w: [(F.col(col) - F.lag(col, 1).over(w)).alias("_dc")],
                     layout=layout, back=1)
-    d = d.withColumns({"_gain": F.greatest(F.col("_dc"), F.lit(0.0)),
-                       "_loss": F.greatest(-F.col("_dc"), F.lit(0.0))})
+    known = F.col("_dc").isNotNull()  # greatest() would turn a NULL change into 0
+    d = d.withColumns({"_gain": F.when(known, F.greatest(F.col("_dc"), F.lit(0.0))),
+                       "_loss": F.when(known, F.greatest(-F.col("_dc"), F.lit(0.0)))})
     d = linear_scans(d, [("_gain", 1.0 / n, "_ag", n), ("_loss", 1.0 / n, "_al", n)], layout=layout, start=1)
     ag, al = F.col("_ag"), F.col("_al")
     v = (F.when(ag.isNull() | al.isNull(), F.lit(None).cast("double"))
@@ -245,7 +246,7 @@ def rsi(df: DataFrame, n: int = 14, *, col: str = "close", layout: Layout = PLAI
 
 def _true_range(prev_close: Column) -> Column:
     h, lo = F.col("high"), F.col("low")
-    return F.greatest(h - lo, F.abs(h - prev_close), F.abs(lo - prev_close))
+    return F.when(h.isNotNull() & lo.isNotNull(), F.greatest(h - lo, F.abs(h - prev_close), F.abs(lo - prev_close)))
 
 
 def atr(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
@@ -269,7 +270,9 @@ def adx(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
                                   F.lag("close", 1).over(w).alias("_pc")],
                     layout=layout, back=1)
     up, down = F.col("high") - F.col("_ph"), F.col("_pl") - F.col("low")
-    has_prev = F.col("_pc").isNotNull()
+    has_prev = F.lit(True)  # the three inputs are known together
+    for c in ("_pc", "_ph", "_pl", "high", "low"):
+        has_prev = has_prev & F.col(c).isNotNull()
     d = d.withColumns({"_pdm": F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)),
                        "_mdm": F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)),
                        "_tr": F.when(has_prev, _true_range(F.col("_pc")))})

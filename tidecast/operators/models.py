@@ -18,7 +18,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidecast.functions.expr import md5_uniform, ntz_micros
+from tidecast.functions.expr import md5_uniform, ntz_micros, safe_div
 from tidecast.operators import evaluate as ev
 from tidecast.operators.features import sequence_windows
 from tidecast.operators.ordered import IDX, PLAIN, Layout
@@ -65,7 +65,8 @@ def window_frame(df: DataFrame, n: int, *, col: str = "close", layout: Layout =
     """Lookback windows scaled by the current value (scale free): ``lookback``
     vector of x_{t-n+1..t} / x_t."""
     d = sequence_windows(df, [col], n, layout=layout)
-    scaled = F.transform(F.col(f"{col}_seq"), lambda v: v / F.col(col))
+    d = d.where(F.forall(f"{col}_seq", lambda v: v.isNotNull()) & (F.col(col) != 0))  # a zero price scales nothing
+    scaled = F.transform(F.col(f"{col}_seq"), lambda v: safe_div(v, F.col(col)))
     return d.withColumn("lookback", array_to_vector(scaled)).drop(f"{col}_seq")
 
 
@@ -80,7 +81,8 @@ def window_regression(train: DataFrame, label: str, *, reg: float = 1e-3,
 def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12) -> DataFrame:
     """MO5: per fold, member weights ∝ 1/RMSE over **earlier** folds only (equal
     weights when there is no history).  Input: long predictions with ``fold``;
-    output: rows of model 'ensemble_w'.
+    output: rows of model 'ensemble_w'.  A member without a prediction has no
+    weight in that row; ``members`` counts those that have one.
 
     The error history is a small (model, key, fold) table: its cumulative
     window runs over folds, not rows, and is joined back by key.
@@ -101,8 +103,8 @@ def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12)
     hist = hist.withColumn("_inv", F.when(F.col("_any_new") == 1, F.lit(1.0)).otherwise(F.col("_inv")))
     j = preds.join(hist.select("model", *k, "fold", "_inv"), ["model", *k, "fold"])
     return (j.groupBy(*k, "fold", "ts", "horizon")
-            .agg((F.sum(F.col("_inv") * F.col("yhat")) / F.sum("_inv")).alias("yhat"),
-                 F.first("y").alias("y"), F.count(F.lit(1)).alias("members"))
+            .agg(safe_div(F.sum(F.col("_inv") * F.col("yhat")), F.sum(F.when(F.col("yhat").isNotNull(), F.col("_inv")))).alias("yhat"),
+                 F.first("y", ignorenulls=True).alias("y"), F.count("yhat").alias("members"))
             .withColumn("model", F.lit("ensemble_w")))
 
 
@@ -172,7 +174,7 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
                    fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0), preset: str = "xgb",
                    ts: str = "ts", spark: SparkSession | None = None, **params) -> DataFrame:
     """MO9: test RMSE when training on growing time prefixes of ``train``, and
-    per boosting round on the full training set (``evaluateEachIteration``)."""
+    per boosting round on the largest of them (``evaluateEachIteration``)."""
     spark = spark or train.sparkSession
     us = ntz_micros(F.col(ts))
     by_p = {r["p"]: int(r["value"]) for r in exact_quantiles(train, us, list(fractions)).collect()}
@@ -185,7 +187,8 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
         p = m.transform(test).withColumn("y", F.col(label)).withColumn("model", F.lit("m"))
         rmse = p.groupBy("model").agg(ev.rmse_expr()).first()[1]
         rows.append(("prefix", float(frac), float(rmse) if rmse is not None else None))
-        full = m
+        if frac == max(fractions):
+            full = m
     assembled = full.stages[0].transform(test.where(F.col(label).isNotNull()))
     errs = full.stages[-1].evaluateEachIteration(assembled, "squared")
     rows += [("round", float(i + 1), float(e) ** 0.5) for i, e in enumerate(errs)]

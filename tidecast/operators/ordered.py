@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import ntz_micros
+from tidecast.session import cut_lineage
 
 IDX = "i"  # bar index column name
 _BOUNDS: dict[tuple, tuple[int, int]] = {}  # (plan hash, series, ts, bar width) -> (longest, total)
@@ -93,6 +94,16 @@ def choose_layout(longest: int, total: int, parallelism: int, *, max_plain_rows:
     return ("halo" if halo else "plain"), chunk
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL, so rows with NULL keys are not lost."""
+    own = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = None
+    for k in keys:
+        same = left[k].eqNullSafe(own[f"_k_{k}"])
+        on = same if on is None else on & same
+    return left.join(own, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def _w_series(layout: Layout, order: str) -> Window:
     return Window.partitionBy(layout.series).orderBy(order)
 
@@ -100,7 +111,9 @@ def _w_series(layout: Layout, order: str) -> Window:
 def bar_index(df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
     """Add ``i``: 0-based position of each row in its series, ordered by ts.
 
-    (series, ts) must be unique (``clean_bars`` guarantees it).
+    (series, ts) must be unique (``clean_bars`` guarantees it).  Rows with a
+    NULL series or ts are kept in both layouts: NULL is one more series, and a
+    NULL ts comes first in its series.
     """
     s, ts = layout.series, layout.ts
     if layout.mode == "plain":
@@ -118,7 +131,7 @@ def bar_index(df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
                    F.lit(0)).alias("_off"))
     # offsets has one row per (series, bucket): AQE broadcasts it when its
     # measured size is small and keeps a sort-merge join otherwise.
-    return (local.join(offsets, [s, "_bucket"])
+    return (join_null_safe(local, offsets, [s, "_bucket"])
             .withColumn(IDX, (F.col("_local") + F.col("_off")).cast("long"))
             .drop("_bucket", "_local", "_off"))
 
@@ -189,7 +202,7 @@ def running(df: DataFrame, specs: Iterable[tuple[str, Column, str]], *,
                  "last": lambda x: F.last(x, ignorenulls=True)}
     prev = chunks.select(s, "_chunk", *[prev_aggs[k](F.col(f"_t_{n}")).over(wp).alias(f"_p_{n}")
                                         for n, _, k in specs])
-    out = local.join(prev, [s, "_chunk"])
+    out = join_null_safe(local, prev, [s, "_chunk"])
     for n, _, k in specs:
         lcol, pcol = F.col(f"_l_{n}"), F.col(f"_p_{n}")
         if k in ("sum", "count"):
@@ -224,10 +237,10 @@ def linear_scan(df: DataFrame, x: Column | str, alpha: float, out: str, *,
                 layout: Layout = PLAIN, start: int = 0, min_rows: int = 1) -> DataFrame:
     """Exponential smoothing y_t = alpha*x_t + (1-alpha)*y_{t-1} along the bar index.
 
-    The recurrence starts at bar index ``start`` with the seed y = x (the first
-    input); rows before it give NULL.  Output is NULL until ``min_rows`` inputs
-    have been seen.  A NULL input after the start counts as 0 and gives a NULL
-    output (callers feed clean, gap-free inputs).  See ``linear_scans``.
+    The first non-null input at or after bar index ``start`` seeds the state
+    (y = x).  A NULL input gives a NULL output and leaves the state as it is.
+    Output is NULL until ``min_rows`` non-null inputs have been seen.  See
+    ``linear_scans``.
     """
     return linear_scans(df, [(x, alpha, out, min_rows)], layout=layout, start=start)
 
@@ -235,9 +248,13 @@ def linear_scan(df: DataFrame, x: Column | str, alpha: float, out: str, *,
 def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAIN,
                  start: int = 0) -> DataFrame:
     """Several exponential smoothings ``(x, alpha, out, min_rows)`` sharing one
-    start bar, computed in one pass of two bounded windows.
+    start bar, computed in one pass of two bounded windows.  Inputs of one call
+    count together: a row is an input if all of them are non-null.
 
-    Join-free closed form per block of B rows (j = i - start, b = j div B):
+    Inputs are numbered j = 0, 1, ... along the series (a running count), so
+    blocks and lags count inputs only; other rows stand aside in a partition of
+    their own.  In the halo layout the input is checkpointed first, as numbering
+    joins a small table of chunk totals.  The rest is a join-free closed form per block of B inputs (b = j div B):
       local_j = w^jj * sum_{k<=j in block} u_k w^-jj_k          (window per (series, b))
       carry_b = sum_{k=1..K} w^(B(k-1)) * last_local_{b-k}       (lag by k*B rows)
       y_j     = local_j + w^(jj+1) * carry_b
@@ -250,24 +267,31 @@ def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAI
         if not 0.0 < alpha <= 1.0:
             raise ValueError("alpha must be in (0, 1]")
         norm.append((x, alpha, out, min_rows))
-    j = F.col(IDX) - F.lit(start)
+    if layout.mode == "halo":
+        df = cut_lineage(df)  # numbering joins chunk totals: read the rows again, not their plan
+    valid = F.col(IDX) >= F.lit(start)
+    for x, *_ in norm:
+        valid = valid & x.isNotNull()
+    tmp = running(df, [("_jc", F.when(valid, F.lit(1)), "count")], layout=layout)
+    tmp = tmp.withColumn("_none", ~valid)
+    tmp = tmp.withColumn("_jn", F.when(F.col("_none"), F.col(IDX)).otherwise(F.col("_jc") - 1).cast("long")).drop("_jc")
+    is_input, j = ~F.col("_none"), F.col("_jn")
     direct = [sp for sp in norm if sp[1] == 1.0]
     scanned = [sp for sp in norm if sp[1] < 1.0]
-    tmp = df
     if direct:
-        tmp = tmp.withColumns({out: F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), x)
+        tmp = tmp.withColumns({out: F.when(is_input & (j >= F.lit(min_rows - 1)), x)
                                for x, _a, out, min_rows in direct})
     if not scanned:
-        return tmp
+        return tmp.drop("_none", "_jn")
     B = min(scan_params(a)[0] for _x, a, _o, _m in scanned)
-    b = F.when(j >= 0, F.floor(j / F.lit(B))).otherwise(F.lit(-1)).cast("long")
-    jj = F.when(j >= 0, j - b * F.lit(B)).otherwise(F.lit(0))
+    b = F.when(is_input, F.floor(j / F.lit(B))).otherwise(F.lit(-1)).cast("long")
+    jj = F.when(is_input, j - b * F.lit(B)).otherwise(F.lit(0))
     tmp = tmp.withColumns({"_sb": b, "_sjj": jj})
     # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps.
     sv = {}
     for n, (x, alpha, _out, _m) in enumerate(scanned):
         w = 1.0 - alpha
-        u = F.when(j == 0, x).when(j > 0, F.lit(alpha) * F.coalesce(x, F.lit(0.0))).otherwise(F.lit(0.0))
+        u = F.when(~is_input, F.lit(0.0)).when(j == 0, x).otherwise(F.lit(alpha) * x)
         sv[f"_sv{n}"] = u * F.pow(F.lit(w), -F.col("_sjj"))
     tmp = tmp.withColumns(sv)
 
@@ -281,17 +305,14 @@ def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAI
                      F.when(F.col("_sb") >= 0, F.sum(f"_sv{n}").over(whole) * F.lit(w ** (B - 1)))
                      .otherwise(F.lit(0.0)).alias(f"_slast{n}")]
         return cols
-    tmp = over_series(tmp, block, layout=layout, back=B - 1, ahead=B - 1, extra_keys=["_sb"])
-
-    k_max = 1
+    tmp = over_series(tmp, block, layout=layout, back=B - 1, ahead=B - 1, order="_jn",
+                      extra_keys=["_none", "_sb"])
 
     def carry(ws: Window) -> list[Column]:
-        nonlocal k_max
         cols = []
         for n, (_x, alpha, _out, _m) in enumerate(scanned):
             w = 1.0 - alpha
             K = int(math.ceil(40.0 / (B * -math.log(w)))) + 1
-            k_max = max(k_max, K)
             total = None
             for k in range(1, K + 1):
                 t = F.coalesce(F.lag(f"_slast{n}", k * B).over(ws), F.lit(0.0)) * F.lit(w ** (B * (k - 1)))
@@ -299,12 +320,12 @@ def linear_scans(df: DataFrame, specs: Sequence[tuple], *, layout: Layout = PLAI
             cols.append(total.alias(f"_scarry{n}"))
         return cols
     k_all = max(int(math.ceil(40.0 / (B * -math.log(1.0 - a)))) + 1 for _x, a, _o, _m in scanned)
-    tmp = over_series(tmp, carry, layout=layout, back=k_all * B)
-    drop = ["_sb", "_sjj"]
+    tmp = over_series(tmp, carry, layout=layout, back=k_all * B, order="_jn", extra_keys=["_none"])
+    drop = ["_sb", "_sjj", "_none", "_jn"]
     outs = {}
     for n, (x, alpha, out, min_rows) in enumerate(scanned):
         w = 1.0 - alpha
         y = F.col(f"_sloc{n}") + F.pow(F.lit(w), F.col("_sjj") + 1) * F.col(f"_scarry{n}")
-        outs[out] = F.when(x.isNotNull() & (j >= F.lit(min_rows - 1)), y)
+        outs[out] = F.when(is_input & (j >= F.lit(min_rows - 1)), y)
         drop += [f"_sv{n}", f"_sloc{n}", f"_slast{n}", f"_scarry{n}"]
     return tmp.withColumns(outs).drop(*drop)

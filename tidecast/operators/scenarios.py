@@ -9,22 +9,27 @@ uniform of (seed, series, path, step), reproducible in SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.functions.expr import md5_uniform
-from tidecast.operators.ordered import IDX, PLAIN, Layout, over_series
+from tidecast.functions.expr import md5_uniform, safe_div
+from tidecast.operators.ordered import IDX, PLAIN, Layout, over_series, running
 
 FAN_QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
 def past_log_returns(bars: DataFrame, *, col: str = "close", layout: Layout = PLAIN) -> DataFrame:
-    """(series, k, r): the k-th one-bar log return of each series (k = i - 1),
-    from indexed clean bars (positive prices)."""
+    """(series, k, r): the k-th known one-bar log return of each series, from
+    indexed bars.  A return is known if both prices are positive; others are
+    left out and the rest numbered without gaps, so every draw hits one."""
     d = over_series(bars.select("series", IDX, col),
                     lambda w: [F.lag(col, 1).over(w).alias("_prev")], layout=layout, back=1)
-    return (d.where(F.col(IDX) >= 1)
-            .select("series", (F.col(IDX) - 1).alias("k"), F.ln(F.col(col) / F.col("_prev")).alias("r")))
+    known = (F.col(col) > 0) & (F.col("_prev") > 0)
+    d = d.withColumn("r", F.when(known, F.ln(safe_div(F.col(col), F.col("_prev")))))
+    d = running(d, [("_n", F.col("r"), "count")], layout=layout)
+    return d.where(F.col("r").isNotNull()).select("series", (F.col("_n") - 1).alias("k"), "r")
 
 
 def _path_rows(rets: DataFrame, paths: int, horizon: int, parallelism: int | None) -> DataFrame:
@@ -87,7 +92,7 @@ def block_scenario_fan(rets: DataFrame, paths: int = 1000, horizon: int = 30, se
 def threshold_probability(paths_df: DataFrame, level: float) -> DataFrame:
     """SC3: share of paths whose cumulative simple return is at or beyond
     ``level`` (e.g. 0.1 = +10 %, -0.1 = -10 %) at each step."""
-    thr = F.lit(float(__import__("math").log1p(level)))
+    thr = F.lit(math.log1p(level))
     hit = (F.col("cum_return") >= thr) if level >= 0 else (F.col("cum_return") <= thr)
     return paths_df.groupBy("series", "step").agg(
         F.avg(hit.cast("double")).alias("probability"), F.count(F.lit(1)).alias("paths"))

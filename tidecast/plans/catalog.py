@@ -7,6 +7,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from tidecast.operators import bars as tb
 from tidecast.operators import features as fe
 from tidecast.operators import indicators as ti
@@ -56,10 +58,11 @@ def q_io2(spark, sf_dir):
     return finish(clean)
 
 
-@query("io2_clean_bars_rejects", f"""WITH bars AS ({bars_sql('lineitem')}),
-d AS (SELECT series, ts, open, high, low, close, volume, count(*) AS copies
+REJECTS_SQL = f"""d AS (SELECT series, ts, open, high, low, close, volume, count(*) AS copies
       FROM bars GROUP BY series, ts, open, high, low, close, volume),
-v AS (SELECT *, CASE WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL THEN 'null_price'
+v AS (SELECT *, CASE WHEN series IS NULL OR ts IS NULL THEN 'null_key'
+                     WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL THEN 'null_price'
+                     WHEN isnan(open) OR isnan(high) OR isnan(low) OR isnan(close) THEN 'nan_price'
                      WHEN least(open, high, low, close) <= 0 THEN 'non_positive_price'
                      WHEN high < low THEN 'high_below_low' END AS invalid FROM d),
 w AS (SELECT series, ts, arg_max(struct_pack(wo := open, wh := high, wl := low, wc := close, wv := volume),
@@ -72,7 +75,11 @@ t AS (SELECT v.*, (w.win IS NOT NULL AND v.open IS NOT DISTINCT FROM w.win.wo AN
 SELECT series, ts, {r('open', 'open')}, {r('high', 'high')}, {r('low', 'low')}, {r('close', 'close')},
   {r('volume', 'volume')}, coalesce(invalid, 'duplicate') AS reason,
   CASE WHEN invalid IS NULL AND is_winner THEN copies - 1 ELSE copies END AS copies
-FROM t WHERE (CASE WHEN invalid IS NULL AND is_winner THEN copies - 1 ELSE copies END) > 0""")
+FROM t WHERE (CASE WHEN invalid IS NULL AND is_winner THEN copies - 1 ELSE copies END) > 0"""
+
+
+@query("io2_clean_bars_rejects", f"""WITH bars AS ({bars_sql('lineitem')}),
+{REJECTS_SQL}""")
 def q_io2r(spark, sf_dir):
     """IO2: the rejected rows (with reason and copy count) of supplier daily bars."""
     bars, _ = fixture_bars(spark, sf_dir, "lineitem")
@@ -80,6 +87,27 @@ def q_io2r(spark, sf_dir):
     return finish(rejects)
 
 
+DIRTY_SQL = """SELECT CASE WHEN day(ts) = 13 THEN NULL ELSE series END AS series, CASE WHEN day(ts) = 11 THEN NULL ELSE ts END AS ts,
+  CASE WHEN day(ts) = 7 THEN -open ELSE open END AS open, CASE WHEN day(ts) = 9 THEN low / 2 ELSE high END AS high, low,
+  CASE WHEN day(ts) = 3 THEN NULL ELSE close END AS close, volume FROM raw
+UNION ALL SELECT series, ts, open, high, low, close, volume + 1 FROM raw WHERE day(ts) = 15"""
+
+
+@query("io2_dirty_bars_rejects", f"""WITH raw AS ({bars_sql('lineitem')}), bars AS ({DIRTY_SQL}),
+{REJECTS_SQL}""")
+def q_io2d(spark, sf_dir):
+    """IO2: the rejected rows of supplier daily bars with NULLs, wrong prices and duplicates put in by day of the month."""
+    raw, _ = fixture_bars(spark, sf_dir, "lineitem")
+    day = F.dayofmonth("ts")
+    dirty = raw.select(
+        F.when(day != 13, F.col("series")).alias("series"), F.when(day != 11, F.col("ts")).alias("ts"),
+        F.when(day == 7, -F.col("open")).otherwise(F.col("open")).alias("open"),
+        F.when(day == 9, F.col("low") / 2).otherwise(F.col("high")).alias("high"), "low",
+        F.when(day != 3, F.col("close")).alias("close"), "volume")
+    again = raw.where(day == 15).withColumn("volume", F.col("volume") + 1).select(dirty.columns)
+    return finish(io.clean_bars(dirty.unionByName(again))[1])
+
+
 @query("io5_chart_table", with_bars("orders", extra="""x AS (SELECT *, epoch_us(ts) AS xu FROM bars),
 rg AS (SELECT series, min(xu) AS lo, max(xu) AS hi FROM x GROUP BY series),
 bk AS (SELECT x.*, CASE WHEN hi = lo THEN 1 ELSE least((xu - lo) * 50 // (hi - lo) + 1, 50) END AS bucket

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import safe_div
+from tidecast.operators.ordered import over_series
 from tidecast.operators import bars as tb
 from tidecast.operators import evaluate as ev
 from tidecast.operators import features as fe
@@ -207,8 +209,9 @@ def model_table(spark: SparkSession, sf_dir: str, *, checkpoint: bool = True) ->
     d = ti.sma(d, 10, layout=lay)
     d = ti.rsi(d, 14, layout=lay)
     d = fe.target(d, 1, "return", layout=lay)
-    d = fe.calendar(d).withColumn("sma_ratio", F.col("close") / F.col("sma10") - 1)
-    d = d.select("series", "ts", "i", "close", *FEATURES, LABEL)
+    d = over_series(d, lambda w: [F.lead("ts", 1).over(w).alias("label_ts")], layout=lay, ahead=1)
+    d = fe.calendar(d).withColumn("sma_ratio", safe_div(F.col("close"), F.col("sma10")) - 1)
+    d = d.select("series", "ts", "i", "close", "label_ts", *FEATURES, LABEL)
     d = va.with_steps(d)
     return cut_lineage(d) if checkpoint else d
 
@@ -219,7 +222,11 @@ QUICK = dict(maxIter=15)
 def _split(spark, sf_dir):
     d = model_table(spark, sf_dir)
     s = va.chrono_split(d, 0.8, 0.0)
-    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    start = test.agg(F.min("ts")).first()[0]
+    if start is not None:  # a label that is known only in the test range is no training label
+        train = train.where(F.col("label_ts") < F.lit(start).cast("timestamp_ntz"))
+    return train, test
 
 
 @query("mo1_gbt_forecast")

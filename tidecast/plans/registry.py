@@ -4,14 +4,8 @@ from __future__ import annotations
 
 
 def all_queries():
-    from tidecast.plans import catalog  # noqa: F401  (registers on import)
-    for mod in ("tidecast.plans.flagship", "tidecast.plans.modelling", "tidecast.plans.scenario_plans",
-                "tidecast.plans.feature_table", "tidecast.plans.hybrid"):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as e:
-            if e.name != mod:
-                raise
+    # the plan modules register their queries on import
+    from tidecast.plans import catalog, feature_table, flagship, hybrid, modelling, scenario_plans  # noqa: F401
     out = dict(catalog.REGISTRY)
     # The scale path (halo windows, distributed index, chunked running
     # aggregates, blocked scans) checked against the same oracles: small chunks

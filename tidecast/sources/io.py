@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import ntz_micros
+from tidecast.operators.ordered import join_null_safe
 from tidecast.schema import BARS, conform
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """IO1: landed bar files read with the fixed BARS schema (never inferred)."""
+    """IO1: landed bar files read with the fixed BARS schema (types never
+    inferred).  Parquet and CSV files that lack one of its columns raise an
+    error; JSON files may leave out NULL fields."""
+    if fmt in ("parquet", "csv"):
+        there = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", "true").csv(path)
+        missing = [c for c in BARS.fieldNames() if c not in there.columns]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)}")
     reader = spark.read.schema(BARS)
     if fmt == "parquet":
         df = reader.parquet(path)
@@ -27,14 +35,15 @@ def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
     df.write.mode(mode).format(fmt).option("header", "true").save(path)
 
 
-REJECT_REASONS = ("duplicate", "null_price", "non_positive_price", "high_below_low")
+REJECT_REASONS = ("duplicate", "null_key", "null_price", "nan_price", "non_positive_price", "high_below_low")
 _VALUES = ("open", "high", "low", "close", "volume")
 
 
 def clean_bars(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """IO2: (clean, rejects).
 
-    Validity: NULL or non-positive price, or high < low, rejects a row.
+    Validity: a NULL series or ts, a NULL, NaN or non-positive price, or high <
+    low rejects a row; each input row is in one of the two results only.
     Duplicates: one row per (series, ts) is kept, the first valid row in the
     order (volume desc, close, open, high, low); the other copies are rejected
     as ``duplicate``.
@@ -48,10 +57,12 @@ def clean_bars(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     the reject row stands for).
     """
     prices = [F.col(c) for c in ("open", "high", "low", "close")]
-    any_null = prices[0].isNull()
+    any_null, any_nan = prices[0].isNull(), F.isnan(prices[0])
     for p in prices[1:]:
-        any_null = any_null | p.isNull()
-    invalid = (F.when(any_null, F.lit("null_price"))
+        any_null, any_nan = any_null | p.isNull(), any_nan | F.isnan(p)
+    invalid = (F.when(F.col("series").isNull() | F.col("ts").isNull(), F.lit("null_key"))
+               .when(any_null, F.lit("null_price"))
+               .when(any_nan, F.lit("nan_price"))
                .when(F.least(*prices) <= 0, F.lit("non_positive_price"))
                .when(F.col("high") < F.col("low"), F.lit("high_below_low")))
     distinct = (bars.groupBy("series", "ts", *_VALUES).agg(F.count(F.lit(1)).alias("copies"))
@@ -109,7 +120,7 @@ def chart_table(df: DataFrame, x: str, ys: list[str], buckets: int,
     n = F.lit(buckets).cast("long")
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
         F.least(F.expr(f"((_x - _lo) * {buckets}) div (_hi - _lo)") + 1, n))
-    j = base.join(rng, by).withColumn("bucket", b.cast("int"))
+    j = join_null_safe(base, rng, [by]).withColumn("bucket", b.cast("int"))
     aggs = [F.min(x).alias("x_first"), F.max(x).alias("x_last")]
     for y in ys:
         aggs += [F.min(y).alias(f"{y}_min"), F.max(y).alias(f"{y}_max"),
