@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from tidecast.llm.arrow_words import slices
 from tidecast.llm.schemas import plus
 
-WORDS = 150_000  # cached words and table entries of a worker
-ENTRIES = 200_000
+WORDS = 200_000  # cached words and table entries of a worker
+ENTRIES = 300_000
 LATE = 1 << 30
 
 
@@ -60,9 +60,9 @@ class TokenAutomaton:
         entry = last << 32 | token
         known = self.table.get(entry)
         if known is None:
-            if len(self.table) >= ENTRIES:
-                self.table.clear()
-            known = self.table[entry] = self._has_arc(last, token)
+            known = self._has_arc(last, token)
+            if len(self.table) < ENTRIES:
+                self.table[entry] = known
         return known
 
     def _has_arc(self, last: int, token: int) -> bool:
