@@ -88,4 +88,5 @@ def test_walk_forward_golden(spark):
     assert sorted(by[(0, "test")]) == [6, 7]
     assert sorted(by[(1, "train")]) == [1, 2, 3, 4, 5, 6]
     assert sorted(by[(1, "test")]) == [8, 9]
-    assert {k[0] for k in by} == {0, 1}  # fold 2 (test 10-11) is incomplete and dropped
+    assert sorted(by[(2, "test")]) == [10]  # the last block is short: no step stays unscored
+    assert {k[0] for k in by} == {0, 1, 2}

@@ -183,15 +183,15 @@ def sequence_windows(df: DataFrame, cols: Sequence[str], n: int, *, layout: Layo
 def assemble(df: DataFrame, cols: Sequence[str], *, out: str = "features",
              series_col: str | None = "series"):
     """FE11: feature columns (and optionally the indexed series key) into one
-    vector; rows with NULL / NaN features are skipped.  Returns an unfitted
-    Pipeline and the list of input names in vector order."""
+    vector; a NULL / NaN feature is NaN in it, so every row is kept.  Returns an
+    unfitted Pipeline and the list of input names in vector order."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     stages, names = [], list(cols)
     if series_col:
         stages.append(StringIndexer(inputCol=series_col, outputCol="_series_idx",
-                                    handleInvalid="keep"))
+                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
         names = names + ["_series_idx"]
-    stages.append(VectorAssembler(inputCols=names, outputCol=out, handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=names, outputCol=out, handleInvalid="keep"))
     return Pipeline(stages=stages), names

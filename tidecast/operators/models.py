@@ -9,20 +9,23 @@ recurrent networks (see README, "Not built").
 
 from __future__ import annotations
 
-from typing import Sequence
+from functools import reduce
+from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import md5_uniform, ntz_micros, safe_div
 from tidecast.operators import evaluate as ev
 from tidecast.operators.features import sequence_windows
-from tidecast.operators.ordered import IDX, PLAIN, Layout
+from tidecast.operators.ordered import IDX, PLAIN, Layout, join_null_safe
 from tidecast.operators.quantiles import exact_quantiles
+from tidecast.operators.validation import overlapped, walk_forward_run
+from tidecast.session import cut_lineage
 
 # Named presets for the two boosters (MLlib GBT parameters).
 GBT_PRESETS = {
@@ -33,21 +36,43 @@ GBT_PRESETS = {
 }
 
 
-def _vector(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip")
+def known(cols: Sequence[str]) -> Column:
+    """True where every column is neither NULL nor NaN."""
+    return F.expr(_known_sql(cols))
+
+
+def _known_sql(cols: Sequence[str]) -> str:
+    return " AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(CAST(`{c}` AS DOUBLE))" for c in cols)
+
+
+def _stages(features: Sequence[str], regressor, vector: str = "features") -> list:
+    """Assembler, regressor, and a last stage that leaves ``yhat`` NULL where a feature
+    is unknown: such rows are never trained on, but they are kept."""
+    return [VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="keep"),
+            regressor.setFeaturesCol(vector).setPredictionCol("_yhat"),
+            SQLTransformer(statement=f"SELECT *, CASE WHEN {_known_sql(features)} THEN _yhat END AS yhat FROM __THIS__")]
+
+
+REGRESSOR = 1  # position of the fitted regressor among the stages
 
 
 def gbt_forecast(train: DataFrame, features: Sequence[str], label: str, *, preset: str = "xgb",
                  validation_col: str | None = None, seed: int = 7, **params) -> PipelineModel:
     """MO1: boosted-tree regressor.  With ``validation_col`` (MO2) training
     stops when the error on the flagged rows stops improving by
-    ``validationTol``."""
+    ``validationTol``.  Rows with an unknown feature get a NULL ``yhat``."""
     p = dict(GBT_PRESETS[preset])
     p.update(params)
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="yhat", seed=seed, **p)
+    gbt = GBTRegressor(labelCol=label, seed=seed, **p)
     if validation_col:
         gbt.setValidationIndicatorCol(validation_col)
-    return Pipeline(stages=[_vector(features), gbt]).fit(train.where(F.col(label).isNotNull()))
+    return Pipeline(stages=_stages(features, gbt)).fit(train.where(known([*features, label])))
+
+
+def linear_forecast(train: DataFrame, features: Sequence[str], label: str, *, reg: float = 0.0) -> PipelineModel:
+    """Least squares (ridge with ``reg``) on the features, solved in closed form."""
+    lr = LinearRegression(labelCol=label, regParam=reg, solver="normal")
+    return Pipeline(stages=_stages(features, lr)).fit(train.where(known([*features, label])))
 
 
 def early_stop(train: DataFrame, features: Sequence[str], label: str, *, val_fraction: float = 0.2,
@@ -109,21 +134,20 @@ def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12)
 
 
 def ensemble_stack(preds: DataFrame, models: Sequence[str], *, train_folds: Sequence[int],
-                   keys=("series",)) -> DataFrame:
+                   keys=("series",), reg: float = 1e-6) -> DataFrame:
     """MO6: linear meta-model over members' out-of-fold predictions.
 
     Members are pivoted to columns (the model list is given, so the pivot needs
     no extra pass); the meta-model is fit on ``train_folds`` and applied to
-    the rest (pass only earlier folds to stay leak-free)."""
+    the rest (pass only earlier folds to stay leak-free).  A row that lacks a
+    member's prediction is not fitted on and gets a NULL ``yhat``."""
     k = list(keys)
     wide = (preds.groupBy(*k, "fold", "ts", "horizon")
             .pivot("model", list(models)).agg(F.first("yhat"))
             .join(preds.select(*k, "fold", "ts", "horizon", "y").dropDuplicates([*k, "fold", "ts", "horizon"]),
                   [*k, "fold", "ts", "horizon"]))
     fit_rows = wide.where(F.col("fold").isin(list(train_folds)))
-    model = Pipeline(stages=[_vector(models, "stack_x"),
-                             LinearRegression(featuresCol="stack_x", labelCol="y", predictionCol="yhat",
-                                              regParam=1e-6)]).fit(fit_rows)
+    model = linear_forecast(fit_rows, models, "y", reg=reg)
     rest = wide.where(~F.col("fold").isin(list(train_folds)))
     return (model.transform(rest).select(*k, "fold", "ts", "horizon", "y", "yhat")
             .withColumn("model", F.lit("ensemble_stack")))
@@ -131,89 +155,108 @@ def ensemble_stack(preds: DataFrame, models: Sequence[str], *, train_folds: Sequ
 
 def feature_importance(model: PipelineModel, names: Sequence[str], spark: SparkSession) -> DataFrame:
     """MO7: split importance of the fitted tree ensemble, one row per feature."""
-    tree = model.stages[-1]
+    tree = model.stages[REGRESSOR]
     imp = tree.featureImportances.toArray().tolist()
     rows = sorted(zip(names, imp), key=lambda r: -r[1])
     return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
                                  "feature string, importance double, rank int")
 
 
-def permute_within_blocks(df: DataFrame, col: str, *, seed: int = 11, block: int = 1024,
-                          series: str = "series") -> DataFrame:
-    """Replace ``col`` by a permutation of itself inside each (series, block of
-    ``block`` consecutive bar indexes): positions are re-ranked by an md5 draw and
-    the value moved there by an equi self-join.  Groups stay bounded."""
-    b = F.floor(F.col(IDX) / F.lit(block)).cast("long")
-    keyed = df.withColumn("_blk", b).withColumn("_u", md5_uniform(F.lit(seed), F.lit(col), F.col(series), F.col(IDX)))
-    w = Window.partitionBy(series, "_blk")
-    src = (keyed.withColumn("_pos", F.row_number().over(w.orderBy("_u", IDX)))
-           .select(series, "_blk", "_pos", F.col(col).alias("_perm")))
-    dst = keyed.withColumn("_pos", F.row_number().over(w.orderBy(IDX)))
-    return (dst.join(src, [series, "_blk", "_pos"]).drop(col, "_blk", "_u", "_pos")
-            .withColumnRenamed("_perm", col))
+def _series_rank(df: DataFrame, order: Sequence[str], bucket: Column, out: str, series: str) -> DataFrame:
+    """0-based rank of each row in its series by (``bucket``, ``order``): ranked inside
+    (series, bucket) and offset by the counts of the buckets before, so no series is
+    sorted by one task.  ``bucket`` must not decrease along ``order``."""
+    d = df.withColumn("_rb", bucket)
+    local = d.withColumn("_rl", F.row_number().over(Window.partitionBy(series, "_rb").orderBy(*order)) - 1)
+    counts = d.groupBy(series, "_rb").agg(F.count(F.lit(1)).alias("_rn"))
+    before = Window.partitionBy(series).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(series, "_rb", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_ro"))
+    return (join_null_safe(local, offsets, [series, "_rb"])
+            .withColumn(out, (F.col("_rl") + F.col("_ro")).cast("long")).drop("_rb", "_rl", "_ro"))
+
+
+def permuted(df: DataFrame, cols: Sequence[str], *, seed: int = 11, series: str = "series",
+             task_rows: int = 65_536) -> DataFrame:
+    """Add ``_perm``, the ``cols`` of another row of the same series: rows are ranked over
+    the whole series by bar index and by an md5 draw of (seed, series, index), and equal
+    ranks meet in an equi-join.  Each row is drawn exactly once.  ``task_rows`` sets how
+    many buckets the ranking is dealt over and changes nothing else."""
+    longest = df.groupBy(series).agg(F.count(F.lit(1)).alias("n"), F.max(IDX).alias("i")).agg(F.max("n"), F.max("i")).first()
+    buckets = max(1, -(-(longest[0] or 0) // task_rows))
+    width = max(1, -(-((longest[1] or 0) + 1) // buckets))
+    drawn = df.withColumn("_u", md5_uniform(F.lit(seed), F.coalesce(F.col(series).cast("string"), F.lit("")), F.col(IDX)))
+    src = _series_rank(drawn, ["_u", IDX], F.floor(F.col("_u") * buckets).cast("long"), "_pos", series)
+    src = src.select(series, "_pos", F.struct(*cols).alias("_perm"))
+    dst = _series_rank(df, [IDX], F.floor(F.col(IDX) / F.lit(width)).cast("long"), "_pos", series)
+    return join_null_safe(dst, src, [series, "_pos"]).drop("_pos")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
                            *, seed: int = 11) -> DataFrame:
-    """MO8: RMSE increase when one feature is permuted (within series blocks)."""
-    def score(d):
-        p = model.transform(d).withColumn("y", F.col(label)).withColumn("model", F.lit("m"))
-        return p.groupBy("model").agg(ev.rmse_expr().alias("rmse"))
-
-    base = score(df).first()["rmse"]  # one scalar
-    out = None
-    for f in features:
-        s = score(permute_within_blocks(df, f, seed=seed)).select(
-            F.lit(f).alias("feature"), F.col("rmse").alias("permuted_rmse"))
-        out = s if out is None else out.unionByName(s)
-    return (out.withColumn("base_rmse", F.lit(base).cast("double"))
-            .withColumn("importance", F.col("permuted_rmse") - F.col("base_rmse")))
-
-
-def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, *,
-                   fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0), preset: str = "xgb",
-                   ts: str = "ts", spark: SparkSession | None = None, **params) -> DataFrame:
-    """MO9: test RMSE when training on growing time prefixes of ``train``, and
-    per boosting round on the largest of them (``evaluateEachIteration``)."""
-    spark = spark or train.sparkSession
+    """MO8: RMSE increase when one feature is permuted over each whole series.  All
+    features share one permutation, so rows are ranked and joined once."""
+    keep = [c for c in df.columns if c not in features]
+    pairs = cut_lineage(permuted(df, features, seed=seed))
+
+    def scored(swapped: str | None) -> DataFrame:
+        d = pairs.select(*keep, *[F.col(f"_perm.{f}").alias(f) if f == swapped else f for f in features])
+        return model.transform(d).select(F.lit(swapped or "").alias("model"), F.col(label).alias("y"), "yhat")
+
+    runs = reduce(DataFrame.unionByName, [scored(f) for f in (None, *features)])
+    rmse = runs.groupBy("model").agg(ev.rmse_expr().alias("rmse")).collect()  # one row per feature
+    by = {r["model"]: r["rmse"] for r in rmse}
+    base = by.get("")
+    rows = [(f, by.get(f), base, None if base is None or by.get(f) is None else by[f] - base) for f in features]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, permuted_rmse double, base_rmse double, importance double")
+
+
+Estimator = Callable[[DataFrame], PipelineModel]  # training rows -> fitted model that adds ``yhat``
+
+
+def learning_curve(train: DataFrame, test: DataFrame, estimator: Estimator, label: str, *,
+                   fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0), ts: str = "ts",
+                   threads: int = 4) -> DataFrame:
+    """MO9: test RMSE of ``estimator`` fitted on growing time prefixes of ``train`` and,
+    if the model fitted on the largest is boosted, its error after each round."""
     us = ntz_micros(F.col(ts))
     by_p = {r["p"]: int(r["value"]) for r in exact_quantiles(train, us, list(fractions)).collect()}
-    rows = []
-    full = None
-    for frac in fractions:
-        cut = by_p[float(frac)]
-        part = train.where(us <= F.lit(cut))
-        m = gbt_forecast(part, features, label, preset=preset, **params)
-        p = m.transform(test).withColumn("y", F.col(label)).withColumn("model", F.lit("m"))
-        rmse = p.groupBy("model").agg(ev.rmse_expr()).first()[1]
-        rows.append(("prefix", float(frac), float(rmse) if rmse is not None else None))
-        if frac == max(fractions):
-            full = m
-    assembled = full.stages[0].transform(test.where(F.col(label).isNotNull()))
-    errs = full.stages[-1].evaluateEachIteration(assembled, "squared")
-    rows += [("round", float(i + 1), float(e) ** 0.5) for i, e in enumerate(errs)]
-    return spark.createDataFrame(rows, "curve string, x double, rmse double")
-
-
-def walk_forward_search(df: DataFrame, spec, features: Sequence[str], label: str,
-                        grid: Sequence[dict], *, preset: str = "xgb") -> DataFrame:
+    scored = test.withColumn("y", F.col(label))
+
+    def one(frac: float) -> tuple[float, PipelineModel, float | None]:
+        m = estimator(train.where(us <= F.lit(by_p[float(frac)])))
+        return float(frac), m, m.transform(scored).agg(ev.rmse_expr()).first()[0]
+
+    curve = overlapped(one, fractions, threads)
+    rows = [("prefix", frac, rmse) for frac, _m, rmse in curve]
+    full = max(curve, key=lambda c: c[0])[1]
+    fitted = full.stages[REGRESSOR] if len(full.stages) > REGRESSOR else None
+    if hasattr(fitted, "evaluateEachIteration"):
+        rounds = full.transform(test).where(F.col("yhat").isNotNull() & known([label])).drop("_yhat", "yhat")
+        errs = fitted.evaluateEachIteration(rounds, "squared")
+        rows += [("round", float(i + 1), float(e) ** 0.5) for i, e in enumerate(errs)]
+    return train.sparkSession.createDataFrame(rows, "curve string, x double, rmse double")
+
+
+def walk_forward_search(df: DataFrame, spec, grid: Sequence[dict],
+                        fit_predict: Callable[[DataFrame, DataFrame, dict], DataFrame], *,
+                        label_ts: str | None = None, threads: int = 4) -> DataFrame:
     """MO10: every grid point scored on every walk-forward fold; mean and std of
-    RMSE per point, ``best`` marks the lowest mean.  Folds × grid fits run as
-    a driver loop of distributed fits; only (point, fold, rmse) rows come back."""
-    from tidecast.operators.validation import walk_forward_run
-
+    RMSE per point, ``best`` marks the lowest mean.  ``fit_predict(train, test,
+    params)`` returns rows (y, yhat) of any estimator.  Fits of folds and grid
+    points overlap; only (point, fold, rmse) rows come back."""
     spark = df.sparkSession
-    results = []
-    for gi, params in enumerate(grid):
-        def fit_predict(train, test, k, params=params):
-            m = gbt_forecast(train, features, label, preset=preset, **params)
-            return m.transform(test).select("series", "ts", F.col(label).alias("y"), "yhat")
-        preds = walk_forward_run(df, spec, fit_predict).withColumn("model", F.lit(f"g{gi}"))
-        for row in preds.groupBy("fold").agg(ev.rmse_expr().alias("rmse")).collect():
-            results.append((gi, str(sorted(params.items())), int(row["fold"]), float(row["rmse"])))
+
+    def score(train, test, k):
+        runs = [fit_predict(train, test, p).select(F.lit(g).alias("point"), "y", "yhat") for g, p in enumerate(grid)]
+        return reduce(DataFrame.unionByName, runs).groupBy("point").agg(ev.rmse_expr().alias("rmse"))
+
+    scores = walk_forward_run(df, spec, score, label_ts=label_ts, threads=threads)
+    named = [str(sorted(p.items())) for p in grid]
+    results = [(r["point"], named[r["point"]], r["fold"], r["rmse"]) for r in scores.collect()]  # points x folds
     res = spark.createDataFrame(results, "point int, params string, fold int, rmse double")
     summary = res.groupBy("point", "params").agg(F.avg("rmse").alias("mean_rmse"),
                                                  F.stddev_samp("rmse").alias("std_rmse"),
-                                                 F.count("fold").alias("folds"))
-    best = summary.orderBy("mean_rmse", "point").first()["point"]  # one scalar
-    return summary.withColumn("best", F.col("point") == F.lit(best))
+                                                 F.count("rmse").alias("folds"))
+    best = summary.orderBy(F.col("mean_rmse").asc_nulls_last(), "point").first()  # one row
+    return summary.withColumn("best", F.col("point") == F.lit(best["point"] if best else None))

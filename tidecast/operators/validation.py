@@ -8,7 +8,9 @@ future.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -40,21 +42,23 @@ def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: st
     return df.withColumn("split", split)
 
 
-def step_calendar(df: DataFrame, *, ts: str = "ts", bar_seconds: int = 86400) -> DataFrame:
-    """Distinct timestamps numbered 0.. in time order (column ``t``).
+def step_calendar(df: DataFrame, *, ts: str = "ts") -> DataFrame:
+    """Distinct timestamps numbered 0.. in time order (column ``t``); NULL is no step.
 
-    Numbered with the engine's distributed bar index (one pseudo-series), so a
-    long calendar is not sorted by one task."""
-    cal = df.select(F.col(ts).alias("ts")).distinct().withColumn("_one", F.lit("all"))
-    layout = Layout.auto(cal, bar_seconds=bar_seconds, series="_one")
-    return bar_index(cal, layout).select("ts", F.col(IDX).alias(STEP))
+    Numbered with the engine's distributed bar index (one pseudo-series), whose
+    buckets are as wide as the calendar's mean step asks for, so a long calendar
+    is not sorted by one task."""
+    cal = df.select(F.col(ts).alias("ts")).where(F.col("ts").isNotNull()).distinct().withColumn("_one", F.lit("all"))
+    us = ntz_micros(F.col("ts"))
+    n, span = cal.agg(F.count(F.lit(1)), F.max(us) - F.min(us)).first()
+    step = max(1, round((span or 0) / max(1, n) / 1e6))
+    return bar_index(cal, Layout(mode="halo", series="_one", bar_seconds=step)).select("ts", F.col(IDX).alias(STEP))
 
 
-def with_steps(df: DataFrame, *, ts: str = "ts", bar_seconds: int = 86400) -> DataFrame:
-    """Attach the step number ``t`` of each row's timestamp (equi-join on ts;
-    AQE broadcasts the calendar when it is measured small)."""
-    cal = step_calendar(df, ts=ts, bar_seconds=bar_seconds)
-    return df.join(cal.withColumnRenamed("ts", ts), ts)
+def with_steps(df: DataFrame, *, ts: str = "ts") -> DataFrame:
+    """Attach the step number ``t`` of each row's timestamp, NULL where that is NULL
+    (equi-join on ts; AQE broadcasts the calendar when it is measured small)."""
+    return df.join(step_calendar(df, ts=ts).withColumnRenamed("ts", ts), ts, "left")
 
 
 @dataclass(frozen=True)
@@ -65,7 +69,8 @@ class WalkForward:
     mode: str = "expanding"  # or "sliding" (train range keeps ``initial`` steps)
 
     def n_folds(self, n_steps: int) -> int:
-        return max(0, (n_steps - self.initial - self.gap) // self.test)
+        """Test blocks that start inside the calendar; the last may be shorter than ``test``."""
+        return max(0, -(-(n_steps - self.initial - self.gap) // self.test))
 
     def train_hi(self, k):
         return self.initial + k * self.test            # exclusive
@@ -80,63 +85,83 @@ class WalkForward:
         return self.test_lo(k) + self.test              # exclusive
 
 
-def walk_forward(df: DataFrame, spec: WalkForward, *, ts: str = "ts",
-                 bar_seconds: int = 86400) -> DataFrame:
-    """VA2: fold membership of every row: (…, t, fold, role in {train, test}).
+def _n_folds(d: DataFrame, spec: WalkForward) -> int:
+    n_steps = d.agg(F.max(STEP)).first()[0]
+    return spec.n_folds(0 if n_steps is None else n_steps + 1)
+
 
-    A fold whose test block would run past the calendar is dropped.  Each row
-    lists the folds it belongs to through arithmetic on its step number and an
-    ``explode`` (no range join, no fold table).  The output is, by nature, as
-    large as the sum of all folds' train and test sets.
+def fold_ranges(df: DataFrame, spec: WalkForward, *, ts: str = "ts") -> DataFrame:
+    """VA2, one row per input row: (…, t, test_fold, train_from, train_to).
+
+    ``test_fold`` is the fold whose test block holds the row, and folds
+    ``train_from..train_to`` train on it; each is NULL where there is none.  Plain
+    arithmetic on the step number, so the output is as large as the input.  Every
+    step after the first training range and its gap is tested: the last block may
+    be shorter than ``spec.test``.
     """
-    d = df if STEP in df.columns else with_steps(df, ts=ts, bar_seconds=bar_seconds)
-    n_steps = d.agg(F.max(STEP)).first()[0]
-    n_folds = spec.n_folds(0 if n_steps is None else n_steps + 1)
-    t = F.col(STEP)
-    last = F.lit(n_folds - 1)
-    # test: the unique fold whose test block holds t
-    k_test = F.floor((t - F.lit(spec.initial + spec.gap)) / F.lit(spec.test))
-    test_fold = F.when((t >= F.lit(spec.initial + spec.gap)) & (k_test <= last), k_test)
-    # train: folds k with train_lo(k) <= t < train_hi(k)
-    k_lo = F.greatest(F.lit(0), F.floor((t - F.lit(spec.initial)) / F.lit(spec.test)) + 1)
-    if spec.mode == "expanding":
-        k_hi = last
-    elif spec.mode == "sliding":
-        k_hi = F.least(last, F.floor(t / F.lit(spec.test)))
-    else:
+    if spec.mode not in ("expanding", "sliding"):
         raise ValueError(spec.mode)
-    memberships = F.concat(
-        F.when(k_lo <= k_hi, F.transform(F.sequence(k_lo, F.greatest(k_lo, k_hi)),
-                                         lambda k: F.struct(k.cast("int").alias("fold"),
-                                                            F.lit("train").alias("role"))))
-        .otherwise(F.array().cast("array<struct<fold:int,role:string>>")),
-        F.when(test_fold.isNotNull(), F.array(F.struct(test_fold.cast("int").alias("fold"),
-                                                       F.lit("test").alias("role"))))
-        .otherwise(F.array().cast("array<struct<fold:int,role:string>>")))
-    return (d.withColumn("_m", F.explode(memberships))
-            .select("*", F.col("_m.fold").alias("fold"), F.col("_m.role").alias("role"))
-            .drop("_m"))
+    d = df if STEP in df.columns else with_steps(df, ts=ts)
+    last = F.lit(_n_folds(d, spec) - 1)
+    t = F.col(STEP)
+    first_test = spec.initial + spec.gap
+    test_fold = F.when(t >= F.lit(first_test), F.floor((t - F.lit(first_test)) / F.lit(spec.test)))
+    lo = F.greatest(F.lit(0), F.floor((t - F.lit(spec.initial)) / F.lit(spec.test)) + 1)
+    hi = last if spec.mode == "expanding" else F.least(last, F.floor(t / F.lit(spec.test)))
+    trains = t.isNotNull() & (lo <= hi)
+    return d.withColumns({"test_fold": test_fold.cast("int"),
+                          "train_from": F.when(trains, lo).cast("int"),
+                          "train_to": F.when(trains, hi).cast("int")})
+
+
+def walk_forward(df: DataFrame, spec: WalkForward, *, ts: str = "ts") -> DataFrame:
+    """VA2, one row per (row, fold): (…, t, fold, role in {train, test}).
+
+    ``fold_ranges`` exploded, so the output is, by nature, as large as the sum of all
+    folds' train and test sets; read ``fold_ranges`` where that is too much.
+    """
+    member = lambda k, role: F.struct(k.cast("int").alias("fold"), F.lit(role).alias("role"))
+    none = F.array().cast("array<struct<fold:int,role:string>>")
+    trained = F.when(F.col("train_from").isNotNull(),
+                     F.transform(F.sequence("train_from", "train_to"), lambda k: member(k, "train"))).otherwise(none)
+    tested = F.when(F.col("test_fold").isNotNull(), F.array(member(F.col("test_fold"), "test"))).otherwise(none)
+    return (fold_ranges(df, spec, ts=ts)
+            .withColumn("_m", F.explode(F.concat(trained, tested)))
+            .drop("test_fold", "train_from", "train_to")
+            .select("*", "_m.fold", "_m.role").drop("_m"))
 
 
 def walk_forward_run(df: DataFrame, spec: WalkForward,
                      fit_predict: Callable[[DataFrame, DataFrame, int], DataFrame], *,
-                     folds: list[int] | None = None) -> DataFrame:
+                     folds: list[int] | None = None, label_ts: str | None = None, threads: int = 4) -> DataFrame:
     """VA3: fit and predict fold by fold; union of the out-of-fold predictions.
 
     ``df`` carries the step number ``t`` (see ``with_steps``) and is cut from a
     checkpointed table by the caller.  Each fold is two filters on ``t`` (no
     exploded membership table) and one distributed fit.  ``fit_predict(train,
-    test, fold)`` returns prediction rows; the driver only loops over folds.
+    test, fold)`` returns prediction rows.  With ``label_ts``, the time at which a
+    row's label is known, training rows whose label is known only in the test block
+    or later are left out (a series with gaps can reach over ``spec.gap`` steps).
+    Up to ``threads`` folds are fitted at the same time; the result does not depend
+    on it.
     """
-    n_steps = df.agg(F.max(STEP)).first()[0]
-    n = spec.n_folds(0 if n_steps is None else n_steps + 1)
-    out = None
-    for k in (folds if folds is not None else range(n)):
-        t = F.col(STEP)
+    t = F.col(STEP)
+
+    def one(k: int) -> DataFrame:
         train = df.where((t >= spec.train_lo(k)) & (t < spec.train_hi(k)))
         test = df.where((t >= spec.test_lo(k)) & (t < spec.test_hi(k)))
-        preds = fit_predict(train, test, k).withColumn("fold", F.lit(k).cast("int"))
-        out = preds if out is None else out.unionByName(preds)
-    if out is None:
-        raise ValueError("no complete fold: series too short for this walk-forward spec")
-    return out
+        start = test.agg(F.min("ts")).first()[0] if label_ts else None
+        if start is not None:
+            train = train.where(F.col(label_ts) < F.lit(start).cast("timestamp_ntz"))
+        return fit_predict(train, test, k).withColumn("fold", F.lit(k).cast("int"))
+
+    parts = overlapped(one, folds if folds is not None else range(_n_folds(df, spec)), threads)
+    if not parts:
+        raise ValueError("no test step: series too short for this walk-forward spec")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def overlapped(work: Callable, items, threads: int) -> list:
+    """``[work(x) for x in items]`` with up to ``threads`` of them submitting Spark jobs at once."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        return list(pool.map(work, items))

@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from tidecast.operators import bars as tb
 from tidecast.operators import features as fe
 from tidecast.operators import indicators as ti
-from tidecast.plans.common import bars_sql, finish, fixture_bars, indexed_bars, r, with_bars
+from tidecast.plans.common import bars_sql, finish, fixture_bars, indexed_bars, r, rsql, with_bars
 from tidecast.sources import io
 from tidecast.sources.tables import FIXTURES
 
@@ -362,15 +362,24 @@ def q_fe10(spark, sf_dir):
     return finish(d.select("series", "ts", "i", "close_seq", "volume_seq"))
 
 
-@query("fe11_assemble")
+_FE11 = ["close_lag1", "close_lag2", "close_lag3", "close_mean10", "close_std10"]
+
+
+@query("fe11_assemble", with_bars(extra="""names AS (SELECT series, CAST(row_number() OVER (ORDER BY series) - 1 AS DOUBLE) AS k FROM (SELECT DISTINCT series FROM bars)),
+f AS (SELECT series, ts, i, lag(close, 1) OVER w AS l1, lag(close, 2) OVER w AS l2, lag(close, 3) OVER w AS l3,
+    CASE WHEN count(close) OVER w10 >= 10 THEN avg(close) OVER w10 END AS m,
+    CASE WHEN count(close) OVER w10 >= 10 THEN stddev_pop(close) OVER w10 END AS s
+  FROM ib WINDOW w AS (PARTITION BY series ORDER BY i), w10 AS (PARTITION BY series ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))""")
+       + f"""SELECT series, ts, i, [{', '.join(rsql(c) for c in ('l1', 'l2', 'l3', 'm', 's', 'k'))}] AS features FROM f JOIN names USING (series)""")
 def q_fe11(spark, sf_dir):
-    """FE11: lag and rolling features assembled to a vector (rows with NULLs skipped)."""
+    """FE11: lag and rolling features and the series index assembled to a vector, read
+    back as an array (NaN, an unknown feature, as NULL)."""
     d, lay = indexed_bars(spark, sf_dir)
     d = fe.lags(d, "close", [1, 2, 3], layout=lay)
     d = fe.rolling(d, "close", 10, ["mean", "std"], layout=lay)
-    cols = ["close_lag1", "close_lag2", "close_lag3", "close_mean10", "close_std10"]
-    pipe, _names = fe.assemble(d, cols)
-    return pipe.fit(d).transform(d).select("series", "ts", "i", "features")
+    pipe, _names = fe.assemble(d, _FE11)
+    values = F.transform(vector_to_array("features"), lambda v: F.nanvl(v, F.lit(None).cast("double")))
+    return finish(pipe.fit(d).transform(d).select("series", "ts", "i", values.alias("features")))
 
 
 # --------------------------------------------------------------- indicators

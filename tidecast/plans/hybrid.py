@@ -1,7 +1,7 @@
 """The hybrid workflow as one plan: indicator features ->
 members (boosted trees, lookback linear regression, last value) fit per
-walk-forward fold -> inverse-RMSE ensemble from earlier folds -> metrics and
-leaderboard.  Everything is in next-bar return space, so members and the
+walk-forward fold -> inverse-RMSE ensemble from earlier folds, and a linear stack
+fitted on the first half of the folds for the rest -> metrics and leaderboard.  Everything is in next-bar return space, so members and the
 ensemble are comparable across series of any price level.
 """
 
@@ -15,37 +15,42 @@ from tidecast.operators import models as mo
 from tidecast.operators import validation as va
 from tidecast.plans.catalog import query
 from tidecast.plans.common import finish
-from tidecast.plans.modelling import FEATURES, LABEL, QUICK, WF_MODELS, model_table
+from tidecast.plans.modelling import FEATURES, LABEL, WF_MODELS, model_rows
 from tidecast.session import cut_lineage
 
 LOOKBACK = 10
+MEMBERS = ["gbt_xgb", "window_linear", "naive_last"]
 
 
 def hybrid_predictions(spark: SparkSession, sf_dir: str, spec: va.WalkForward = WF_MODELS) -> DataFrame:
-    base = model_table(spark, sf_dir, checkpoint=False)
-    table = cut_lineage(mo.window_frame(base, LOOKBACK))  # lookback vectors next to the features
+    base, layout = model_rows(spark, sf_dir)
+    table = cut_lineage(mo.window_frame(base, LOOKBACK, layout=layout))  # lookback vectors next to the features
 
     def fit_predict(train, test, k):
-        gbt = mo.gbt_forecast(train, FEATURES, LABEL, **QUICK)
+        gbt = mo.gbt_forecast(train, FEATURES, LABEL)
         lin = mo.window_regression(train, LABEL)
+        scored = mo.known(FEATURES)  # every member predicts the same rows
         cols = ["series", "ts", F.col(LABEL).alias("y")]
         p_gbt = gbt.transform(test).select(F.lit("gbt_xgb").alias("model"), *cols, "yhat")
-        p_lin = lin.transform(test).select(F.lit("window_linear").alias("model"), *cols, "yhat")
-        p_last = test.select(F.lit("naive_last").alias("model"), *cols, F.lit(0.0).alias("yhat"))
+        p_lin = lin.transform(test).select(F.lit("window_linear").alias("model"), *cols, F.when(scored, F.col("yhat")).alias("yhat"))
+        p_last = test.select(F.lit("naive_last").alias("model"), *cols, F.when(scored, F.lit(0.0)).alias("yhat"))
         return p_gbt.unionByName(p_lin).unionByName(p_last)
 
-    preds = va.walk_forward_run(table, spec, fit_predict).withColumn("horizon", F.lit(1))
-    preds = cut_lineage(preds)  # fits happen once; ensemble and metrics reuse them
-    ens = mo.ensemble_weighted(preds).select("model", "fold", "series", "ts", "horizon", "y", "yhat")
-    return preds.select("model", "fold", "series", "ts", "horizon", "y", "yhat").unionByName(ens)
+    preds = va.walk_forward_run(table, spec, fit_predict, label_ts="label_ts").withColumn("horizon", F.lit(1))
+    preds = cut_lineage(preds)  # fits happen once; ensembles and metrics reuse them
+    cols = ["model", "fold", "series", "ts", "horizon", "y", "yhat"]
+    last = preds.agg(F.max("fold")).first()[0]
+    earlier = list(range(last // 2 + 1))  # the stack learns from the first half of the folds
+    stack = mo.ensemble_stack(preds, MEMBERS, train_folds=earlier)
+    return preds.select(cols).unionByName(mo.ensemble_weighted(preds).select(cols)).unionByName(stack.select(cols))
 
 
 @query("hybrid_walk_forward_ensemble")
 def q_hybrid(spark, sf_dir):
-    """Members and their weighted ensemble scored per (model, series) over all
+    """Members, their weighted ensemble and their stack scored per (model, series) over all
     out-of-fold predictions, with each model's rank per series."""
     preds = hybrid_predictions(spark, sf_dir)
     per_fold = ev.rmse(preds, ["model", "series", "fold"])
-    board = ev.leaderboard(per_fold, 4).select("series", "model", "rank")
+    board = ev.leaderboard(per_fold, 5).select("series", "model", "rank")
     scores = ev.metrics(preds, ["model", "series"])
     return finish(scores.join(board, ["series", "model"], "left"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import safe_div
-from tidecast.operators.ordered import over_series
+from tidecast.operators.ordered import Layout, over_series
 from tidecast.operators import bars as tb
 from tidecast.operators import evaluate as ev
 from tidecast.operators import features as fe
@@ -177,54 +178,108 @@ def q_va1(spark, sf_dir):
 WF = va.WalkForward(initial=1000, test=100, gap=1)
 
 
-@query("va2_walk_forward", with_bars(extra=f"""cal AS (SELECT ts, CAST(row_number() OVER (ORDER BY ts) - 1 AS BIGINT) AS t FROM (SELECT DISTINCT ts FROM bars)),
-nf AS (SELECT greatest(0, (count(*) - {WF.initial} - {WF.gap}) // {WF.test}) AS n FROM cal),
-folds AS (SELECT CAST(unnest(range(0, n)) AS INTEGER) AS fold FROM nf),
-bt AS (SELECT b.series, b.ts, c.t FROM bars b JOIN cal c ON b.ts = c.ts)""") + f"""
-SELECT series, ts, t, fold, 'train' AS role FROM bt JOIN folds ON t < {WF.initial} + fold * {WF.test}
+def _folds_sql(wf: va.WalkForward) -> str:
+    """CTEs cal (ts, t) and folds (fold, train_hi, test_lo, test_hi) of an expanding walk-forward."""
+    return f"""cal AS (SELECT ts, CAST(row_number() OVER (ORDER BY ts) - 1 AS BIGINT) AS t FROM (SELECT DISTINCT ts FROM bars)),
+nf AS (SELECT greatest(0, (count(*) - {wf.initial} - {wf.gap} + {wf.test - 1}) // {wf.test}) AS n FROM cal),
+folds AS (SELECT CAST(k AS INTEGER) AS fold, {wf.initial} + k * {wf.test} AS train_hi, {wf.initial + wf.gap} + k * {wf.test} AS test_lo,
+    {wf.initial + wf.gap} + (k + 1) * {wf.test} AS test_hi FROM (SELECT unnest(range(0, n)) AS k FROM nf))"""
+
+
+@query("va2_walk_forward", with_bars(extra=_folds_sql(WF) + """,
+bt AS (SELECT b.series, b.ts, c.t FROM bars b JOIN cal c ON b.ts = c.ts)""") + """
+SELECT series, ts, t, fold, 'train' AS role FROM bt JOIN folds ON t < train_hi
 UNION ALL
-SELECT series, ts, t, fold, 'test' AS role FROM bt JOIN folds
-  ON t >= {WF.initial + WF.gap} + fold * {WF.test} AND t < {WF.initial + WF.gap} + (fold + 1) * {WF.test}""")
+SELECT series, ts, t, fold, 'test' AS role FROM bt JOIN folds ON t >= test_lo AND t < test_hi""")
 def q_va2(spark, sf_dir):
     """VA2: expanding walk-forward folds on the shared step calendar (initial
-    1000 steps, test blocks of 100, gap 1)."""
+    1000 steps, test blocks of 100, gap 1; the last block may be shorter)."""
     bars, _ = indexed_bars(spark, sf_dir)
     return va.walk_forward(bars.select("series", "ts"), WF).select("series", "ts", "t", "fold", "role")
 
 
+@query("va2_fold_ranges", with_bars(extra=_folds_sql(WF) + """,
+bt AS (SELECT b.series, b.ts, c.t FROM bars b JOIN cal c ON b.ts = c.ts)""") + """
+SELECT series, ts, t, any_value(fold) FILTER (t >= test_lo AND t < test_hi) AS test_fold,
+  min(fold) FILTER (t < train_hi) AS train_from, max(fold) FILTER (t < train_hi) AS train_to
+FROM bt LEFT JOIN folds ON true GROUP BY series, ts, t""")
+def q_va2_ranges(spark, sf_dir):
+    """VA2 without the explosion: per row its test fold and the folds that train on it."""
+    bars, _ = indexed_bars(spark, sf_dir)
+    return va.fold_ranges(bars.select("series", "ts"), WF).select("series", "ts", "t", "test_fold", "train_from", "train_to")
+
+
 # ---------------------------------------------------------------- model table
 FEATURES = ["ret", "ret_lag1", "ret_lag2", "ret_lag3", "ret_lag5", "sma_ratio", "rsi14", "ret_std10",
             "dow", "month"]
 LABEL = "target_return_1"
 
 
-def model_table(spark: SparkSession, sf_dir: str, *, checkpoint: bool = True) -> DataFrame:
-    """Daily order bars with lag / indicator / calendar features and the next
-    bar's return as label, cut from its lineage (shared checkpoint folder)
-    because model loops scan it many times."""
+def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
+    """Daily order bars with lag / indicator / calendar features, the next bar's
+    return as label and the time ``label_ts`` at which it is known; their layout."""
     d, lay = indexed_bars(spark, sf_dir)
     d = tb.returns(d, "simple", 1, out="ret", layout=lay)
     d = fe.lags(d, "ret", [1, 2, 3, 5], layout=lay)
     d = fe.rolling(d, "ret", 10, ["std"], layout=lay)
     d = ti.sma(d, 10, layout=lay)
     d = ti.rsi(d, 14, layout=lay)
-    d = fe.target(d, 1, "return", layout=lay)
-    d = over_series(d, lambda w: [F.lead("ts", 1).over(w).alias("label_ts")], layout=lay, ahead=1)
+    d = with_label(d, lay)
     d = fe.calendar(d).withColumn("sma_ratio", safe_div(F.col("close"), F.col("sma10")) - 1)
-    d = d.select("series", "ts", "i", "close", "label_ts", *FEATURES, LABEL)
-    d = va.with_steps(d)
-    return cut_lineage(d) if checkpoint else d
+    return va.with_steps(d.select("series", "ts", "i", "close", "label_ts", *FEATURES, LABEL)), lay
 
 
-QUICK = dict(maxIter=15)
+def with_label(d: DataFrame, lay: Layout) -> DataFrame:
+    d = fe.target(d, 1, "return", layout=lay)
+    return over_series(d, lambda w: [F.lead("ts", 1).over(w).alias("label_ts")], layout=lay, ahead=1)
+
+
+def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model_rows`` cut from their lineage (shared checkpoint folder), because model
+    loops scan them many times."""
+    return cut_lineage(model_rows(spark, sf_dir)[0])
 
 
-def _split(spark, sf_dir):
-    d = model_table(spark, sf_dir)
+def _split(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """First 80 % of the calendar and the rest, purged of labels known only in the latter."""
     s = va.chrono_split(d, 0.8, 0.0)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     start = test.agg(F.min("ts")).first()[0]
-    if start is not None:  # a label that is known only in the test range is no training label
+    if start is not None:
+        train = train.where(F.col("label_ts") < F.lit(start).cast("timestamp_ntz"))
+    return train, test
+
+
+RET_N = (1, 2, 3, 5, 10, 20)
+
+
+def return_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean returns over the last n bars (``ret_mean{n}``) with the next bar's return as
+    label: the input of the one-feature regressions, which SQL can reproduce."""
+    d, lay = indexed_bars(spark, sf_dir)
+    d = tb.returns(d, "simple", 1, out="ret", layout=lay)
+    for n in RET_N:
+        d = fe.rolling(d, "ret", n, ["mean"], layout=lay)
+    d = with_label(d, lay)
+    return cut_lineage(va.with_steps(d.select("series", "ts", "label_ts", *[f"ret_mean{n}" for n in RET_N], LABEL)))
+
+
+def _returns_sql(extra: str) -> str:
+    """CTE m (series, ts, label_ts, x1.., y): ``return_table`` in SQL."""
+    xs = ", ".join(f"CASE WHEN count(ret) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) >= {n} "
+                   f"THEN avg(ret) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) END AS x{n}" for n in RET_N)
+    return with_bars(extra=f"""rt AS (SELECT series, ts, i, lead(ts) OVER w AS label_ts, close / nullif(lag(close) OVER w, 0) - 1 AS ret,
+    lead(close) OVER w / nullif(close, 0) - 1 AS y FROM ib WINDOW w AS (PARTITION BY series ORDER BY i)),
+m AS (SELECT series, ts, label_ts, y, {xs} FROM rt WINDOW w AS (PARTITION BY series ORDER BY i)),
+{extra}""")
+
+
+def _split(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """First 80 % of the calendar and the rest, purged of labels known only in the latter."""
+    s = va.chrono_split(d, 0.8, 0.0)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    start = test.agg(F.min("ts")).first()[0]
+    if start is not None:
         train = train.where(F.col("label_ts") < F.lit(start).cast("timestamp_ntz"))
     return train, test
 
@@ -232,22 +287,21 @@ def _split(spark, sf_dir):
 @query("mo1_gbt_forecast")
 def q_mo1(spark, sf_dir):
     """MO1: boosted trees (both presets) on lag / indicator features; test-period predictions."""
-    train, test = _split(spark, sf_dir)
-    out = None
-    for preset in ("xgb", "lgbm"):
-        m = mo.gbt_forecast(train, FEATURES, LABEL, preset=preset, **QUICK)
-        p = m.transform(test).select(F.lit(f"gbt_{preset}").alias("model"), "series", "ts",
-                                     F.col(LABEL).alias("y"), "yhat")
-        out = p if out is None else out.unionByName(p)
-    return finish(out)
+    train, test = _split(model_table(spark, sf_dir))
+
+    def one(preset: str) -> DataFrame:
+        m = mo.gbt_forecast(train, FEATURES, LABEL, preset=preset)
+        return m.transform(test).select(F.lit(f"gbt_{preset}").alias("model"), "series", "ts",
+                                        F.col(LABEL).alias("y"), "yhat")
+    return finish(reduce(DataFrame.unionByName, va.overlapped(one, ("xgb", "lgbm"), 2)))
 
 
 @query("mo2_early_stop")
 def q_mo2(spark, sf_dir):
     """MO2: GBT with chronological validation-based early stopping; reports trees kept."""
-    train, test = _split(spark, sf_dir)
-    m = mo.early_stop(train, FEATURES, LABEL, max_iter=60)
-    trees = m.stages[-1].getNumTrees
+    train, test = _split(model_table(spark, sf_dir))
+    m = mo.early_stop(train, FEATURES, LABEL)
+    trees = m.stages[mo.REGRESSOR].getNumTrees
     return finish(m.transform(test).select("series", "ts", F.col(LABEL).alias("y"), "yhat",
                                            F.lit(trees).alias("trees")))
 
@@ -256,25 +310,35 @@ def q_mo2(spark, sf_dir):
 def q_mo3(spark, sf_dir):
     """MO3: linear autoregression on 10-bar lookback windows (scaled by the last close)."""
     d, lay = indexed_bars(spark, sf_dir)
-    d = fe.target(d, 1, "return", layout=lay)
-    d = mo.window_frame(d, 10, layout=lay)
-    s = va.chrono_split(d, 0.8, 0.0)
-    m = mo.window_regression(s.where(F.col("split") == "train"), LABEL)
-    return finish(m.transform(s.where(F.col("split") == "test"))
+    train, test = _split(cut_lineage(mo.window_frame(with_label(d, lay), 10, layout=lay)))
+    return finish(mo.window_regression(train, LABEL).transform(test)
                   .select("series", "ts", F.col(LABEL).alias("y"), "yhat"))
 
 
 @query("io4_save_load_model")
 def q_io4(spark, sf_dir):
     """IO4: a fitted pipeline saved to the shared folder, loaded back and applied."""
-    train, test = _split(spark, sf_dir)
-    m = mo.gbt_forecast(train, FEATURES, LABEL, **QUICK)
+    train, test = _split(model_table(spark, sf_dir))
+    m = mo.gbt_forecast(train, FEATURES, LABEL)
     path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     io.save_model(m, path)
     back = io.load_model(path)
     return finish(back.transform(test).select("series", "ts", F.col(LABEL).alias("y"), "yhat"))
 
 
+@query("io4_reloaded_same", with_bars(extra="""c AS (SELECT quantile_disc(us, 0.8) AS c1 FROM (SELECT DISTINCT epoch_us(ts) AS us FROM bars))""")
+       + """SELECT series, ts, true AS same FROM bars, c WHERE epoch_us(ts) > c1""")
+def q_io4_same(spark, sf_dir):
+    """IO4: per row of the test range, whether the reloaded model predicts the same value
+    (an invariant, not the value itself)."""
+    train, test = _split(model_table(spark, sf_dir))
+    m = mo.linear_forecast(train, FEATURES, LABEL)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    io.save_model(m, path)
+    both = io.load_model(path).transform(m.transform(test).withColumnRenamed("yhat", "first").drop("features", "_yhat"))
+    return both.select("series", "ts", F.col("yhat").eqNullSafe(F.col("first")).alias("same"))
+
+
 @query("mo6_ensemble_stack")
 def q_mo6(spark, sf_dir):
     """MO6: linear stack of the benchmarks, fit on years before the last two, applied after."""
@@ -286,42 +350,108 @@ def q_mo6(spark, sf_dir):
 
 @query("mo7_feature_importance")
 def q_mo7(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    m = mo.gbt_forecast(train, FEATURES, LABEL, **QUICK)
+    train, _ = _split(model_table(spark, sf_dir))
+    m = mo.gbt_forecast(train, FEATURES, LABEL)
     return finish(mo.feature_importance(m, FEATURES, spark))
 
 
 @query("mo8_permutation_importance")
 def q_mo8(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    m = mo.gbt_forecast(train, FEATURES, LABEL, **QUICK)
+    train, test = _split(model_table(spark, sf_dir))
+    m = mo.gbt_forecast(train, FEATURES, LABEL)
     return finish(mo.permutation_importance(m, test, FEATURES, LABEL))
 
 
+PERM_SEED = 11
+
+
+@query("mo8_permuted_column", with_bars(extra=f"""u AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', '{PERM_SEED}', series, CAST(i AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u FROM ib),
+k AS (SELECT series, ts, i, close, i AS pos, row_number() OVER (PARTITION BY series ORDER BY u, i) - 1 AS drawn FROM u)""")
+       + f"""SELECT a.series, a.ts, a.i, {r('a.close', 'close')}, {r('b.close', 'permuted')} FROM k a JOIN k b ON a.series = b.series AND a.pos = b.drawn""")
+def q_mo8_permuted(spark, sf_dir):
+    """The permutation that MO8 scores with: each close and the one moved to its row."""
+    d, _ = indexed_bars(spark, sf_dir)
+    d = mo.permuted(d.select("series", "ts", "i", "close"), ["close"], seed=PERM_SEED, task_rows=512)
+    return finish(d.select("series", "ts", "i", "close", F.col("_perm.close").alias("permuted")))
+
+
 @query("mo9_learning_curve")
 def q_mo9(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    return finish(mo.learning_curve(train, test, FEATURES, LABEL, fractions=(0.25, 0.5, 1.0), preset="xgb", **QUICK))
+    """MO9: boosted trees on growing prefixes of the training range, then per round."""
+    train, test = _split(model_table(spark, sf_dir))
+    return finish(mo.learning_curve(train, test, lambda d: mo.gbt_forecast(d, FEATURES, LABEL), LABEL))
 
 
-WF_MODELS = va.WalkForward(initial=1200, test=400, gap=1)
+@query("mo9_learning_curve_linear", _returns_sql("""c AS (SELECT quantile_disc(us, 0.8) AS c1 FROM (SELECT DISTINCT epoch_us(ts) AS us FROM bars)),
+te AS (SELECT m.* FROM m, c WHERE epoch_us(ts) > c1),
+tr AS (SELECT m.* FROM m, c WHERE epoch_us(ts) <= c1 AND label_ts < (SELECT min(ts) FROM te)),
+cut AS (SELECT 0.25::DOUBLE AS x, quantile_disc(epoch_us(ts), 0.25) AS us FROM tr UNION ALL SELECT 0.5, quantile_disc(epoch_us(ts), 0.5) FROM tr
+  UNION ALL SELECT 0.75, quantile_disc(epoch_us(ts), 0.75) FROM tr UNION ALL SELECT 1.0, max(epoch_us(ts)) FROM tr),
+fit AS (SELECT cut.x, regr_slope(y, x5) AS b, regr_intercept(y, x5) AS a FROM tr JOIN cut ON epoch_us(ts) <= us WHERE y IS NOT NULL AND x5 IS NOT NULL GROUP BY cut.x)""")
+       + f"""SELECT 'prefix' AS curve, x, {r('sqrt(avg((y - a - b * x5) * (y - a - b * x5)))', 'rmse')} FROM te, fit WHERE y IS NOT NULL AND x5 IS NOT NULL GROUP BY x""")
+def q_mo9_linear(spark, sf_dir):
+    """MO9 with a one-feature least-squares fit."""
+    train, test = _split(return_table(spark, sf_dir))
+    return finish(mo.learning_curve(train, test, lambda d: mo.linear_forecast(d, ["ret_mean5"], LABEL), LABEL))
+
+
+WF_MODELS = va.WalkForward(initial=1200, test=120, gap=1)
 
 
 @query("va3_walk_forward_run")
 def q_va3(spark, sf_dir):
     """VA3: GBT refit on each expanding fold; union of out-of-fold predictions."""
-    d = model_table(spark, sf_dir)
-
     def fit_predict(train, test, k):
-        m = mo.gbt_forecast(train, FEATURES, LABEL, **QUICK)
+        m = mo.gbt_forecast(train, FEATURES, LABEL)
         return m.transform(test).select(F.lit("gbt_xgb").alias("model"), "series", "ts",
                                         F.col(LABEL).alias("y"), "yhat")
-    return finish(va.walk_forward_run(d, WF_MODELS, fit_predict))
+    return finish(va.walk_forward_run(model_table(spark, sf_dir), WF_MODELS, fit_predict, label_ts="label_ts"))
+
+
+def _fold_fits_sql(ns) -> str:
+    """CTE fits (n, fold, a, b): one least-squares fit per window length and fold, purged by label time."""
+    fits = " UNION ALL ".join(
+        f"SELECT {n} AS n, fold, regr_intercept(y, x{n}) AS a, regr_slope(y, x{n}) AS b FROM mt JOIN st ON t < train_hi AND label_ts < start "
+        f"WHERE y IS NOT NULL AND x{n} IS NOT NULL GROUP BY fold" for n in ns)
+    return _folds_sql(WF_MODELS) + f""",
+mt AS (SELECT m.*, t FROM m JOIN cal USING (ts)),
+st AS (SELECT folds.*, ts AS start FROM folds JOIN cal ON t = test_lo),
+fits AS ({fits})"""
+
+
+@query("va3_walk_forward_linear", _returns_sql(_fold_fits_sql([5])) + f"""
+SELECT series, ts, fold, {r('y', 'y')}, {r('a + b * x5', 'yhat')} FROM mt JOIN st ON t >= test_lo AND t < test_hi JOIN fits USING (fold)""")
+def q_va3_linear(spark, sf_dir):
+    """VA3 with a one-feature least-squares fit per fold."""
+    def fit_predict(train, test, k):
+        m = mo.linear_forecast(train, ["ret_mean5"], LABEL)
+        return m.transform(test).select("series", "ts", F.col(LABEL).alias("y"), "yhat")
+    return finish(va.walk_forward_run(return_table(spark, sf_dir), WF_MODELS, fit_predict, label_ts="label_ts"))
 
 
 @query("mo10_walk_forward_search")
 def q_mo10(spark, sf_dir):
-    """MO10: 2-point depth grid scored on the walk-forward folds; best by mean RMSE."""
-    d = model_table(spark, sf_dir)
-    grid = [dict(maxDepth=3, maxIter=10), dict(maxDepth=5, maxIter=10)]
-    return finish(mo.walk_forward_search(d, WF_MODELS, FEATURES, LABEL, grid))
+    """MO10: boosted trees of three depths and two step sizes, ten rounds each, scored on
+    the walk-forward folds; best by mean RMSE."""
+    grid = [dict(maxDepth=depth, stepSize=step, maxIter=10) for depth in (2, 3, 5) for step in (0.1, 0.3)]
+
+    def fit_predict(train, test, params):
+        m = mo.gbt_forecast(train, FEATURES, LABEL, **params)
+        return m.transform(test).select(F.col(LABEL).alias("y"), "yhat")
+    return finish(mo.walk_forward_search(model_table(spark, sf_dir), WF_MODELS, grid, fit_predict, label_ts="label_ts"))
+
+
+@query("mo10_window_search", _returns_sql(_fold_fits_sql(RET_N) + f""",
+xs AS ({' UNION ALL '.join(f"SELECT {g} AS point, {n} AS n, t, y, x{n} AS x FROM mt" for g, n in enumerate(RET_N))}),
+e AS (SELECT point, xs.n, fold, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse FROM xs JOIN st ON t >= test_lo AND t < test_hi
+  JOIN fits USING (n, fold) WHERE y IS NOT NULL AND x IS NOT NULL GROUP BY point, xs.n, fold),
+g AS (SELECT point, n, avg(rmse) AS me, stddev_samp(rmse) AS sd, count(rmse) AS folds FROM e GROUP BY point, n)""") + f"""
+SELECT CAST(point AS INTEGER) AS point, '[(''n'', ' || n || ')]' AS params, {r('me', 'mean_rmse')}, {r('sd', 'std_rmse')}, folds,
+  point = (SELECT arg_min(point, (me, point)) FROM g) AS best FROM g""")
+def q_mo10_window(spark, sf_dir):
+    """MO10 over the window length of a one-feature least-squares fit."""
+    def fit_predict(train, test, params):
+        m = mo.linear_forecast(train, [f"ret_mean{params['n']}"], LABEL)
+        return m.transform(test).select(F.col(LABEL).alias("y"), "yhat")
+    return finish(mo.walk_forward_search(return_table(spark, sf_dir), WF_MODELS, [dict(n=n) for n in RET_N],
+                                         fit_predict, label_ts="label_ts"))

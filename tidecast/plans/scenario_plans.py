@@ -11,7 +11,7 @@ from tidecast.plans.common import bars_sql, finish, indexed_bars, r, with_bars
 from tidecast.session import checkpoint_dir
 from tidecast.streaming.bars import events_tick_stream, run_available, stream_bars
 
-PATHS, HORIZON, SEED, BLOCK = 200, 20, 42, 5
+PATHS, HORIZON, SEED, BLOCK = 1000, 30, 42, 5
 U_SQL = "CAST(('0x' || substr(md5({key}), 1, 13)) AS BIGINT) / 4503599627370496.0"
 
 
