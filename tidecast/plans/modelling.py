@@ -62,14 +62,25 @@ def q_mo4(spark, sf_dir):
                                                     "y_base", "origin_ts"))
 
 
-@query("io3_write_predictions", _naive_sql_ctes() + f"""SELECT {PRED_COLS}, {r('y', 'y')}, {r('yhat', 'yhat')} FROM p""")
+_IO3_SQL = _naive_sql_ctes() + f"""SELECT {PRED_COLS}, {r('y', 'y')}, {r('yhat', 'yhat')} FROM p"""
+
+
+def _written_and_read(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    io.write_predictions(naive_preds(spark, sf_dir), path, fmt)
+    return finish(io.read_predictions(spark, path, fmt))
+
+
+@query("io3_write_predictions", _IO3_SQL)
 def q_io3(spark, sf_dir):
     """IO3: predictions written as parquet partitioned by model, read back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
-    io.write_predictions(naive_preds(spark, sf_dir).select("model", "fold", "series", "ts", "horizon", "y", "yhat"),
-                         path)
-    back = spark.read.parquet(path)
-    return finish(back.select("model", "fold", "series", "ts", "horizon", "y", "yhat"))
+    return _written_and_read(spark, sf_dir, "parquet")
+
+
+@query("io3_write_predictions_csv", _IO3_SQL)
+def q_io3_csv(spark, sf_dir):
+    """IO3: predictions written as CSV partitioned by model, read back."""
+    return _written_and_read(spark, sf_dir, "csv")
 
 
 PAIR = "y IS NOT NULL AND yhat IS NOT NULL"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.expr import ntz_micros
 from tidecast.operators.ordered import join_null_safe
-from tidecast.schema import BARS, conform
+from tidecast.schema import BARS, PREDS, conform
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -86,13 +86,22 @@ def clean_bars(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, rejects
 
 
+CSV = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_predictions(preds: DataFrame, path: str, fmt: str = "parquet",
                       mode: str = "overwrite") -> None:
-    """IO3: predictions partitioned by model (one folder per model)."""
-    (preds.write.mode(mode).format(fmt).option("header", "true")
+    """IO3: predictions (parquet, CSV with header, ...) partitioned by model (one folder per model)."""
+    (conform(preds, PREDS).write.mode(mode).format(fmt).options(**(CSV if fmt == "csv" else {}))
      .partitionBy("model").save(path))
 
 
+def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Predictions written by ``write_predictions``, with the fixed schema."""
+    d = spark.read.schema(PREDS).format(fmt).options(**(CSV if fmt == "csv" else {})).load(path)
+    return d.select(*PREDS.fieldNames())
+
+
 def save_model(model, path: str) -> None:
     """IO4: persist a fitted pipeline (MLlib writer; overwrite)."""
     model.write().overwrite().save(path)
