@@ -117,7 +117,7 @@ class Model:
 
 def start_model(words: list[str], counts: np.ndarray, other: np.ndarray, seed: int = 5) -> Model:
     """Classes of equal mass over the words by falling count, and one class of all groups of other words."""
-    before = np.concatenate([[0], np.cumsum(counts)[:-1]]) / max(1, counts.sum())
+    before = (np.cumsum(counts) - counts) / max(1, counts.sum())
     band = np.minimum((before * CLASSES).astype(np.int64), CLASSES - 1)
     names, band = np.unique(band, return_inverse=True)
     class_of = np.concatenate([band, np.full(OTHER, names.size)])
