@@ -69,6 +69,30 @@ def test_an_item_in_most_documents_is_found(spark):
     assert [d for d, *_ in leaks(spark, docs, [(1, item), (2, "an item that is nowhere to be found in here")])] == list(range(300))
 
 
+@pytest.mark.parametrize("times", [51, 5000])
+def test_repeated_edited_and_partial_copies_equal_brute_force(spark, times):
+    rng = random.Random(12)
+    items = [(k, words(rng, 40)) for k in range(3)]
+    edited = [f"edit{i}" if i % 5 == 4 else w for i, w in enumerate(items[0][1])]
+    around = [(words(rng, 8), words(rng, 8)) for _ in range(5)]
+    texts = [a + copy + b for copy in (edited, items[1][1][:21]) for a, b in around] + [a + items[2][1][:19] + b for a, b in around]
+    number = {w: i + 1 for i, w in enumerate(sorted({w for _, t in items for w in t}))}
+    coded = [[number.get(w, 0) for w in t] for t in texts]
+    want = {(d, k): round(float(s) / 40, 3) for d, t in enumerate(coded) for k, item in items if (s := slow_align([number[w] for w in item], t)) >= 20}
+    assert sorted(want) == [(d, int(d > 4)) for d in range(10)]
+    docs = [(i * len(texts) + d, " ".join(t)) for i in range(-(-times // 5)) for d, t in enumerate(texts)]
+    found = leaks(spark, docs, [(k, " ".join(t)) for k, t in items])
+    assert [f[:3] for f in found] == [(i, k, want[i % len(texts), k]) for i, _ in docs for k in range(3) if (i % len(texts), k) in want]
+
+
+def test_a_phrase_of_many_items_and_documents_loses_no_passage(spark):
+    rng = random.Random(4)
+    phrase = "which of the following is true".split()
+    items = [(k, phrase + words(rng, 20)) for k in range(60)]
+    docs = [(i, " ".join(words(rng, 30) + phrase + (items[i % 60][1][6:] if i % 3 == 0 else words(rng, 20)) + phrase)) for i in range(600)]
+    assert [f[:2] for f in leaks(spark, docs, [(k, " ".join(t)) for k, t in items])] == [(i, i % 60) for i in range(0, 600, 3)]
+
+
 def test_leaks_of_the_table(spark):
     docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()}

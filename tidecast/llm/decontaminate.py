@@ -1,19 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Test items are indexed by their word n-grams. A first pass over the corpus counts in how
-many documents each of these n-grams occurs; an item's seeds are its n-grams that are
-rare, measured against the item's own median (so an item that leaked into very many
-documents, all of whose n-grams are common, keeps its seeds). A second pass joins
-passages to items by the seeds and aligns the words around each seed with the item;
-matches count 1, changed, missing and added words cost half. An item is found if the best
-local alignment reaches ``threshold`` of the item's length.
-
-An alignment that scores s has at least s equal words, so a region with fewer of the
-item's words is passed over: that bound loses nothing.
-
-Scale: two maps over whole texts; the counts are one small aggregate. The index of the
-items is broadcast in blocks of a bounded size, however many items there are; each block
-is one more pass.
+"""Benchmark decontamination: n-gram seeds, an exact bound on shared words, Smith-Waterman alignment.
+
+Test items are indexed by their word n-grams. Passages are joined to items by every n-gram
+they share, however many documents hold it, and the words around each seed are aligned
+with the item; matches count 1, changed, missing and added words cost half. An item is
+found if the best local alignment reaches ``threshold`` of the item's length.
+
+An alignment that scores s has at least s equal words and spans at most the item's words
+and those that may be added. Items of which the whole text, and then windows of that span
+around the seeds, hold fewer words are passed over: that bound loses nothing, and it keeps
+n-grams that are common to many items and texts from being aligned.
+
+Scale: one map over whole texts. The index of the items is broadcast in blocks of a
+bounded size, however many items there are; each block is one more pass.
 """
 
 from __future__ import annotations
@@ -34,8 +32,6 @@ from tidecast.llm.schemas import plus
 SEED = 4
 THRESHOLD = 0.5
 GAP = 0.5  # cost of a changed, missing or added word
-RARE = 50  # documents with an n-gram that is rare in any case
-TIMES = 4  # or so many times the item's median
 BLOCK_CHARS = 8_000_000  # text of the items in one broadcast index
 MARKS = string.punctuation + "«»„“”‘’…–—¿¡"
 MIX = np.int64(0x5851F42D4C957F2D)
@@ -60,7 +56,12 @@ class Items:
         self.keys, self.first = np.unique(flat[order], return_index=True)
         self.last = np.append(self.first[1:], flat.size)
         self.item, self.place = item[order], place[order]
-        self.rare = np.ones(self.keys.size, dtype=bool)
+        self.sizes = np.array([t.size for t in self.texts], dtype=np.int64)
+        bags = [np.unique(t, return_counts=True) for t in self.texts]
+        self.words = np.concatenate([w for w, _ in bags]) if bags else np.empty(0, np.int64)
+        self.times = np.concatenate([n for _, n in bags]) if bags else np.empty(0, np.int64)
+        self.begins = np.concatenate([[0], np.cumsum([w.size for w, _ in bags])]).astype(np.int64)
+        self.room = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)  # a value per word, zero between uses
 
     def grams(self, numbers: np.ndarray) -> np.ndarray:
         """Hash of every run of ``seed`` words; 0 if one of them is in no item."""
@@ -95,55 +96,77 @@ class Items:
         inside = at + self.seed <= begins[text + 1]
         return text[inside], at[inside], found[inside]
 
-    def set_counts(self, counts: np.ndarray) -> None:
-        """An n-gram is a seed if it is rare for one of its items."""
-        gram = np.repeat(np.arange(self.keys.size), self.last - self.first)
-        order = np.argsort(self.item, kind="stable")
-        cuts = np.flatnonzero(np.diff(self.item[order], prepend=-1))
-        limit = np.zeros(len(self.texts))
-        for part in np.split(order, cuts[1:]) if order.size else []:
-            limit[self.item[part[0]]] = max(RARE, TIMES * np.median(counts[gram[part]]))
-        self.use = counts[gram] <= limit[self.item]  # of an n-gram by an item
-        self.rare = np.zeros(self.keys.size, dtype=bool)
-        self.rare[gram[self.use]] = True
+    def shared(self, numbers: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """How many of each item's words ``numbers`` holds, a repeated word as often as both have it."""
+        held, times = np.unique(numbers, return_counts=True)
+        self.room[held] = times
+        at, cuts = _ranges(self.begins[items], self.begins[items + 1])
+        out = np.add.reduceat(np.minimum(self.room[self.words[at]], self.times[at]), cuts)
+        self.room[held] = 0
+        return out
 
     def matches(self, texts: pa.Array, threshold: float) -> list[tuple[int, int, float, int, int]]:
         """(text, item id, score, first word, end) of the best alignment of each text with each item found."""
         numbers, begins = self.read(texts)
         text, at, gram = self.hits(numbers, begins)
-        seeds = np.flatnonzero(self.rare[gram])
-        cuts = np.flatnonzero(np.diff(text[seeds], prepend=-1))
+        cuts = np.flatnonzero(np.diff(text, prepend=-1))
         out = []
-        for part in np.split(seeds, cuts[1:]) if seeds.size else []:
+        for part in np.split(np.arange(text.size), cuts[1:]) if text.size else []:
             k = int(text[part[0]])
             own = numbers[begins[k]:begins[k + 1]]
             out += [(k, *m) for m in self._matches(own, at[part] - begins[k], gram[part], threshold)]
         return out
 
     def _matches(self, numbers: np.ndarray, at: np.ndarray, gram: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
+        grams = np.unique(gram)
+        items = np.unique(self.item[_ranges(self.first[grams], self.last[grams])[0]])
+        items = items[self.shared(numbers, items) >= threshold * self.sizes[items] - 1e-9]
+        if not items.size:
+            return []
         size = self.last[gram] - self.first[gram]
-        row = np.repeat(self.first[gram], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        fits = self.use[row]
-        row, at = row[fits], np.repeat(at, size)[fits]
+        row, at = _ranges(self.first[gram], self.last[gram])[0], np.repeat(at, size)
+        fits = np.isin(self.item[row], items)
+        row, at = row[fits], at[fits]
+        order = np.argsort(self.item[row], kind="stable")
+        cuts = np.flatnonzero(np.diff(self.item[row[order]], prepend=-1))
         out = []
-        for k in np.unique(self.item[row]).tolist():
-            mine = self.item[row] == k
+        for mine in np.split(order, cuts[1:]):
+            k = int(self.item[row[mine[0]]])
             item, m = self.texts[k], self.texts[k].size
             slack = int(m * (1 - threshold) / GAP) + 1  # an alignment that passes has no more added words
             begin = np.maximum(at[mine] - self.place[row[mine]] - slack, 0)
             end = np.minimum(at[mine] - self.place[row[mine]] + m + slack, numbers.size)
             best = None
             for a, b in _merge(begin, end):
-                region = numbers[a:b]
-                if np.isin(region, item).sum() < threshold * m:
-                    continue
-                score, first, last = align(item, region)
-                if score >= threshold * m - 1e-9 and (best is None or score > best[0]):
-                    best = (score, a + first, a + last)
+                for c, d in self._windows(numbers[a:b], k, threshold * m - 1e-9, m + slack):
+                    score, first, last = align(item, numbers[a + c:a + d])
+                    if score >= threshold * m - 1e-9 and (best is None or score > best[0]):
+                        best = (score, a + c + first, a + c + last)
             if best:
                 out.append((self.ids[k], best[0] / m, best[1], best[2]))
         return out
 
+    def _windows(self, region: np.ndarray, k: int, need: float, span: int) -> list[tuple[int, int]]:
+        """Parts of a region that hold every alignment of ``span`` words or fewer with ``need`` words of item ``k``."""
+        words = self.words[self.begins[k]:self.begins[k + 1]]
+        self.room[words] = 1
+        own = self.room[region]
+        self.room[words] = 0
+        until = np.concatenate([[0], np.cumsum(own)])
+        if until[-1] < need:
+            return []
+        begin = np.flatnonzero(own)
+        end = np.minimum(begin + span, region.size)
+        enough = until[end] - until[begin] >= need
+        return [(a, b) for a, b in _merge(begin[enough], end[enough]) if self.shared(region[a:b], np.array([k]))[0] >= need]
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of some ranges, one range after the other, and where each range begins among them."""
+    size = end - begin
+    cuts = np.cumsum(size) - size
+    return np.repeat(begin - cuts, size) + np.arange(size.sum()), cuts
+
 
 def _merge(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     out: list[list[int]] = []
@@ -190,28 +213,10 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, chars: int) -> list[Da
     return [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)] if total else []
 
 
-def _indexes(rows: DataFrame, items: DataFrame, item_col: str, item_text_col: str, seed: int, block_chars: int) -> Iterator[Broadcast]:
-    """For each block of items its index with the seeds marked; ``rows`` has one column, the text."""
-    context = rows.sparkSession.sparkContext
+def _indexes(items: DataFrame, item_col: str, item_text_col: str, seed: int, block_chars: int) -> Iterator[Broadcast]:
+    """The index of each block of items."""
     for block in _blocks(items, item_col, item_text_col, block_chars):
-        index = Items(sorted((r["id"], r["text"]) for r in block.collect()), seed)
-        shared = context.broadcast(index)
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            counts = np.zeros(index.keys.size, dtype=np.int64)
-            for batch in batches:
-                for a, b in slices(batch.column(0)):
-                    text, _, gram = index.hits(*index.read(batch.column(0)[a:b]))
-                    counts += np.bincount(np.unique(text * index.keys.size + gram) % max(1, index.keys.size), minlength=index.keys.size)
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["gram", "n"])
-
-        counts = np.zeros(index.keys.size, dtype=np.int64)
-        for r in rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            counts[r["gram"]] = r["n"]  # at most one row per n-gram of the block
-        index.set_counts(counts)
-        yield context.broadcast(index)
+        yield items.sparkSession.sparkContext.broadcast(Items(sorted((r["id"], r["text"]) for r in block.collect()), seed))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", item_col: str = "item_id",
@@ -228,7 +233,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("d
     text_at = len(id_cols)
     schema = plus(rows.select(*id_cols).schema, "item_id long, score double, first_word long, end_word long")
     out = None
-    for shared in _indexes(rows.select("_text"), items, item_col, item_text_col, seed, block_chars):
+    for shared in _indexes(items, item_col, item_text_col, seed, block_chars):
 
         def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -253,7 +258,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
     own text, so there is no join. What matches nothing is as in ``find_leaks``."""
     place = docs.columns.index(text_col)
     kept = docs
-    for shared in _indexes(docs.select(F.col(text_col).cast("string")), items, item_col, item_text_col, seed, block_chars):
+    for shared in _indexes(items, item_col, item_text_col, seed, block_chars):
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
