@@ -51,6 +51,46 @@ def test_splitting_by_spark_and_block_pairs(spark):
     assert found >= 0.9 * true
 
 
+def test_a_dense_third_of_a_label_is_no_single_task(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    dim, dense, task_rows = 64, 400, 250
+    c = rng.standard_normal(dim)
+    c *= 8 / np.linalg.norm(c)
+    vectors = [c + rng.uniform(0.02, 0.11) * rng.standard_normal(dim) for _ in range(dense)] + [rng.standard_normal(dim) for _ in range(2 * dense)]
+    vectors += vectors[:5]
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)]
+    first = [float(v[0]) for v in vectors[:dense]]
+    largest, compared = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    grow, compare = near_vectors._grow, near_vectors._compare
+
+    def bounded(*args):
+        run = grow(*args)
+
+        def one(key, table):
+            largest.add(int(table.num_rows > task_rows))
+            return run(key, table)
+        return one
+
+    def counted(*args):
+        run = compare(*args)
+
+        def one(key, table):
+            block, near = table.column("block").to_numpy(), np.array([v[0] for v in table.column("vector").to_pylist()])
+            hot = np.isin(near, first)
+            compared.add(int((hot & (block == key[3].as_py())).sum() * (hot & (block == key[4].as_py())).sum()))
+            return run(key, table)
+        return one
+
+    monkeypatch.setattr(near_vectors, "_grow", bounded)
+    monkeypatch.setattr(near_vectors, "_compare", counted)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got, want = result(near_vectors.near_vectors(df, leaf=32, task_rows=task_rows, block=16)), brute(rows)
+    assert {k: got[k] for k in range(dense)} == {k: want[k] for k in range(dense)}
+    assert all(got[k][0] <= want[k][0] for k in want)  # no false link
+    assert largest.value == 0
+    assert compared.value < dense * dense  # at most once, and not those that link for certain
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1),

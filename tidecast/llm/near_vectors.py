@@ -7,18 +7,21 @@ compared exactly; verified links are unioned.
 
 Scale: equal vectors are one row with a count of copies. Groups of more than
 ``task_rows`` rows are split by Spark, one level of all trees a round, with cuts from
-approximate quantiles of all rows; below that, a task grows the rest of the tree. A leaf
-that no direction splits (a dense group) is compared as block pairs over many tasks. A
-pair is counted only in the smallest leaf its vectors share, which a leaf sees from its
-members' leaf lists, so no pair is ever sent on: leaves give counts and a star per linked
-group.
+approximate quantiles of all rows; below that, a task grows the rest of the tree. A
+larger node that no direction splits is dense; dense nodes of all trees that share vectors
+are one group, compared once. It is cut into cells by the angle to the centre of a vector's
+first dense node: pairs of cells that link for certain by the triangle inequality are
+counted from the cells' totals, pairs that cannot link are left out, the others are
+compared over many tasks. A pair is counted only in the smallest leaf its vectors share
+(dense groups come first), which a leaf sees from its members' leaf lists, so no pair is
+ever sent on: leaves give counts and a star per linked group.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.components import connected_components, local_roots
@@ -27,6 +30,9 @@ from tidecast.session import cut_lineage
 QUANTILES = [round(0.25 + 0.025 * k, 3) for k in range(21)]
 DEPTH = 56  # tree and node share one long
 STUCK = 0.9  # a split that leaves more than this share on one side ends the branch
+SHELLS = 64  # of a dense leaf, by angle to its centre
+SAMPLE = 1024  # vectors the centre is the mean of; any centre gives right results
+MARGIN = 1e-7  # radians, far above the rounding of an angle
 
 
 def direction(seed: int, tree: int, depth: int, dim: int) -> np.ndarray:
@@ -62,7 +68,7 @@ def _grow(seed: int, leaf: int, spill: float):
     """Finishes one node: (nid, leaf) for the rows of every leaf below it."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        _, dim, tree, node, done = (k.as_py() for k in key)
+        _, dim, tree, node = (k.as_py() for k in key)
         ids = table.column("nid").to_numpy()
         unit = unit_rows(table.column("vector"))
         out_ids, out_leaves = [], []
@@ -70,7 +76,7 @@ def _grow(seed: int, leaf: int, spill: float):
         while todo:
             rows, at = todo.pop()
             depth = at.bit_length() - 1
-            if not done and rows.size > leaf and depth < DEPTH:
+            if rows.size > leaf and depth < DEPTH:
                 p = unit[rows] @ direction(seed, tree, depth, dim)
                 cut = widest_gap(np.quantile(p, QUANTILES))
                 low, high = rows[p <= cut + spill], rows[p >= cut - spill]
@@ -165,6 +171,80 @@ def _compare(threshold: float, step: int = 512):
     return run
 
 
+def _centre(table: pa.Table) -> pa.Table:
+    """A home and the direction of the mean of its rows."""
+    unit = unit_rows(table.column("vector"))
+    mean = unit.mean(axis=0)
+    size = np.linalg.norm(mean)
+    mean = mean / size if size > 0 else unit[0]
+    return table.select(["home"]).slice(0, 1).append_column("centre", pa.array([mean.tolist()], pa.list_(pa.float64())))
+
+
+def _angle(vectors, centres):
+    out = np.full(len(vectors), np.pi)
+    for i, (v, c) in enumerate(zip(vectors, centres)):
+        if c is not None:
+            v = np.asarray(v, dtype=np.float64)
+            v = v / np.abs(v).max()
+            out[i] = 2 * np.arcsin(min(1.0, np.linalg.norm(v / np.linalg.norm(v) - c) / 2))
+    return type(vectors)(out)
+
+
+def _dense_groups(dense: DataFrame) -> DataFrame:
+    """nid, home (its first dense node) and leaf (below 0: the group of all dense nodes that share vectors with it)."""
+    nodes = dense.select("nid", F.xxhash64("label", "dim", "tree", "node").alias("at"))
+    homes = cut_lineage(nodes.groupBy("nid").agg(F.sort_array(F.collect_set("at")).alias("all")))  # a few per tree
+    edges = homes.select(F.get("all", F.lit(0)).alias("a"), F.explode("all").alias("b")).where("a != b").distinct()
+    groups = connected_components(edges).select(F.col("node").alias("home"), "component")
+    return (homes.select("nid", F.get("all", F.lit(0)).alias("home")).join(groups, "home", "left")
+            .select("nid", "home", F.coalesce("component", "home").bitwiseOR(F.lit(-2**63)).alias("leaf")))
+
+
+def _dense_links(rows: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Links of the dense groups, as ``_compare`` gives them; two rows share one of them at most."""
+    key = ["label", "dim", "leaf"]
+    limit = float(np.arccos(threshold))
+    angle = F.pandas_udf(_angle, "double")
+    sizes = rows.groupBy("home").agg(F.count("*").alias("n"))
+    sample = rows.join(sizes, "home").where(F.pmod(F.xxhash64("nid"), F.ceil(F.col("n") / SAMPLE).cast("long")) == 0)
+    centres = cut_lineage(sample.select("home", "vector").groupBy("home").applyInArrow(_centre, "home long, centre array<double>"))
+    rows = cut_lineage(rows.join(centres, "home", "left").withColumn("angle", angle("vector", "centre")).drop("centre"))
+
+    cuts = rows.groupBy("home").agg(F.percentile_approx("angle", [k / SHELLS for k in range(1, SHELLS)], 1000).alias("cuts"),
+                                    F.least(F.lit(SHELLS), F.ceil(F.count("*") / block)).cast("long").alias("shells"))
+    beyond = F.size(F.filter("cuts", lambda c: c < F.col("angle")))
+    rows = rows.join(cuts, "home").withColumn("shell", F.floor(beyond * F.col("shells") / SHELLS).cast("long")).drop("cuts", "shells")
+    shell = [*key, "home", "shell"]
+    parts = rows.groupBy(*shell).agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
+    rows = cut_lineage(rows.join(parts, shell).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts"))).drop("parts"))
+    cells = rows.groupBy(*shell, "part").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.sum("copies").alias("total"), F.min("nid").alias("first"))
+    cells = cut_lineage(cells.withColumn("block", F.row_number().over(Window.partitionBy(*key).orderBy("home", "shell", "part")).cast("long")))
+    rows = rows.join(cells.select(*shell, "part", "block"), [*shell, "part"]).select(*key, "nid", "copies", "leaves", "vector", "block")
+
+    def side(name: str, of: str) -> DataFrame:
+        return cells.select(*key, F.col("block").alias(name), *(F.col(c).alias(c + of) for c in ("home", "low", "high", "total", "first")))
+
+    a, b = side("lo", "_a"), side("hi", "_b")
+    homes = cells.join(centres, "home", "left").select(*key, "home", "centre").distinct()
+    between = (homes.select(*key, F.col("home").alias("home_a"), "centre")
+               .join(homes.select(*key, F.col("home").alias("home_b"), F.col("centre").alias("other")), key)
+               .withColumn("gap", F.when(F.col("home_a") == F.col("home_b"), 0.0).otherwise(angle("centre", "other"))).drop("centre", "other"))
+    high = F.col("high_a") + F.col("high_b")
+    apart = F.greatest(F.col("gap") - high, F.col("low_a") - F.col("gap") - F.col("high_b"), F.col("low_b") - F.col("gap") - F.col("high_a")) > limit + MARGIN
+    pairs = cut_lineage(a.join(b, key).join(between, [*key, "home_a", "home_b"]).where(~apart)
+                        .select(*key, "lo", "hi", "total_b", "first_a", "first_b", (F.col("gap") + high <= limit - MARGIN).alias("sure")))
+    counted = (pairs.where("sure").groupBy(*key, F.col("lo").alias("block"))
+               .agg(F.sum("total_b").alias("total"), F.max(F.col("lo") == F.col("hi")).alias("itself"), F.min("first_b").alias("root")))
+    sure = rows.join(counted, [*key, "block"]).select("nid", (F.col("total") - F.when(F.col("itself"), F.col("copies")).otherwise(0)).alias("links"), "root")
+    joined = pairs.where("sure and lo < hi").select(F.col("first_a").alias("nid"), F.lit(0).cast("long").alias("links"), F.col("first_b").alias("root"))
+
+    left = pairs.where("lo <= hi and not sure").select(*key, "lo", "hi")
+    sides = left.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    dealt = rows.join(sides, [*key, "block"]).select(*key, "lo", "hi", "block", "nid", "copies", "leaves", "vector")
+    compared = dealt.groupBy(*key, "lo", "hi").applyInArrow(_compare(threshold), "nid long, links long, root long")
+    return sure.unionByName(joined).unionByName(compared)
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                  threshold: float = 0.98, trees: int = 8, leaf: int = 256, spill: float = 0.025,
                  task_rows: int = 20_000, block: int = 2048, seed: int = 11) -> DataFrame:
@@ -190,18 +270,27 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     planted = (distinct.select("nid", "vector", "label", "dim", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
                .withColumn("node", F.lit(1).cast("long")).withColumn("done", F.lit(False)))
     nodes = _split_large(planted, task_rows, seed, spill)
-    leaves = cut_lineage(nodes.groupBy("label", "dim", "tree", "node", "done").applyInArrow(_grow(seed, leaf, spill), "nid long, leaf long"))
+    grown = nodes.where("not done").groupBy("label", "dim", "tree", "node").applyInArrow(_grow(seed, leaf, spill), "nid long, leaf long")
+    leaves = cut_lineage(grown)
+    stuck = nodes.where("done")
+    dense = None if stuck.isEmpty() else cut_lineage(_dense_groups(stuck))
+    if dense is not None:
+        leaves = leaves.unionByName(dense.select("nid", "leaf"))
 
     lists = leaves.groupBy("nid").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))  # a few per tree
     placed = distinct.join(lists, "nid").withColumn("leaf", F.explode("leaves"))
-    blocks = (placed.groupBy("label", "dim", "leaf").agg(F.count("*").alias("n"))
+    loose = placed.where("leaf >= 0")
+    blocks = (loose.groupBy("label", "dim", "leaf").agg(F.count("*").alias("n"))
               .select("label", "dim", "leaf", F.greatest(F.lit(1), F.ceil(F.col("n") / block)).cast("long").alias("blocks")))
-    dealt = (placed.join(blocks, ["label", "dim", "leaf"])
+    dealt = (loose.join(blocks, ["label", "dim", "leaf"])
              .withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
              .select("label", "dim", "leaf", "lo", "hi", "block", "nid", "copies", "leaves", "vector"))
-    found = cut_lineage(dealt.groupBy("label", "dim", "leaf", "lo", "hi").applyInArrow(_compare(threshold), "nid long, links long, root long"))
+    found = dealt.groupBy("label", "dim", "leaf", "lo", "hi").applyInArrow(_compare(threshold), "nid long, links long, root long")
+    if dense is not None:
+        found = found.unionByName(_dense_links(placed.where("leaf < 0").join(dense.select("nid", "home"), "nid"), threshold, block))
+    found = cut_lineage(found)
 
     roots = connected_components(found.where("nid != root").select(F.col("nid").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("nid").agg(F.sum("links").alias("links"))
