@@ -24,6 +24,18 @@ def texts(spark, pages, **columns):
     return [r.text for r in extract_pages(df).orderBy("page_id").collect()]
 
 
+def test_marked_boilerplate_leaves_its_equal_looking_siblings(spark):
+    def page(i, body):
+        return (i, "http://a.example/x", f"<html><body class='has-sidebar no-comments'>{body}</body></html>")
+
+    rows = [page(i, f"<article class='post related-off'><p>A{i}</p><p>B{i}</p><div>D{i}</div></article>") for i in range(20)]
+    marked = ["<p hidden>C</p>", "<p id='ad-1'>C</p>", "<p role='navigation'>C</p>", "<p aria-hidden='true'>C</p>", "<p style='display: none'>C</p>"]
+    rows += [page(20 + k, f"<article><p>A</p><p>B</p>{mark}<p>E</p><div id='ad-1'>C</div><div>D</div></article>") for k, mark in enumerate(marked)]
+    rows += [(25, "http://b.example/x", "<article><p>A</p><p>B</p><p hidden>C</p></article>")]
+    got = {r.page_id: r.text for r in html_wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"A{i}\n\nB{i}\n\nD{i}" for i in range(20)} | {20 + k: "A\n\nB\n\nE\n\nD" for k in range(5)} | {25: "A\n\nB"}
+
+
 def test_articles_of_the_table_equal_brute_force(spark):
     pages = spark.read.parquet(f"{SF01}/pages.parquet")
     got = {r.page_id: r.text for r in extract_pages(pages).collect()}

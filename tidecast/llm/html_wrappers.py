@@ -54,6 +54,7 @@ BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement advertising ad
                          "notice notices alert popup modal overlay newsletter subscribe subscription paywall nav navbar navigation menu submenu breadcrumb breadcrumbs "
                          "sidebar related recommended recommendations share sharing social comment comments commentlist disqus respond reply replies footer masthead "
                          "pagination pager login signin signup register widget widgets toolbar skip copyright disclaimer".split())
+WHOLE_TAGS = frozenset("html body main article".split())  # class words of these tell of the page, not of a container
 MAIN_WORDS = frozenset("content article post entry story main body".split())
 
 _RAW = "|".join(RAW)
@@ -67,19 +68,21 @@ PARTS = re.compile(r"[a-z]+")
 
 @lru_cache(maxsize=4096)
 def _kind(name: str, attrs: str, in_main: bool) -> tuple[str, bool, str | None]:
-    """Token of an element, whether its content is boilerplate, and its claim to hold the article."""
+    """Token of an element ("!" at its end marks boilerplate, so that it never equals one that is
+    none), whether its content is boilerplate, and its claim to hold the article."""
     given = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in ATTR.finditer(attrs)} if "=" in attrs or "hidden" in attrs.lower() else {}
     words = PARTS.findall(given.get("class", "") + " " + given.get("id", ""))
-    boiler = name in BOILER_TAGS or given.get("role") in BOILER_ROLES or not BOILER_WORDS.isdisjoint(words)
+    telling = () if name in WHOLE_TAGS else words
+    boiler = name in BOILER_TAGS or given.get("role") in BOILER_ROLES or not BOILER_WORDS.isdisjoint(telling)
     boiler = boiler or "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
-    boiler = boiler or (name == "header" or "header" in words) and not in_main
+    boiler = boiler or (name == "header" or "header" in telling) and not in_main
     main = None
     if not boiler:
         main = ("article" if name == "article" or given.get("itemprop") == "articlebody" else
                 "main" if name == "main" or given.get("role") == "main" else
                 "content" if name in ("div", "section", "td") and not MAIN_WORDS.isdisjoint(words) else None)
     token = name + "".join("." + w for w in PARTS.findall(given.get("class", "")))
-    return token, boiler, main
+    return token + "!" * boiler, boiler, main
 
 
 class Page:
