@@ -7,13 +7,15 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import bpe, chat, decontaminate, html_wrappers, licenses, masked_lm, near_vectors, pii, quality, simhash
+from tidecast.llm import (bpe, chat, decontaminate, html_wrappers, licenses, masked_lm, near_vectors, periodic_runs, pii, piece_bpe,
+                          quality, simhash, turn_repair)
 from tidecast.session import reach_workers
 
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 CHAT_PROBE = -7
 PROBE_TEXT = r"\### Assistant: </turn> ok"
 
@@ -101,6 +103,90 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """doc_id, text of documents; where crc32(doc_id) mod 10 is 0, the words from the a-th on
+    repeat the p words there (a and p from the same hash), so that some documents hold long runs."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size("w")
+    sized = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    placed = sized.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    placed = placed.withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int"))
+    a, p = F.col("a"), F.col("p")
+    tail = F.slice("w", a + 1, p)
+    times = F.ceil((n - a) / p).cast("int")
+    longer = F.concat(F.slice("w", F.lit(1), a), F.slice(F.flatten(F.array_repeat(tail, times)), F.lit(1), n - a))
+    return placed.select("doc_id", F.when(p.isNotNull(), F.array_join(longer, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, the longest run's start, length, period and exponent_milli, and
+    SHA-256 of all runs and of the text without repeats of every document."""
+    docs = with_planted_run(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("at"), (-r["period"]).alias("by"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    found = periodic_runs.find_runs(docs).withColumn("best", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.at")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.by")).alias("period"), F.floor(F.col("best.length") * 1000 / -F.col("best.by")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens and SHA-256 of the ids and of the decoded text of every document."""
+    model = piece_bpe.PieceModel(path or public_tokenizers.path(PIECE_FILE))
+    encoded = piece_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return piece_bpe.decode(encoded, model).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, gone of rows damaged by a hash of conversation and turn:
+    dropped, emptied, without sentence ends, repeated or of role user."""
+    def text_of(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn"))) % 20
+    marked = turns.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), kind.alias("kind"))
+    return marked.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("kind") == 0).alias("gone"), F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def _joined_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of conversations in order to the SHA-256 of a conversation's pieces as lines."""
+    conv, digest, convs, digests = None, None, [], []
+    for batch in batches:
+        for conv_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if digest is not None and conv_id == conv:
+                digest.update(b"\n")
+            else:
+                if digest is not None:
+                    convs.append(conv)
+                    digests.append(digest.hexdigest())
+                conv, digest = conv_id, hashlib.sha256()
+            digest.update(text.as_buffer())
+    if digest is not None:
+        convs.append(conv)
+        digests.append(digest.hexdigest())
+    yield pa.RecordBatch.from_arrays([pa.array(convs, pa.int64()), pa.array(digests, pa.string())], ["conv", "repaired_sha256"])
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, edits and the SHA-256 of the repaired text of every conversation after damage."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    damaged = damaged_turns(turns)
+    repaired = turn_repair.RepairedTurns(damaged, gone=F.col("gone"))
+    pieces = repaired.texts().repartition("conv_id").sortWithinPartitions("conv_id", "segment").select("conv_id", "text")
+    digests = pieces.mapInArrow(_joined_digests, "conv long, repaired_sha256 string")
+    report = repaired.report()
+    return report.join(digests, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        *report.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over the documents."""
     import corpus_pipeline
@@ -111,7 +197,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_vectors, op2_masked_lm, op3_license_scan, op4_quality, op5_pseudonyms, op6_html_text, op7_bpe,
-                            op8_decontamination, op9_simhash, op10_chat_format, pipeline)}
+                            op8_decontamination, op9_simhash, op10_chat_format, op11_periodic_runs, op12_sentencepiece, op13_turn_repair,
+                            pipeline)}
 
 # DuckDB SQL for the operators that SQL can express.
 ORACLES: dict[str, str] = {
