@@ -7,7 +7,7 @@ what happens inside one token, and at the border of two, depends on those two al
 text has two such sequences, and neither has any prefix of it.
 
 Encoding tries, at each position, the longest piece that an Aho-Corasick automaton found
-there, then shorter ones; a piece is taken if re-merging it with the token before gives
+there, then the shorter ones that begin it; a piece is taken if re-merging it with the token before gives
 the two again. Where no piece fits, the position can be no token's border: a bitfield
 marks it, and the token before gives way to a shorter one. Each position fails once.
 
@@ -37,7 +37,7 @@ from tidecast.llm.arrow_words import slices
 from tidecast.llm.schemas import plus
 
 SPACE = "▁"
-WORDS = 200_000  # cached words and token pairs of a worker
+WORDS = 400_000  # cached words and token pairs of a worker
 PAIRS = 300_000
 
 # Fixed values of the model file's format: numbers of its fields and kinds of pieces.
@@ -176,30 +176,38 @@ class PieceModel:
 
         return Cache()
 
+    @cached_property
+    def shorter(self) -> dict[str, int]:
+        """Length of the next shorter piece that a piece begins with (0: none)."""
+        known = self.vocabulary
+        return {text: next((k for k in range(len(text) - 1, 0, -1) if text[:k] in known), 0) for text in known}
+
     def tokens(self, word: str) -> list[str]:
         """The texts of a word's tokens; characters outside the vocabulary are tokens of their own."""
-        n, fits, known = len(word), self.fits, self.vocabulary
-        lengths: list[list[int]] = [[] if c in known else [1] for c in word]  # of pieces by first place, ascending
-        for last, length in self.matcher.iter(word):
-            lengths[last - length + 1].append(length)
-        failed = bytearray(n + 1)
+        fits, shorter = self.fits, self.shorter
+        longest = {last - length + 1: length for last, length in self.matcher.iter(word)}  # a later one is longer
+        failed = bytearray(len(word) + 1)
         out: list[str] = []
-        untried: list[list[int]] = []
-        at, choices = 0, lengths[0] if n else []
-        while at < n:
-            before = out[-1] if out else ""
-            while choices:
-                end = at + choices.pop()
-                if not failed[end] and fits[before, word[at:end]]:
-                    out.append(word[at:end])
-                    untried.append(choices)
-                    at = end
-                    choices = lengths[at] if at < n else []
-                    break
-            else:
-                failed[at] = 1
-                at -= len(out.pop())
-                choices = untried.pop()
+        at, before = 0, ""
+        while at < len(word):
+            length = longest.get(at, 1)
+            while True:
+                while length:
+                    token = word[at:at + length]
+                    if not failed[at + length] and fits[before, token]:
+                        break
+                    length = shorter.get(token, 0)
+                else:
+                    failed[at] = 1
+                    token = out.pop()
+                    at -= len(token)
+                    before = out[-1] if out else ""
+                    length = shorter.get(token, 0)
+                    continue
+                break
+            out.append(token)
+            at += length
+            before = token
         return out
 
     @cached_property
