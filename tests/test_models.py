@@ -46,7 +46,7 @@ def test_models_beat_naive_on_ar1(spark):
     p_gbt = gbt.transform(test).select(F.lit("gbt").alias("model"), "series", F.col(label).alias("y"), "yhat")
     p_naive = test.select(F.lit("naive").alias("model"), "series", F.col(label).alias("y"), F.col("close").alias("yhat"))
     # linear AR on levels: lookback scaled by the last close, label as a ratio
-    lin = mo.window_regression(train.withColumn("ratio", F.col(label) / F.col("close")), "ratio")
+    lin = mo.window_regression(train.withColumn("ratio", F.col(label) / F.col("close")), 5, "ratio")
     p_lin = lin.transform(test).select(F.lit("linear").alias("model"), "series", F.col(label).alias("y"),
                                        (F.col("yhat") * F.col("close")).alias("yhat"))
     scores = {r["model"]: r["rmse"] for r in ev.rmse(p_gbt.unionByName(p_naive).unionByName(p_lin), ["model"]).collect()}

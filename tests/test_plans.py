@@ -53,3 +53,30 @@ def test_halo_plan_has_no_cartesian_or_python(spark):
     plan = _plan(d)
     for bad in ("Cartesian", "NestedLoop", "Python"):
         assert bad not in plan
+
+
+def _shuffles(plan):
+    import re
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan))
+
+
+def test_one_pass_reads_and_shuffles_once(spark, tmp_path):
+    """The whole panel in the halo layout: one scan of the ticks, at most eight shuffles, nothing run while planning."""
+    import os
+
+    from tidecast.operators.ordered import one_pass
+    from tidecast.plans.feature_table import STEPS
+
+    lay = Layout(mode="halo", chunk_rows=256, bucket_bars=64)
+    bars = tb.ticks_to_bars(FIXTURES["lineitem"](spark, SF001), "day")
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(one_pass(bars, STEPS, layout=lay))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert (sorted(os.listdir(folder)) if os.path.isdir(folder) else []) == before
+    assert plan.count("FileScan") == 1 and _shuffles(plan) <= 8, plan
+    for bad in ("Cartesian", "NestedLoop", "Python"):
+        assert bad not in plan

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidecast.functions.expr import ntz_from_micros, ntz_micros, safe_div
 from tidecast.operators.ordered import IDX, Layout, PLAIN, ensure_index, join_null_safe, over_series, running
 
-# Fixed-width bar sizes in seconds; week and month bars truncate the date.
+# Fixed-width bar sizes in seconds, others in months; those and weeks truncate the date.
 FREQ_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
 def freq_seconds(freq: str | int) -> int:
@@ -17,15 +18,15 @@ def freq_seconds(freq: str | int) -> int:
         return freq
     if freq in FREQ_SECONDS:
         return FREQ_SECONDS[freq]
-    if freq == "month":
-        return 31 * 86400  # upper bound, only used to size index buckets
+    if freq in MONTHS:
+        return 31 * 86400 * MONTHS[freq]  # upper bound, only used to size index buckets
     raise ValueError(f"unknown freq {freq!r}")
 
 
 def bar_start(ts: Column, freq: str | int) -> Column:
     """Start of the bar holding ``ts`` (TIMESTAMP_NTZ in, TIMESTAMP_NTZ out),
     computed on the wall clock: no session-time-zone cast anywhere."""
-    if freq in ("week", "month"):
+    if freq == "week" or freq in MONTHS:
         return F.trunc(ts.cast("date"), freq).cast("timestamp_ntz")
     width = freq_seconds(freq) * 1_000_000
     return ntz_from_micros(F.floor(ntz_micros(ts) / F.lit(width)) * F.lit(width))
@@ -61,44 +62,75 @@ def resample_bars(bars: DataFrame, freq: str | int) -> DataFrame:
         .select("series", "ts", "open", "high", "low", "close", "volume"))
 
 
-def fill_gaps(bars: DataFrame, freq: str | int = "day", *, layout: Layout = PLAIN,
+FILLS = ("ffill", "bfill", "linear")
+_IN_MONTH = 1 << 42  # more microseconds than a month has
+
+
+def _grid(ts: Column, freq: str | int) -> tuple[Column, Column]:
+    """Number of the bar on the calendar grid and what is left over: equal for bars a whole number of widths apart."""
+    us = ntz_micros(ts)
+    if freq in MONTHS:
+        month = (F.year(ts) * 12 + F.month(ts) - 1).cast("long")
+        start = ntz_micros(F.trunc(ts.cast("date"), "month").cast("timestamp_ntz"))
+        return F.floor(month / MONTHS[freq]).cast("long"), F.pmod(month, F.lit(MONTHS[freq])) * F.lit(_IN_MONTH) + us - start
+    width = F.lit(freq_seconds(freq) * 1_000_000)
+    return F.floor(us / width).cast("long"), F.pmod(us, width)
+
+
+def _from_grid(number: Column, rest: Column, freq: str | int) -> Column:
+    if freq in MONTHS:
+        month = number * MONTHS[freq] + F.floor(rest / F.lit(_IN_MONTH)) - 1970 * 12
+        start = F.add_months(F.lit("1970-01-01").cast("date"), month.cast("int")).cast("timestamp_ntz")
+        return ntz_from_micros(ntz_micros(start) + F.pmod(rest, F.lit(_IN_MONTH)))
+    return ntz_from_micros(number * F.lit(freq_seconds(freq) * 1_000_000) + rest)
+
+
+def fill_gaps(bars: DataFrame, freq: str | int = "day", method: str = "ffill", *, layout: Layout = PLAIN,
               bucket_bars: int = 4096) -> DataFrame:
     """TS3: complete calendar per series from its first to its last bar.
 
-    Missing bars get open = high = low = close = last close (forward fill),
-    volume 0 and ``is_filled`` true.  The calendar is generated in buckets of
-    ``bucket_bars`` bars (a per-series row only expands into bucket rows; each
-    bucket row expands into at most ``bucket_bars`` bars), so a long series is
-    generated by many tasks.  Because the result is gap-free, the bar index is
-    arithmetic (no index shuffle).  The calendar of a series starts at its
-    first bar, so weekly bars and bars off the epoch grid keep their places;
-    bars that are not whole bar widths apart raise an error.  Rows with a NULL
-    ts are no bars and are left out.  Fixed-width frequencies only.
+    A missing bar has volume 0 and open = high = low = close by ``method``: the last known
+    close (ffill), the next known one (bfill), or the straight line between the two by bar
+    number (linear); NULL where there is none to go by.  A bar that is there but has a NULL
+    close is filled alike, its other values stay.  ``is_filled`` marks both.
+
+    ``freq``: seconds, a name of a fixed width, or month, quarter, year, whose grid is the
+    calendar's.  The grid of a series starts at its first bar, so weekly bars and bars off
+    the epoch grid keep their places; bars that are not a whole number of bar widths apart
+    raise an error.  Rows with a NULL ts are no bars and are left out; NULL is one more series.
+
+    The calendar is generated in buckets of ``bucket_bars`` bars (a per-series row only
+    expands into bucket rows; each bucket row expands into at most ``bucket_bars`` bars), so
+    a long series is generated by many tasks.  Because the result is gap-free, the bar
+    index is arithmetic (no index shuffle).
     """
-    if isinstance(freq, str) and freq not in FREQ_SECONDS:
-        raise ValueError("fill_gaps needs a fixed-width frequency")
-    width = freq_seconds(freq) * 1_000_000
-    us = ntz_micros(F.col("ts"))
-    off = F.pmod(us, F.lit(width))
-    span = bars.groupBy("series").agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.min(off).alias("_o1"), F.max(off).alias("_o2"))
+    if method not in FILLS:
+        raise ValueError(f"unknown method {method!r}")
+    number, rest = _grid(F.col("ts"), freq)
+    span = bars.where(F.col("ts").isNotNull()).groupBy("series").agg(
+        F.min(number).alias("_lo"), F.max(number).alias("_hi"), F.min(rest).alias("_o1"), F.max(rest).alias("_o2"))
     lo = F.when(F.col("_o1") == F.col("_o2"), F.col("_lo")).otherwise(
         F.raise_error(F.lit("fill_gaps: bars of a series are not a whole number of bar widths apart")))
-    span = span.where(F.col("_lo").isNotNull()).withColumn("_lo", lo)
-    last = F.floor((F.col("_hi") - F.col("_lo")) / F.lit(width)).cast("long")
     bk = F.lit(bucket_bars)
-    buckets = (span.withColumn("_last", last)
+    buckets = (span.withColumns({"_lo": lo, "_last": F.col("_hi") - F.col("_lo")})
                .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / bk))))
                .repartition("series", "_k"))
     cal = (buckets.withColumn(IDX, F.explode(F.sequence(F.col("_k") * bk, F.least((F.col("_k") + 1) * bk - 1, F.col("_last")))))
-           .select("series", ntz_from_micros(F.col("_lo") + F.col(IDX) * F.lit(width)).alias("ts"), IDX))
-    j = join_null_safe(cal, bars.withColumn("_has", F.lit(True)), ["series", "ts"], "left")
-    j = running(j, [("_ff", F.col("close"), "last")], layout=layout)
+           .select("series", _from_grid(F.col("_lo") + F.col(IDX), F.col("_o1"), freq).alias("ts"), IDX))
+    j = join_null_safe(cal, bars, ["series", "ts"], "left")
+    known = F.when(F.col("close").isNotNull(), F.struct(F.col(IDX).alias("at"), F.col("close").alias("close")))
+    kinds = {"ffill": ["last"], "bfill": ["next"], "linear": ["last", "next"]}[method]
+    j = running(j, [(f"_{kind}", known, kind) for kind in kinds], layout=layout)
+    if method == "linear":
+        a, b = F.col("_last"), F.col("_next")
+        share = safe_div((F.col(IDX) - a["at"]).cast("double"), (b["at"] - a["at"]).cast("double"))
+        fill = a["close"] + (b["close"] - a["close"]) * share
+    else:
+        fill = F.col(f"_{kinds[0]}")["close"]
     return j.select(
         "series", "ts", IDX,
-        F.coalesce("open", "_ff").alias("open"), F.coalesce("high", "_ff").alias("high"),
-        F.coalesce("low", "_ff").alias("low"), F.coalesce("close", "_ff").alias("close"),
-        F.coalesce("volume", F.lit(0.0)).alias("volume"),
-        F.col("_has").isNull().alias("is_filled"))
+        *[F.coalesce(F.col(c), F.col("close"), fill).alias(c) for c in ("open", "high", "low")], F.coalesce("close", fill).alias("close"),
+        F.coalesce("volume", F.lit(0.0)).alias("volume"), F.col("close").isNull().alias("is_filled"))
 
 
 def returns(bars: DataFrame, kind: str = "simple", k: int = 1, *, col: str = "close",
@@ -191,4 +223,4 @@ def summary(df: DataFrame, col: str = "close", *, freq: str | int = "day",
          .groupBy("series").pivot("p", list(names)).agg(F.first("value")))
     for p, name in names.items():
         q = q.withColumnRenamed(str(p), name)
-    return out.join(q, "series", "left")
+    return join_null_safe(out, q, ["series"], "left")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import safe_div, warm
-from tidecast.operators.ordered import IDX, PLAIN, Layout, ensure_index, over_series
+from tidecast.operators.ordered import IDX, PLAIN, Layout, derive, ensure_index, join_null_safe, over_series
+from tidecast.operators.sliding import sliding
 
 
 def frame(w: Window, n: int) -> Window:
@@ -25,21 +26,12 @@ def lags(df: DataFrame, col: str, ks: Iterable[int], *, layout: Layout = PLAIN)
                        layout=layout, back=max(ks))
 
 
-ROLLING_STATS = {
-    "mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max, "sum": F.sum,
-}
-
-
 def rolling(df: DataFrame, col: str, n: int, stats: Sequence[str] = ("mean", "std", "min", "max", "sum"),
             *, layout: Layout = PLAIN) -> DataFrame:
-    """FE2: ``{col}_{stat}{n}`` over the last n rows; std is the population std."""
-    d = ensure_index(df, layout)
-
-    def build(w):
-        f = frame(w, n)
-        return [F.count(col).over(f).alias("_n")] + [ROLLING_STATS[s](col).over(f).alias(f"_r_{s}") for s in stats]
-    d = over_series(d, build, layout=layout, back=n - 1)
-    return d.select("*", *[warm(F.col("_n"), n, F.col(f"_r_{s}")).alias(f"{col}_{s}{n}") for s in stats]) \
+    """FE2: ``{col}_{stat}{n}`` over the last n rows; std is the population std.  Cost per
+    row does not grow with n (``sliding``)."""
+    d = sliding(ensure_index(df, layout), n, [("_n", col, "count")] + [(f"_r_{s}", col, s) for s in stats], layout=layout)
+    return derive(d, {f"{col}_{s}{n}": warm(F.col("_n"), n, F.col(f"_r_{s}")) for s in stats}, layout=layout) \
         .drop("_n", *[f"_r_{s}" for s in stats])
 
 
@@ -65,11 +57,7 @@ def zscore(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFr
     if mean in d.columns and std in d.columns:  # reuse ``rolling`` output (same warm-up mask)
         return d.withColumn(f"{col}_z{n}", safe_div(F.col(col) - F.col(mean), F.col(std)))
 
-    def build(w):
-        f = frame(w, n)
-        return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_m"),
-                F.stddev_pop(col).over(f).alias("_sd")]
-    d = over_series(d, build, layout=layout, back=n - 1)
+    d = sliding(d, n, [("_n", col, "count"), ("_m", col, "mean"), ("_sd", col, "std")], layout=layout)
     z = safe_div(F.col(col) - F.col("_m"), F.col("_sd"))
     return d.withColumn(f"{col}_z{n}", warm(F.col("_n"), n, z)).drop("_n", "_m", "_sd")
 
@@ -148,7 +136,7 @@ def scaler(df: DataFrame, cols: Sequence[str], train_end, *, method: str = "stan
         aggs += [F.avg(x).alias(f"_mu_{c}"), F.stddev_pop(x).alias(f"_sd_{c}"),
                  F.min(x).alias(f"_lo_{c}"), F.max(x).alias(f"_hi_{c}")]
     stats = df.groupBy(by).agg(*aggs)
-    out = df.join(stats, by, "left")
+    out = join_null_safe(df, stats, [by], "left")
     for c in cols:
         if method == "standard":
             v = safe_div(F.col(c) - F.col(f"_mu_{c}"), F.col(f"_sd_{c}"))

@@ -1,7 +1,8 @@
 """Technical indicators (TI1-TI18) from published formulas.
 
 Classes: *bounded* (last n rows: one window frame), *cumulative* (prefix sums:
-``running``), *recurrence* (exponential smoothing: ``linear_scan``).
+``running``), *recurrence* (exponential smoothing: ``linear_scan``).  Columns derived
+on the way go through ``derive``, so that ``one_pass`` knows how far they look back.
 
 Recurrences share one seed rule: the first non-null input seeds the state
 (y_0 = x_0).  Other libraries seed with an n-bar mean; values converge after
@@ -15,11 +16,14 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.expr import safe_div, warm
 from tidecast.operators.features import frame
-from tidecast.operators.ordered import PLAIN, Layout, ensure_index, linear_scan, linear_scans, over_series, running
+from tidecast.operators.ordered import PLAIN, Layout, derive, ensure_index, linear_scan, linear_scans, over_series, running
+from tidecast.operators.sliding import sliding
 
 # Fixed values of the published formulas.
 CCI_CONSTANT = 0.015
 
+HIGH_LOW = [("_n", "close", "count"), ("_hh", "high", "max"), ("_ll", "low", "min")]  # of a window
+
 
 def _tp() -> Column:
     return (F.col("high") + F.col("low") + F.col("close")) / 3
@@ -34,9 +38,8 @@ def _mf_multiplier() -> Column:
 def sma(df: DataFrame, n: int, *, col: str = "close", layout: Layout = PLAIN) -> DataFrame:
     """TI1: ``sma{n}``."""
     d = ensure_index(df, layout)
-    return over_series(d, lambda w: [warm(F.count(col).over(frame(w, n)), n,
-                                          F.avg(col).over(frame(w, n))).alias(f"sma{n}")],
-                       layout=layout, back=n - 1)
+    d = sliding(d, n, [("_n", col, "count"), ("_m", col, "mean")], layout=layout)
+    return derive(d, {f"sma{n}": warm(F.col("_n"), n, F.col("_m"))}, layout=layout).drop("_n", "_m")
 
 
 def wma(df: DataFrame, n: int, *, col: str = "close", layout: Layout = PLAIN) -> DataFrame:
@@ -72,11 +75,7 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2.0, *, col: str = "close",
         d = d.withColumn("_n", F.when(F.col(mean).isNotNull(), F.lit(n)).otherwise(F.lit(0))) \
              .withColumn("_mid", F.col(mean)).withColumn("_sd", F.col(std))
     else:
-        def build(w):  # each window aggregate once; outputs derive from the columns
-            f = frame(w, n)
-            return [F.count(col).over(f).alias("_n"), F.avg(col).over(f).alias("_mid"),
-                    F.stddev_pop(col).over(f).alias("_sd")]
-        d = over_series(d, build, layout=layout, back=n - 1)
+        d = sliding(d, n, [("_n", col, "count"), ("_mid", col, "mean"), ("_sd", col, "std")], layout=layout)
     cnt, mid, sd = F.col("_n"), F.col("_mid"), F.col("_sd")
     up, lo = mid + F.lit(k) * sd, mid - F.lit(k) * sd
     return d.select("*", warm(cnt, n, mid).alias("bb_mid"), warm(cnt, n, up).alias("bb_up"),
@@ -88,12 +87,7 @@ def bollinger(df: DataFrame, n: int = 20, k: float = 2.0, *, col: str = "close",
 def donchian(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame:
     """TI5: highest high, lowest low, mid of the last n bars."""
     d = ensure_index(df, layout)
-
-    def build(w):
-        f = frame(w, n)
-        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
-                F.min("low").over(f).alias("_ll")]
-    d = over_series(d, build, layout=layout, back=n - 1)
+    d = sliding(d, n, HIGH_LOW, layout=layout)
     cnt, hh, ll = F.col("_n"), F.col("_hh"), F.col("_ll")
     return d.select("*", warm(cnt, n, hh).alias("dc_high"), warm(cnt, n, ll).alias("dc_low"),
                     warm(cnt, n, (hh + ll) / 2).alias("dc_mid")).drop("_n", "_hh", "_ll")
@@ -102,15 +96,10 @@ def donchian(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame
 def stochastic(df: DataFrame, n: int = 14, m: int = 3, *, layout: Layout = PLAIN) -> DataFrame:
     """TI6: %K = 100 (close - LL) / (HH - LL) over n; %D = SMA_m(%K)."""
     d = ensure_index(df, layout)
-
-    def k_build(w):
-        f = frame(w, n)
-        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
-                F.min("low").over(f).alias("_ll")]
-    d = over_series(d, k_build, layout=layout, back=n - 1)
+    d = sliding(d, n, HIGH_LOW, layout=layout)
     hh, ll = F.col("_hh"), F.col("_ll")
     k = F.lit(100.0) * safe_div(F.col("close") - ll, hh - ll)
-    d = d.withColumn("stoch_k", warm(F.col("_n"), n, k)).drop("_n", "_hh", "_ll")
+    d = derive(d, {"stoch_k": warm(F.col("_n"), n, k)}, layout=layout).drop("_n", "_hh", "_ll")
 
     def d_build(w):
         f = frame(w, m)
@@ -121,12 +110,7 @@ def stochastic(df: DataFrame, n: int = 14, m: int = 3, *, layout: Layout = PLAIN
 def williams_r(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
     """TI7: -100 (HH - close) / (HH - LL)."""
     d = ensure_index(df, layout)
-
-    def build(w):
-        f = frame(w, n)
-        return [F.count("close").over(f).alias("_n"), F.max("high").over(f).alias("_hh"),
-                F.min("low").over(f).alias("_ll")]
-    d = over_series(d, build, layout=layout, back=n - 1)
+    d = sliding(d, n, HIGH_LOW, layout=layout)
     hh, ll = F.col("_hh"), F.col("_ll")
     v = F.lit(-100.0) * safe_div(hh - F.col("close"), hh - ll)
     return d.withColumn(f"willr{n}", warm(F.col("_n"), n, v)).drop("_n", "_hh", "_ll")
@@ -134,7 +118,7 @@ def williams_r(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFra
 
 def cci(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame:
     """TI8: (TP - SMA(TP)) / (0.015 · mean absolute deviation of TP from that SMA)."""
-    d = ensure_index(df, layout).withColumn("_tp", _tp())
+    d = derive(ensure_index(df, layout), {"_tp": _tp()}, layout=layout)
 
     def build(w):
         f = frame(w, n)
@@ -171,7 +155,7 @@ def cmf(df: DataFrame, n: int = 20, *, layout: Layout = PLAIN) -> DataFrame:
 def mfi(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
     """TI11: money flow index.  Flow = TP·volume, positive when TP rises, negative
     when it falls.  100 - 100/(1 + PF/NF); NF = 0 -> 100; PF = NF = 0 -> NULL."""
-    d = ensure_index(df, layout).withColumn("_tp", _tp())
+    d = derive(ensure_index(df, layout), {"_tp": _tp()}, layout=layout)
     d = over_series(d, lambda w: [F.lag("_tp", 1).over(w).alias("_ptp")], layout=layout, back=1)
     flow = F.col("_tp") * F.col("volume")
 
@@ -220,7 +204,7 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, *, col:
     d = ensure_index(df, layout)
     d = linear_scans(d, [(col, 2.0 / (fast + 1), "_ef", 1), (col, 2.0 / (slow + 1), "_es", slow)],
                      layout=layout)
-    d = d.withColumn("macd", F.col("_ef") - F.col("_es"))
+    d = derive(d, {"macd": F.col("_ef") - F.col("_es")}, layout=layout)
     d = linear_scan(d, "macd", 2.0 / (signal + 1), "macd_signal", layout=layout,
                     start=slow - 1, min_rows=signal)
     return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop("_ef", "_es")
@@ -233,8 +217,8 @@ def rsi(df: DataFrame, n: int = 14, *, col: str = "close", layout: Layout = PLAI
     d = over_series(d, lambda w: [(F.col(col) - F.lag(col, 1).over(w)).alias("_dc")],
                     layout=layout, back=1)
     known = F.col("_dc").isNotNull()  # greatest() would turn a NULL change into 0
-    d = d.withColumns({"_gain": F.when(known, F.greatest(F.col("_dc"), F.lit(0.0))),
-                       "_loss": F.when(known, F.greatest(-F.col("_dc"), F.lit(0.0)))})
+    d = derive(d, {"_gain": F.when(known, F.greatest(F.col("_dc"), F.lit(0.0))),
+                   "_loss": F.when(known, F.greatest(-F.col("_dc"), F.lit(0.0)))}, layout=layout)
     d = linear_scans(d, [("_gain", 1.0 / n, "_ag", n), ("_loss", 1.0 / n, "_al", n)], layout=layout, start=1)
     ag, al = F.col("_ag"), F.col("_al")
     v = (F.when(ag.isNull() | al.isNull(), F.lit(None).cast("double"))
@@ -253,7 +237,7 @@ def atr(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
     """TI17: true range smoothed with alpha = 1/n (first bar: high - low)."""
     d = ensure_index(df, layout)
     d = over_series(d, lambda w: [F.lag("close", 1).over(w).alias("_pc")], layout=layout, back=1)
-    d = d.withColumn("_tr", _true_range(F.col("_pc")))
+    d = derive(d, {"_tr": _true_range(F.col("_pc"))}, layout=layout)
     return linear_scan(d, "_tr", 1.0 / n, f"atr{n}", layout=layout, min_rows=n).drop("_pc", "_tr")
 
 
@@ -273,18 +257,18 @@ def adx(df: DataFrame, n: int = 14, *, layout: Layout = PLAIN) -> DataFrame:
     has_prev = F.lit(True)  # the three inputs are known together
     for c in ("_pc", "_ph", "_pl", "high", "low"):
         has_prev = has_prev & F.col(c).isNotNull()
-    d = d.withColumns({"_pdm": F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)),
-                       "_mdm": F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)),
-                       "_tr": F.when(has_prev, _true_range(F.col("_pc")))})
+    d = derive(d, {"_pdm": F.when(has_prev, F.when((up > down) & (up > 0), up).otherwise(0.0)),
+                   "_mdm": F.when(has_prev, F.when((down > up) & (down > 0), down).otherwise(0.0)),
+                   "_tr": F.when(has_prev, _true_range(F.col("_pc")))}, layout=layout)
     d = linear_scans(d, [("_pdm", 1.0 / n, "_spdm", n), ("_mdm", 1.0 / n, "_smdm", n),
                          ("_tr", 1.0 / n, "_str", n)], layout=layout, start=1)
     pdi = F.lit(100.0) * safe_div(F.col("_spdm"), F.col("_str"))
     mdi = F.lit(100.0) * safe_div(F.col("_smdm"), F.col("_str"))
-    d = d.withColumns({"plus_di": pdi, "minus_di": mdi})
+    d = derive(d, {"plus_di": pdi, "minus_di": mdi}, layout=layout)
     # DX is 0 when there is no directional movement at all (+DI + -DI = 0).
     dsum = F.col("plus_di") + F.col("minus_di")
     dx = F.when(dsum == 0, F.lit(0.0)).otherwise(
         F.lit(100.0) * F.abs(F.col("plus_di") - F.col("minus_di")) / dsum)
-    d = d.withColumn("_dx", dx)
+    d = derive(d, {"_dx": dx}, layout=layout)
     d = linear_scan(d, "_dx", 1.0 / n, f"adx{n}", layout=layout, start=n, min_rows=n)
     return d.drop("_ph", "_pl", "_pc", "_pdm", "_mdm", "_tr", "_spdm", "_smdm", "_str", "_dx")

@@ -1,6 +1,6 @@
-"""Models (MO1-MO3, MO5-MO10) on MLlib.  Training is distributed by MLlib;
-the driver only loops over folds, grid points or features, and every loop
-result is a small table.
+"""Models (MO1-MO3, MO5-MO10).  Boosted trees are MLlib's: training is distributed,
+the driver only loops over folds or grid points, and every loop result is a small
+table.  Linear models come from moments (``linear``).
 
 Boosted trees stand in for the two gradient-boosting libraries (two named
 presets); a linear autoregression on lookback windows takes the place of the
@@ -14,18 +14,16 @@ from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import md5_uniform, ntz_micros, safe_div
 from tidecast.operators import evaluate as ev
-from tidecast.operators.features import sequence_windows
-from tidecast.operators.ordered import IDX, PLAIN, Layout, join_null_safe
+from tidecast.operators.linear import known, known_sql, ridge
+from tidecast.operators.ordered import IDX, PLAIN, Layout, ensure_index, join_null_safe, over_series
 from tidecast.operators.quantiles import exact_quantiles
 from tidecast.operators.validation import overlapped, walk_forward_run
-from tidecast.session import cut_lineage
 
 # Named presets for the two boosters (MLlib GBT parameters).
 GBT_PRESETS = {
@@ -36,21 +34,12 @@ GBT_PRESETS = {
 }
 
 
-def known(cols: Sequence[str]) -> Column:
-    """True where every column is neither NULL nor NaN."""
-    return F.expr(_known_sql(cols))
-
-
-def _known_sql(cols: Sequence[str]) -> str:
-    return " AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(CAST(`{c}` AS DOUBLE))" for c in cols)
-
-
 def _stages(features: Sequence[str], regressor, vector: str = "features") -> list:
     """Assembler, regressor, and a last stage that leaves ``yhat`` NULL where a feature
     is unknown: such rows are never trained on, but they are kept."""
     return [VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="keep"),
             regressor.setFeaturesCol(vector).setPredictionCol("_yhat"),
-            SQLTransformer(statement=f"SELECT *, CASE WHEN {_known_sql(features)} THEN _yhat END AS yhat FROM __THIS__")]
+            SQLTransformer(statement=f"SELECT *, CASE WHEN {known_sql(features)} THEN _yhat END AS yhat FROM __THIS__")]
 
 
 REGRESSOR = 1  # position of the fitted regressor among the stages
@@ -70,37 +59,42 @@ def gbt_forecast(train: DataFrame, features: Sequence[str], label: str, *, prese
 
 
 def linear_forecast(train: DataFrame, features: Sequence[str], label: str, *, reg: float = 0.0) -> PipelineModel:
-    """Least squares (ridge with ``reg``) on the features, solved in closed form."""
-    lr = LinearRegression(labelCol=label, regParam=reg, solver="normal")
-    return Pipeline(stages=_stages(features, lr)).fit(train.where(known([*features, label])))
+    """Least squares (ridge with ``reg``) on the features, from one aggregate."""
+    return ridge(train, features, label, reg=reg)
 
 
 def early_stop(train: DataFrame, features: Sequence[str], label: str, *, val_fraction: float = 0.2,
                preset: str = "xgb", max_iter: int = 200, tol: float = 0.01, ts: str = "ts") -> PipelineModel:
     """MO2: GBT whose last ``val_fraction`` of training time is the validation
-    set (chronological, never random)."""
+    set (chronological, never random).  Without a dated row there is nothing to
+    fit: ``ValueError``."""
     us = ntz_micros(F.col(ts))
-    cut = int(exact_quantiles(train, us, [1 - val_fraction]).first()["value"])
+    at = exact_quantiles(train, us, [1 - val_fraction]).first()
+    if at is None:
+        raise ValueError("no training row with a time")
+    cut = int(at["value"])
     flagged = train.withColumn("_is_val", us > F.lit(cut))
     return gbt_forecast(flagged, features, label, preset=preset, validation_col="_is_val",
                         maxIter=max_iter, validationTol=tol)
 
 
+def lookback_names(n: int) -> list[str]:
+    return [f"lookback{k}" for k in range(1, n)]
+
+
 def window_frame(df: DataFrame, n: int, *, col: str = "close", layout: Layout = PLAIN) -> DataFrame:
-    """Lookback windows scaled by the current value (scale free): ``lookback``
-    vector of x_{t-n+1..t} / x_t."""
-    d = sequence_windows(df, [col], n, layout=layout)
-    d = d.where(F.forall(f"{col}_seq", lambda v: v.isNotNull()) & (F.col(col) != 0))  # a zero price scales nothing
-    scaled = F.transform(F.col(f"{col}_seq"), lambda v: safe_div(v, F.col(col)))
-    return d.withColumn("lookback", array_to_vector(scaled)).drop(f"{col}_seq")
+    """Lookback windows scaled by the current value (scale free): ``lookback{k}`` =
+    x_{t-k} / x_t for k = 1 .. n-1.  Rows without n known values, or with a zero
+    value, which scales nothing, are left out."""
+    d = ensure_index(df, layout)
+    d = over_series(d, lambda w: [F.lag(col, k).over(w).alias(name) for k, name in enumerate(lookback_names(n), 1)], layout=layout, back=n - 1)
+    d = d.where(known([col, *lookback_names(n)]) & (F.col(col) != 0))
+    return d.withColumns({name: safe_div(F.col(name), F.col(col)) for name in lookback_names(n)})
 
 
-def window_regression(train: DataFrame, label: str, *, reg: float = 1e-3,
-                      elastic_net: float = 0.5) -> PipelineModel:
-    """MO3: linear autoregression on flattened lookback windows (``window_frame``)."""
-    lr = LinearRegression(featuresCol="lookback", labelCol=label, predictionCol="yhat",
-                          regParam=reg, elasticNetParam=elastic_net, maxIter=100)
-    return Pipeline(stages=[lr]).fit(train.where(F.col(label).isNotNull()))
+def window_regression(train: DataFrame, n: int, label: str, *, reg: float = 1e-3) -> PipelineModel:
+    """MO3: linear autoregression (ridge) on lookback windows of n bars (``window_frame``)."""
+    return ridge(train, lookback_names(n), label, reg=reg)
 
 
 def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12) -> DataFrame:
@@ -126,7 +120,7 @@ def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12)
     hist = hist.withColumn("_inv", inv).withColumn(
         "_any_new", F.max(F.col("_rmse").isNull().cast("int")).over(Window.partitionBy(*k, "fold")))
     hist = hist.withColumn("_inv", F.when(F.col("_any_new") == 1, F.lit(1.0)).otherwise(F.col("_inv")))
-    j = preds.join(hist.select("model", *k, "fold", "_inv"), ["model", *k, "fold"])
+    j = join_null_safe(preds, hist.select("model", *k, "fold", "_inv"), ["model", *k, "fold"])
     return (j.groupBy(*k, "fold", "ts", "horizon")
             .agg(safe_div(F.sum(F.col("_inv") * F.col("yhat")), F.sum(F.when(F.col("yhat").isNotNull(), F.col("_inv")))).alias("yhat"),
                  F.first("y", ignorenulls=True).alias("y"), F.count("yhat").alias("members"))
@@ -135,21 +129,19 @@ def ensemble_weighted(preds: DataFrame, *, keys=("series",), eps: float = 1e-12)
 
 def ensemble_stack(preds: DataFrame, models: Sequence[str], *, train_folds: Sequence[int],
                    keys=("series",), reg: float = 1e-6) -> DataFrame:
-    """MO6: linear meta-model over members' out-of-fold predictions.
+    """MO6: linear meta-model (ridge) over members' out-of-fold predictions.
 
-    Members are pivoted to columns (the model list is given, so the pivot needs
-    no extra pass); the meta-model is fit on ``train_folds`` and applied to
-    the rest (pass only earlier folds to stay leak-free).  A row that lacks a
-    member's prediction is not fitted on and gets a NULL ``yhat``."""
+    Members become columns in one aggregate (the model list is given, so it needs no extra
+    pass); the meta-model is fit on ``train_folds`` and applied to the rest (pass only
+    earlier folds to stay leak-free).  A row that lacks a member's prediction is not fitted
+    on and gets a NULL ``yhat``."""
     k = list(keys)
-    wide = (preds.groupBy(*k, "fold", "ts", "horizon")
-            .pivot("model", list(models)).agg(F.first("yhat"))
-            .join(preds.select(*k, "fold", "ts", "horizon", "y").dropDuplicates([*k, "fold", "ts", "horizon"]),
-                  [*k, "fold", "ts", "horizon"]))
+    wide = preds.groupBy(*k, "fold", "ts", "horizon").agg(
+        *[F.first(F.when(F.col("model") == m, F.col("yhat")), ignorenulls=True).alias(m) for m in models],
+        F.first("y", ignorenulls=True).alias("y"))
     fit_rows = wide.where(F.col("fold").isin(list(train_folds)))
-    model = linear_forecast(fit_rows, models, "y", reg=reg)
     rest = wide.where(~F.col("fold").isin(list(train_folds)))
-    return (model.transform(rest).select(*k, "fold", "ts", "horizon", "y", "yhat")
+    return (ridge(fit_rows, models, "y", reg=reg).transform(rest).select(*k, "fold", "ts", "horizon", "y", "yhat")
             .withColumn("model", F.lit("ensemble_stack")))
 
 
@@ -194,19 +186,15 @@ def permuted(df: DataFrame, cols: Sequence[str], *, seed: int = 11, series: str
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
                            *, seed: int = 11) -> DataFrame:
     """MO8: RMSE increase when one feature is permuted over each whole series.  All
-    features share one permutation, so rows are ranked and joined once."""
+    features share one permutation, so rows are ranked and joined once, and all swaps
+    are scored in one pass: each row comes once for every feature (and once as it is)."""
+    pairs = permuted(df, features, seed=seed).withColumn("_swap", F.explode(F.array(*[F.lit(j) for j in range(len(features) + 1)])))
     keep = [c for c in df.columns if c not in features]
-    pairs = cut_lineage(permuted(df, features, seed=seed))
-
-    def scored(swapped: str | None) -> DataFrame:
-        d = pairs.select(*keep, *[F.col(f"_perm.{f}").alias(f) if f == swapped else f for f in features])
-        return model.transform(d).select(F.lit(swapped or "").alias("model"), F.col(label).alias("y"), "yhat")
-
-    runs = reduce(DataFrame.unionByName, [scored(f) for f in (None, *features)])
-    rmse = runs.groupBy("model").agg(ev.rmse_expr().alias("rmse")).collect()  # one row per feature
-    by = {r["model"]: r["rmse"] for r in rmse}
-    base = by.get("")
-    rows = [(f, by.get(f), base, None if base is None or by.get(f) is None else by[f] - base) for f in features]
+    swapped = pairs.select(*keep, "_swap", *[F.when(F.col("_swap") == j, F.col("_perm")[f]).otherwise(F.col(f)).alias(f) for j, f in enumerate(features, 1)])
+    scored = model.transform(swapped).select("_swap", F.col(label).alias("y"), "yhat")
+    by = {r["_swap"]: r["rmse"] for r in scored.groupBy("_swap").agg(ev.rmse_expr().alias("rmse")).collect()}  # one row per feature
+    base = by.get(0)
+    rows = [(f, by.get(j), base, None if base is None or by.get(j) is None else by[j] - base) for j, f in enumerate(features, 1)]
     return df.sparkSession.createDataFrame(
         rows, "feature string, permuted_rmse double, base_rmse double, importance double")
 
@@ -218,10 +206,13 @@ def learning_curve(train: DataFrame, test: DataFrame, estimator: Estimator, labe
                    fractions: Sequence[float] = (0.25, 0.5, 0.75, 1.0), ts: str = "ts",
                    threads: int = 4) -> DataFrame:
     """MO9: test RMSE of ``estimator`` fitted on growing time prefixes of ``train`` and,
-    if the model fitted on the largest is boosted, its error after each round."""
+    if the model fitted on the largest is boosted, its error after each round.  Without a
+    dated training row nothing is fitted and the errors are NULL."""
     us = ntz_micros(F.col(ts))
     by_p = {r["p"]: int(r["value"]) for r in exact_quantiles(train, us, list(fractions)).collect()}
     scored = test.withColumn("y", F.col(label))
+    if not by_p:
+        return train.sparkSession.createDataFrame([("prefix", float(f), None) for f in fractions], "curve string, x double, rmse double")
 
     def one(frac: float) -> tuple[float, PipelineModel, float | None]:
         m = estimator(train.where(us <= F.lit(by_p[float(frac)])))

@@ -1,9 +1,11 @@
 """Scenarios (SC1-SC3): bootstrap fans of future cumulative log returns.
 
-Paths are generated on executors: each series row expands into its paths,
-each path into its steps (bounded by the ``paths`` and ``horizon``
-parameters), a repartition spreads the path rows, and the drawn returns are
-fetched by an equi-join on (series, return index).  Every draw is an md5
+A series' returns are kept as arrays of ``CHUNK`` consecutive ones.  A path is one
+row: its draws are an array of (step, return index), split by the chunks they fall
+into; each part meets its chunk in one equi-join on (series, chunk) and reads its
+returns by position; the parts of a path meet again and are summed up inside one
+array.  So rows shuffled go with paths (times the chunks a path touches), not with
+paths x steps, and a long series is spread over its chunks.  Every draw is an md5
 uniform of (seed, series, path, step), reproducible in SQL.
 """
 
@@ -11,13 +13,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.expr import md5_uniform, safe_div
-from tidecast.operators.ordered import IDX, PLAIN, Layout, over_series, running
+from tidecast.operators.ordered import IDX, PLAIN, Layout, join_null_safe, over_series, running
 
 FAN_QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+CHUNK = 4096  # returns of a series in one array
 
 
 def past_log_returns(bars: DataFrame, *, col: str = "close", layout: Layout = PLAIN) -> DataFrame:
@@ -32,18 +37,35 @@ def past_log_returns(bars: DataFrame, *, col: str = "close", layout: Layout = PL
     return d.where(F.col("r").isNotNull()).select("series", (F.col("_n") - 1).alias("k"), "r")
 
 
-def _path_rows(rets: DataFrame, paths: int, horizon: int, parallelism: int | None) -> DataFrame:
+def _path_rows(rets: DataFrame, paths: int, parallelism: int | None) -> DataFrame:
     n = rets.groupBy("series").agg(F.count("r").alias("_n")).where(F.col("_n") > 0)
     p = n.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
-    p = p.repartition(parallelism or rets.sparkSession.sparkContext.defaultParallelism, "series", "path")
-    return p.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    return p.repartition(parallelism or rets.sparkSession.sparkContext.defaultParallelism, "series", "path")
+
+
+def _chunk_of(index: Column) -> Column:
+    return F.floor(index / F.lit(CHUNK)).cast("long")
+
 
+def _accumulate(rows: DataFrame, rets: DataFrame, draw: Callable[[Column], Column], horizon: int) -> DataFrame:
+    """(series, path, step, cum_return) of path rows; ``draw`` gives the return index of a step."""
+    ordered = F.array_sort(F.collect_list(F.struct("k", "r")))
+    arrays = rets.withColumn("_c", _chunk_of(F.col("k"))).groupBy("series", "_c").agg(F.transform(ordered, lambda x: x["r"]).alias("_rs"))
+    drawn = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda s: F.struct(s.alias("step"), draw(s).cast("long").alias("k")))
+    d = rows.withColumn("_draws", drawn)
+    d = d.withColumn("_c", F.explode(F.array_distinct(F.transform("_draws", lambda x: _chunk_of(x["k"])))))
+    parts = d.select("series", "path", "_c", F.filter("_draws", lambda x: _chunk_of(x["k"]) == F.col("_c")).alias("_draws"))
+    read = join_null_safe(parts, arrays, ["series", "_c"]).select(
+        "series", "path", F.transform("_draws", lambda x: F.struct(x["step"].alias("step"), F.get("_rs", (x["k"] - F.col("_c") * CHUNK).cast("int")).alias("r"))).alias("_part"))
+    steps = read.groupBy("series", "path").agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("_steps"))
+    start = F.struct(F.lit(0.0).alias("total"), F.array().cast("array<struct<step:int,cum_return:double>>").alias("out"))
 
-def _accumulate(draws: DataFrame, rets: DataFrame) -> DataFrame:
-    j = draws.join(rets.withColumnRenamed("k", "_k"), ["series", "_k"])
-    w = (Window.partitionBy("series", "path").orderBy("step")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select("series", "path", "step", F.sum("r").over(w).alias("cum_return"))
+    def add(so_far: Column, x: Column) -> Column:
+        total = so_far["total"] + x["r"]
+        return F.struct(total.alias("total"), F.concat(so_far["out"], F.array(F.struct(x["step"].alias("step"), total.alias("cum_return")))).alias("out"))
+
+    summed = steps.select("series", "path", F.aggregate("_steps", start, add)["out"].alias("_out"))
+    return summed.select("series", "path", F.explode("_out").alias("_o")).select("series", "path", "_o.step", "_o.cum_return")
 
 
 def scenario_paths(rets: DataFrame, *, paths: int = 1000, horizon: int = 30, seed: int = 42,
@@ -51,10 +73,10 @@ def scenario_paths(rets: DataFrame, *, paths: int = 1000, horizon: int = 30, see
     """SC1 paths: i.i.d. bootstrap; step s of path p draws return index
     floor(u * n), u = md5_uniform(seed, series, p, s).  Output
     (series, path, step, cum_return)."""
-    rows = _path_rows(rets, paths, horizon, parallelism)
-    u = md5_uniform(F.lit(seed), F.col("series"), F.col("path"), F.col("step"))
-    draws = rows.withColumn("_k", F.floor(u * F.col("_n")).cast("long"))
-    return _accumulate(draws, rets)
+    def draw(step: Column) -> Column:
+        return F.floor(md5_uniform(F.lit(seed), F.col("series"), F.col("path"), step) * F.col("_n"))
+
+    return _accumulate(_path_rows(rets, paths, parallelism), rets, draw, horizon)
 
 
 def block_scenario_paths(rets: DataFrame, *, block: int = 5, paths: int = 1000, horizon: int = 30,
@@ -62,20 +84,22 @@ def block_scenario_paths(rets: DataFrame, *, block: int = 5, paths: int = 1000,
     """SC2 paths: moving-block bootstrap; block b of path p starts at
     floor(u * (n - block + 1)), u = md5_uniform(seed, series, p, 'b' || b), and
     step s takes the return at start + (s - 1) mod block."""
-    rows = _path_rows(rets, paths, horizon, parallelism).where(F.col("_n") >= block)
-    b = F.floor((F.col("step") - 1) / F.lit(block)).cast("long")
-    u = md5_uniform(F.lit(seed), F.col("series"), F.col("path"), F.concat(F.lit("b"), b.cast("string")))
-    start = F.floor(u * (F.col("_n") - F.lit(block - 1))).cast("long")
-    draws = rows.withColumn("_k", start + F.pmod(F.col("step") - 1, F.lit(block)))
-    return _accumulate(draws, rets)
+    def draw(step: Column) -> Column:
+        b = F.floor((step - 1) / F.lit(block)).cast("long")
+        u = md5_uniform(F.lit(seed), F.col("series"), F.col("path"), F.concat(F.lit("b"), b.cast("string")))
+        return F.floor(u * (F.col("_n") - F.lit(block - 1))) + F.pmod(step - 1, F.lit(block))
+
+    rows = _path_rows(rets, paths, parallelism).where(F.col("_n") >= block)
+    return _accumulate(rows, rets, draw, horizon)
 
 
 def fan(paths_df: DataFrame, quantiles=FAN_QUANTILES) -> DataFrame:
     """Quantiles of cumulative return across paths per (series, step).  Each
     group holds exactly ``paths`` rows, so the exact percentile is bounded."""
-    aggs = [F.percentile("cum_return", q).alias(f"p{int(round(q * 100)):02d}") for q in quantiles]
-    return paths_df.groupBy("series", "step").agg(F.count(F.lit(1)).alias("paths"),
-                                                  F.avg("cum_return").alias("mean"), *aggs)
+    names = [f"p{int(round(q * 100)):02d}" for q in quantiles]
+    found = paths_df.groupBy("series", "step").agg(F.count(F.lit(1)).alias("paths"), F.avg("cum_return").alias("mean"),
+                                                   F.percentile("cum_return", list(quantiles)).alias("_ps"))
+    return found.select("series", "step", "paths", "mean", *[F.get("_ps", F.lit(j)).alias(name) for j, name in enumerate(names)])
 
 
 def scenario_fan(rets: DataFrame, paths: int = 1000, horizon: int = 30, seed: int = 42) -> DataFrame:

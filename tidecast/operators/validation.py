@@ -27,7 +27,8 @@ def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: st
 
     Cut points are exact nearest-rank quantiles of the distinct timestamps
     (``exact_quantiles``): train: ts <= c1, val: c1 < ts <= c2, test: ts > c2.
-    Only the two cut instants reach the driver.
+    Only the two cut instants reach the driver.  A NULL ts is in "test"; in a
+    table without any known ts, ``split`` is NULL.
     """
     from tidecast.operators.quantiles import exact_quantiles
 
@@ -35,6 +36,8 @@ def chrono_split(df: DataFrame, train: float = 0.7, val: float = 0.15, *, ts: st
         raise ValueError("need 0 < train, train + val < 1")
     cal = df.select(ntz_micros(F.col(ts)).alias("_us")).distinct()
     cuts = {r["p"]: int(r["value"]) for r in exact_quantiles(cal, "_us", [train, train + val]).collect()}
+    if not cuts:
+        return df.withColumn("split", F.lit(None).cast("string"))
     c1, c2 = cuts[float(train)], cuts[float(train + val)]
     us = ntz_micros(F.col(ts))
     split = (F.when(us <= F.lit(c1), F.lit("train"))

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.expr import ntz_micros
 from tidecast.operators import bars as tb
 from tidecast.operators import features as fe
 from tidecast.operators import indicators as ti
@@ -163,6 +164,67 @@ def q_ts3(spark, sf_dir):
     return finish(tb.fill_gaps(bars, "hour", layout=layout))
 
 
+def _holed_sql(fixture: str, freq: str, number: str) -> str:
+    """Bars without those whose ``number`` leaves 3 modulo 7, and without the closes of those that leave 5 modulo 11."""
+    return f"""WITH full_bars AS ({bars_sql(fixture, freq)}),
+bars AS (SELECT series, ts, open, high, low, CASE WHEN {number} % 11 <> 5 THEN close END AS close, volume FROM full_bars WHERE {number} % 7 <> 3),"""
+
+
+def _holed(spark, sf_dir, fixture: str, freq: str, number):
+    bars, layout = fixture_bars(spark, sf_dir, fixture, freq)
+    return bars.where(number % 7 != 3).withColumn("close", F.when(number % 11 != 5, F.col("close"))), layout
+
+
+def _fill_sql(fixture: str, freq: str, number: str, step: str, method: str) -> str:
+    last, later = ("last_value(CASE WHEN close IS NOT NULL THEN {x} END IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+                   "first_value(CASE WHEN close IS NOT NULL THEN {x} END IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)")
+    fill = {"ffill": "pc", "bfill": "nc", "linear": "CASE WHEN ni = pi THEN pc ELSE pc + (nc - pc) * (CAST(i - pi AS DOUBLE) / CAST(ni - pi AS DOUBLE)) END"}[method]
+    return _holed_sql(fixture, freq, number) + f"""
+span AS (SELECT series, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY series),
+cal AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 {step})) AS ts FROM span),
+j AS (SELECT c.series, c.ts, b.open, b.high, b.low, b.close, b.volume, CAST(row_number() OVER (PARTITION BY c.series ORDER BY c.ts) - 1 AS BIGINT) AS i
+      FROM cal c LEFT JOIN bars b ON b.series = c.series AND b.ts = c.ts),
+k AS (SELECT *, {last.format(x='close')} AS pc, {last.format(x='i')} AS pi, {later.format(x='close')} AS nc, {later.format(x='i')} AS ni FROM j),
+f AS (SELECT *, {fill} AS fill FROM k)
+SELECT series, ts, i, {r('coalesce(open, close, fill)', 'open')}, {r('coalesce(high, close, fill)', 'high')},
+  {r('coalesce(low, close, fill)', 'low')}, {r('coalesce(close, fill)', 'close')}, {r('coalesce(volume, 0)', 'volume')}, close IS NULL AS is_filled FROM f"""
+
+
+_HOURS = "(epoch_us(ts) // 3600000000)"
+
+
+def _hours():
+    return F.floor(ntz_micros(F.col("ts")) / F.lit(3_600_000_000))
+
+
+@query("ts3_fill_gaps_bfill", _fill_sql("events", "hour", _HOURS, "HOUR", "bfill"))
+def q_ts3_bfill(spark, sf_dir):
+    """TS3: hourly event bars with holes, each filled from the next known close."""
+    bars, layout = _holed(spark, sf_dir, "events", "hour", _hours())
+    return finish(tb.fill_gaps(bars, "hour", "bfill", layout=layout))
+
+
+@query("ts3_fill_gaps_linear", _fill_sql("events", "hour", _HOURS, "HOUR", "linear"))
+def q_ts3_linear(spark, sf_dir):
+    """TS3: hourly event bars with holes, filled along straight lines."""
+    bars, layout = _holed(spark, sf_dir, "events", "hour", _hours())
+    return finish(tb.fill_gaps(bars, "hour", "linear", layout=layout))
+
+
+@query("ts3_fill_gaps_weekly", _fill_sql("lineitem", "week", "(epoch_us(ts) // 604800000000)", "WEEK", "ffill"))
+def q_ts3_weekly(spark, sf_dir):
+    """TS3: weekly supplier bars with holes, forward-filled."""
+    bars, layout = _holed(spark, sf_dir, "lineitem", "week", F.floor(ntz_micros(F.col("ts")) / F.lit(604_800_000_000)))
+    return finish(tb.fill_gaps(bars, "week", layout=layout))
+
+
+@query("ts3_fill_gaps_monthly", _fill_sql("lineitem", "month", "(year(ts) * 12 + month(ts))", "MONTH", "linear"))
+def q_ts3_monthly(spark, sf_dir):
+    """TS3: monthly supplier bars with holes on the calendar's grid, filled along straight lines."""
+    bars, layout = _holed(spark, sf_dir, "lineitem", "month", F.year("ts") * 12 + F.month("ts"))
+    return finish(tb.fill_gaps(bars, "month", "linear", layout=layout))
+
+
 @query("ts4_returns", with_bars() + f"""SELECT series, ts, i, {r('close', 'close')},
   {r("CASE WHEN close > 0 AND lag(close) OVER w > 0 THEN close / lag(close) OVER w - 1 END", 'ret_simple_1')},
   {r("CASE WHEN close > 0 AND lag(close, 5) OVER w > 0 THEN ln(close / lag(close, 5) OVER w) END", 'ret_log_5')}
@@ -513,8 +575,8 @@ def q_ti13(spark, sf_dir):
 # Hourly event bars (F2): values up to ~500 keep both engines' rounding error
 # far below the 6th decimal.  Oracles are sequential recursive CTEs.
 
-def _rec_bars() -> str:
-    return f"""WITH RECURSIVE bars AS ({bars_sql('events', 'hour')}),
+def rec_bars(bars: str = bars_sql("events", "hour")) -> str:
+    return f"""WITH RECURSIVE bars AS ({bars}),
 ib AS MATERIALIZED (SELECT *, CAST(row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS BIGINT) AS i,
    lag(close) OVER (PARTITION BY series ORDER BY ts) AS pc, lag(high) OVER (PARTITION BY series ORDER BY ts) AS ph,
    lag(low) OVER (PARTITION BY series ORDER BY ts) AS pl FROM bars)"""
@@ -522,7 +584,7 @@ ib AS MATERIALIZED (SELECT *, CAST(row_number() OVER (PARTITION BY series ORDER
 
 def _ema_sql(n: int) -> str:
     a = 2.0 / (n + 1)
-    return _rec_bars() + f""",
+    return rec_bars() + f""",
 rec AS (SELECT series, i, close AS y FROM ib WHERE i = 0
   UNION ALL
   SELECT ib.series, ib.i, {a!r} * ib.close + {1 - a!r} * rec.y FROM rec JOIN ib ON ib.series = rec.series AND ib.i = rec.i + 1)
@@ -540,7 +602,7 @@ def _macd_sql(fast=12, slow=26, sig=9) -> str:
     af, as_, ag = 2.0 / (fast + 1), 2.0 / (slow + 1), 2.0 / (sig + 1)
     s0 = slow - 1
     line_new = f"(({af!r} * ib.close + {1 - af!r} * rec.ef) - ({as_!r} * ib.close + {1 - as_!r} * rec.es))"
-    return _rec_bars() + f""",
+    return rec_bars() + f""",
 rec AS (SELECT series, i, close AS ef, close AS es,
     CAST(NULL AS DOUBLE) AS sg FROM ib WHERE i = 0
   UNION ALL
@@ -563,7 +625,7 @@ def q_ti15(spark, sf_dir):
 
 def _rsi_sql(n=14) -> str:
     a = 1.0 / n
-    return _rec_bars() + f""",
+    return rec_bars() + f""",
 g AS (SELECT series, i, greatest(close - pc, 0) AS gain, greatest(pc - close, 0) AS loss FROM ib WHERE i >= 1),
 rec AS (SELECT series, i, gain AS ag, loss AS al FROM g WHERE i = 1
   UNION ALL
@@ -580,13 +642,13 @@ def q_ti16(spark, sf_dir):
     return finish(ti.rsi(d, 14, layout=lay).select("series", "ts", "i", "close", "rsi14"))
 
 
-TR_SQL = "greatest(high - low, abs(high - pc), abs(low - pc))"
+TRUE_RANGE_SQL = "greatest(high - low, abs(high - pc), abs(low - pc))"
 
 
 def _atr_sql(n=14) -> str:
     a = 1.0 / n
-    return _rec_bars() + f""",
-t AS (SELECT series, i, CASE WHEN i = 0 THEN high - low ELSE {TR_SQL} END AS tr FROM ib),
+    return rec_bars() + f""",
+t AS (SELECT series, i, CASE WHEN i = 0 THEN high - low ELSE {TRUE_RANGE_SQL} END AS tr FROM ib),
 rec AS (SELECT series, i, tr AS y FROM t WHERE i = 0
   UNION ALL
   SELECT t.series, t.i, {a!r} * t.tr + {1 - a!r} * rec.y FROM rec JOIN t ON t.series = rec.series AND t.i = rec.i + 1)
@@ -602,11 +664,11 @@ def q_ti17(spark, sf_dir):
 
 def _adx_sql(n=14) -> str:
     a = 1.0 / n
-    return _rec_bars() + f""",
+    return rec_bars() + f""",
 dm AS (SELECT series, i,
     CASE WHEN high - ph > pl - low AND high - ph > 0 THEN high - ph ELSE 0 END AS pdm,
     CASE WHEN pl - low > high - ph AND pl - low > 0 THEN pl - low ELSE 0 END AS mdm,
-    {TR_SQL} AS tr FROM ib WHERE i >= 1),
+    {TRUE_RANGE_SQL} AS tr FROM ib WHERE i >= 1),
 rec AS (SELECT series, i, pdm AS sp, mdm AS sm, tr AS st FROM dm WHERE i = 1
   UNION ALL
   SELECT dm.series, dm.i, {a!r} * dm.pdm + {1 - a!r} * rec.sp, {a!r} * dm.mdm + {1 - a!r} * rec.sm,

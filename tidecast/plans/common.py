@@ -24,12 +24,14 @@ def rnd_half(c, digits: int = DIGITS):
     return F.when(v == 0, F.lit(0.0)).otherwise(v)  # one zero: -0.0 and 0.0 hash differently
 
 
-def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (also inside arrays) so engines compare equal."""
+def finish(df: DataFrame, digits: int = DIGITS, by: dict[str, int] | None = None) -> DataFrame:
+    """Round every double column (also inside arrays) so engines compare equal; ``by``:
+    the digits of columns whose values are so large that the last of ``digits`` would be
+    rounding error."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(rnd_half(F.col(f.name), digits).alias(f.name))
+            cols.append(rnd_half(F.col(f.name), (by or {}).get(f.name, digits)).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
             cols.append(F.transform(F.col(f.name), lambda x: rnd_half(x, digits)).alias(f.name))
         else:

@@ -16,6 +16,7 @@ from tidecast.operators import features as fe
 from tidecast.operators import indicators as ti
 from tidecast.operators import models as mo
 from tidecast.operators import validation as va
+from tidecast.operators.linear import linear_search, walk_forward_linear
 from tidecast.operators.naive import naive_forecast
 from tidecast.plans.catalog import query
 from tidecast.plans.common import finish, indexed_bars, r, with_bars
@@ -272,29 +273,19 @@ def return_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in RET_N:
         d = fe.rolling(d, "ret", n, ["mean"], layout=lay)
     d = with_label(d, lay)
-    return cut_lineage(va.with_steps(d.select("series", "ts", "label_ts", *[f"ret_mean{n}" for n in RET_N], LABEL)))
+    return cut_lineage(va.with_steps(d.select("series", "ts", "i", "label_ts", *[f"ret_mean{n}" for n in RET_N], LABEL)))
 
 
 def _returns_sql(extra: str) -> str:
-    """CTE m (series, ts, label_ts, x1.., y): ``return_table`` in SQL."""
+    """CTE m (series, ts, i, label_ts, x1.., y): ``return_table`` in SQL."""
     xs = ", ".join(f"CASE WHEN count(ret) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) >= {n} "
                    f"THEN avg(ret) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) END AS x{n}" for n in RET_N)
     return with_bars(extra=f"""rt AS (SELECT series, ts, i, lead(ts) OVER w AS label_ts, close / nullif(lag(close) OVER w, 0) - 1 AS ret,
     lead(close) OVER w / nullif(close, 0) - 1 AS y FROM ib WINDOW w AS (PARTITION BY series ORDER BY i)),
-m AS (SELECT series, ts, label_ts, y, {xs} FROM rt WINDOW w AS (PARTITION BY series ORDER BY i)),
+m AS (SELECT series, ts, i, label_ts, y, {xs} FROM rt WINDOW w AS (PARTITION BY series ORDER BY i)),
 {extra}""")
 
 
-def _split(d: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """First 80 % of the calendar and the rest, purged of labels known only in the latter."""
-    s = va.chrono_split(d, 0.8, 0.0)
-    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    start = test.agg(F.min("ts")).first()[0]
-    if start is not None:
-        train = train.where(F.col("label_ts") < F.lit(start).cast("timestamp_ntz"))
-    return train, test
-
-
 @query("mo1_gbt_forecast")
 def q_mo1(spark, sf_dir):
     """MO1: boosted trees (both presets) on lag / indicator features; test-period predictions."""
@@ -317,12 +308,62 @@ def q_mo2(spark, sf_dir):
                                            F.lit(trees).alias("trees")))
 
 
-@query("mo3_window_regression")
+def ridge_sql(name: str, source: str, xs: list[str], y: str, reg: float, key: str | None = None) -> str:
+    """CTEs that end in ``name`` (key, a, b0, b1, ..): ridge by Gaussian elimination over the
+    covariances of ``source``'s rows with all columns known, for each value of ``key``."""
+    p, k0 = len(xs), f"{key}, " if key else ""
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (*xs, y))
+    first = [f"covar_pop({xs[i]}, {xs[j]}){f' * {1 + reg!r}' if i == j else ''} AS a{i}_{j}" for i in range(p) for j in range(i, p)]
+    first += [f"covar_pop({xs[i]}, {y}) AS c{i}" for i in range(p)] + [f"avg({x}) AS m{i}" for i, x in enumerate(xs)] + [f"avg({y}) AS my"]
+    steps = [f"{name}_0 AS MATERIALIZED (SELECT {k0}{', '.join(first)} FROM {source} WHERE {known}{f' GROUP BY {key}' if key else ''})"]
+
+    def at(i: int, j: int) -> str:
+        return f"a{min(i, j)}_{max(i, j)}"
+
+    for k in range(p - 1):  # rows above k stay, those below lose their part along k
+        cols = [f"a{i}_{j} - {at(i, k)} * {at(j, k)} / a{k}_{k} AS a{i}_{j}" if i > k else f"a{i}_{j}" for i in range(p) for j in range(i, p)]
+        cols += [f"c{i} - {at(i, k)} * c{k} / a{k}_{k} AS c{i}" if i > k else f"c{i}" for i in range(p)] + [f"m{i}" for i in range(p)] + ["my"]
+        steps.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT {k0}{', '.join(cols)} FROM {name}_{k})")
+    last = f"{name}_{p - 1}"
+    for i in range(p - 1, -1, -1):
+        rest = "".join(f" - a{i}_{j} * b{j}" for j in range(i + 1, p))
+        steps.append(f"{name}_b{i} AS MATERIALIZED (SELECT *, (c{i}{rest}) / a{i}_{i} AS b{i} FROM {last})")
+        last = f"{name}_b{i}"
+    means = "".join(f" - b{i} * m{i}" for i in range(p))
+    steps.append(f"{name} AS (SELECT {k0}my{means} AS a, {', '.join(f'b{i}' for i in range(p))} FROM {last})")
+    return ",\n".join(steps)
+
+
+def linear_sql(xs: list[str]) -> str:
+    return "a" + "".join(f" + b{i} * {x}" for i, x in enumerate(xs))
+
+
+LOOKBACK = 10
+_LOOK = mo.lookback_names(LOOKBACK)
+
+
+def _lookback_sql() -> str:
+    """CTE wf (series, ts, label_ts, y, lookback1..): ``window_frame`` with labels in SQL."""
+    lags = ", ".join(f"lag(close, {k}) OVER w / NULLIF(close, 0) AS {name}" for k, name in enumerate(_LOOK, 1))
+    return with_bars(extra=f"""lb AS (SELECT series, ts, close, lead(ts) OVER w AS label_ts,
+    CASE WHEN close > 0 AND lead(close) OVER w > 0 THEN lead(close) OVER w / close - 1 END AS y, {lags} FROM ib WINDOW w AS (PARTITION BY series ORDER BY i)),
+wf AS (SELECT * FROM lb WHERE close <> 0 AND {' AND '.join(f'{c} IS NOT NULL' for c in _LOOK)})""")
+
+
+_SPLIT_SQL = """c AS (SELECT quantile_disc(us, 0.8) AS c1 FROM (SELECT DISTINCT epoch_us(ts) AS us FROM {0})),
+te AS (SELECT {0}.* FROM {0}, c WHERE epoch_us(ts) > c1),
+tr AS (SELECT {0}.* FROM {0}, c WHERE epoch_us(ts) <= c1 AND label_ts < (SELECT min(ts) FROM te))"""
+
+
+@query("mo3_window_regression", _lookback_sql().rstrip() + f""",
+{_SPLIT_SQL.format('wf')},
+{ridge_sql('fit', 'tr', _LOOK, 'y', 1e-3)}
+SELECT series, ts, {r('y', 'y')}, {r(linear_sql(_LOOK), 'yhat')} FROM te, fit""")
 def q_mo3(spark, sf_dir):
     """MO3: linear autoregression on 10-bar lookback windows (scaled by the last close)."""
     d, lay = indexed_bars(spark, sf_dir)
-    train, test = _split(cut_lineage(mo.window_frame(with_label(d, lay), 10, layout=lay)))
-    return finish(mo.window_regression(train, LABEL).transform(test)
+    train, test = _split(cut_lineage(mo.window_frame(with_label(d, lay), LOOKBACK, layout=lay)))
+    return finish(mo.window_regression(train, LOOKBACK, LABEL).transform(test)
                   .select("series", "ts", F.col(LABEL).alias("y"), "yhat"))
 
 
@@ -350,13 +391,22 @@ def q_io4_same(spark, sf_dir):
     return both.select("series", "ts", F.col("yhat").eqNullSafe(F.col("first")).alias("same"))
 
 
-@query("mo6_ensemble_stack")
+_MEMBERS = ["naive_last", f"naive_drift{NAIVE_N}", f"naive_seasonal{NAIVE_M}", f"naive_ma{NAIVE_N}"]
+
+
+@query("mo6_ensemble_stack", _naive_sql_ctes().rstrip() + f""",
+wide AS (SELECT series, fold, ts, horizon, any_value(y) AS y, {', '.join(f"max(CASE WHEN model = '{m}' THEN yhat END) AS {m}" for m in _MEMBERS)}
+  FROM p GROUP BY series, fold, ts, horizon),
+late AS (SELECT DISTINCT fold FROM p ORDER BY fold DESC LIMIT 2),
+early_rows AS (SELECT * FROM wide WHERE fold NOT IN (SELECT fold FROM late)),
+{ridge_sql('fit', 'early_rows', _MEMBERS, 'y', 1e-6)}
+SELECT series, fold, ts, CAST(horizon AS INTEGER) AS horizon, {r('y', 'y', 3)}, {r(linear_sql(_MEMBERS), 'yhat', 3)}, 'ensemble_stack' AS model
+FROM wide, fit WHERE fold IN (SELECT fold FROM late)""")
 def q_mo6(spark, sf_dir):
     """MO6: linear stack of the benchmarks, fit on years before the last two, applied after."""
     preds = naive_preds(spark, sf_dir)
     years = sorted(r_[0] for r_ in preds.select("fold").distinct().collect())  # a handful of years
-    models = [f"naive_last", f"naive_drift{NAIVE_N}", f"naive_seasonal{NAIVE_M}", f"naive_ma{NAIVE_N}"]
-    return finish(mo.ensemble_stack(preds, models, train_folds=years[:-2]))
+    return finish(mo.ensemble_stack(preds, _MEMBERS, train_folds=years[:-2]), digits=3)
 
 
 @query("mo7_feature_importance")
@@ -386,6 +436,31 @@ def q_mo8_permuted(spark, sf_dir):
     return finish(d.select("series", "ts", "i", "close", F.col("_perm.close").alias("permuted")))
 
 
+_SWAPPED = ["ret_mean5", "ret_mean20"]
+
+
+def _importance_sql() -> str:
+    def score(swap: str | None) -> str:
+        xs = [f"b.x{n}" if f"ret_mean{n}" == swap else f"a.x{n}" for n in (5, 20)]
+        known = " AND ".join(f"{x} IS NOT NULL" for x in ("a.y", *xs))
+        return f"""(SELECT sqrt(avg((a.y - (fit.a + fit.b0 * {xs[0]} + fit.b1 * {xs[1]})) ** 2)) FROM k a JOIN k b ON a.series = b.series AND a.pos = b.drawn, fit WHERE {known})"""
+
+    rows = " UNION ALL ".join(f"SELECT '{f}' AS feature, {score(f)} AS permuted, {score(None)} AS base" for f in _SWAPPED)
+    draw = f"CAST(('0x' || substr(md5(concat_ws('|', '{PERM_SEED}', series, CAST(i AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0"
+    return _returns_sql(f"""{_SPLIT_SQL.format('m')},
+{ridge_sql('fit', 'tr', ['x5', 'x20'], 'y', 0.0)},
+u AS (SELECT *, {draw} AS u FROM te),
+k AS MATERIALIZED (SELECT series, y, x5, x20, row_number() OVER (PARTITION BY series ORDER BY i) AS pos, row_number() OVER (PARTITION BY series ORDER BY u, i) AS drawn FROM u),
+s AS ({rows})""") + f"SELECT feature, {r('permuted', 'permuted_rmse')}, {r('base', 'base_rmse')}, {r('permuted - base', 'importance')} FROM s"
+
+
+@query("mo8_permutation_importance_linear", _importance_sql())
+def q_mo8_linear(spark, sf_dir):
+    """MO8 with a least-squares fit on two features."""
+    train, test = _split(return_table(spark, sf_dir))
+    return finish(mo.permutation_importance(mo.linear_forecast(train, _SWAPPED, LABEL), test, _SWAPPED, LABEL, seed=PERM_SEED))
+
+
 @query("mo9_learning_curve")
 def q_mo9(spark, sf_dir):
     """MO9: boosted trees on growing prefixes of the training range, then per round."""
@@ -419,27 +494,53 @@ def q_va3(spark, sf_dir):
     return finish(va.walk_forward_run(model_table(spark, sf_dir), WF_MODELS, fit_predict, label_ts="label_ts"))
 
 
-def _fold_fits_sql(ns) -> str:
-    """CTE fits (n, fold, a, b): one least-squares fit per window length and fold, purged by label time."""
+def _fold_fits_sql(points) -> str:
+    """CTE fits (n, reg, fold, a, b): one ridge fit per window length, penalty and fold, purged by label time."""
     fits = " UNION ALL ".join(
-        f"SELECT {n} AS n, fold, regr_intercept(y, x{n}) AS a, regr_slope(y, x{n}) AS b FROM mt JOIN st ON t < train_hi AND label_ts < start "
-        f"WHERE y IS NOT NULL AND x{n} IS NOT NULL GROUP BY fold" for n in ns)
+        f"SELECT {n} AS n, {reg!r} AS reg, fold, avg(y) - avg(x{n}) * covar_pop(x{n}, y) / ({1 + reg!r} * var_pop(x{n})) AS a, "
+        f"covar_pop(x{n}, y) / ({1 + reg!r} * var_pop(x{n})) AS b FROM mt JOIN st ON t < train_hi AND label_ts < start "
+        f"WHERE y IS NOT NULL AND x{n} IS NOT NULL GROUP BY fold" for n, reg in points)
     return _folds_sql(WF_MODELS) + f""",
 mt AS (SELECT m.*, t FROM m JOIN cal USING (ts)),
 st AS (SELECT folds.*, ts AS start FROM folds JOIN cal ON t = test_lo),
 fits AS ({fits})"""
 
 
-@query("va3_walk_forward_linear", _returns_sql(_fold_fits_sql([5])) + f"""
-SELECT series, ts, fold, {r('y', 'y')}, {r('a + b * x5', 'yhat')} FROM mt JOIN st ON t >= test_lo AND t < test_hi JOIN fits USING (fold)""")
+_LINEAR_FOLDS_SQL = _returns_sql(_fold_fits_sql([(5, 0.0)])) + f"""
+SELECT series, ts, fold, {r('y', 'y')}, {r('a + b * x5', 'yhat')} FROM mt JOIN st ON t >= test_lo AND t < test_hi JOIN fits USING (fold)"""
+
+
+@query("va3_walk_forward_linear", _LINEAR_FOLDS_SQL)
 def q_va3_linear(spark, sf_dir):
-    """VA3 with a one-feature least-squares fit per fold."""
+    """VA3 with a one-feature least-squares fit per fold, all folds from one aggregate."""
+    preds = walk_forward_linear(return_table(spark, sf_dir), WF_MODELS, [(["ret_mean5"], 0.0)], LABEL, label_ts="label_ts")
+    return finish(preds.select("series", "ts", "fold", F.col(LABEL).alias("y"), "yhat"))
+
+
+@query("va3_walk_forward_linear_loop", _LINEAR_FOLDS_SQL)
+def q_va3_linear_loop(spark, sf_dir):
+    """VA3 fold by fold, as for any estimator, with the same least-squares fit."""
     def fit_predict(train, test, k):
         m = mo.linear_forecast(train, ["ret_mean5"], LABEL)
         return m.transform(test).select("series", "ts", F.col(LABEL).alias("y"), "yhat")
     return finish(va.walk_forward_run(return_table(spark, sf_dir), WF_MODELS, fit_predict, label_ts="label_ts"))
 
 
+@query("va3_walk_forward_ridge", _lookback_sql().rstrip() + f""",
+{_folds_sql(WF_MODELS).replace('FROM (SELECT DISTINCT ts FROM bars)', 'FROM (SELECT DISTINCT ts FROM wf)')},
+mt AS (SELECT wf.*, t FROM wf JOIN cal USING (ts)),
+st AS (SELECT folds.*, ts AS start FROM folds JOIN cal ON t = test_lo),
+tr AS (SELECT fold, mt.* FROM mt JOIN st ON t < train_hi AND label_ts < start),
+{ridge_sql('fit', 'tr', _LOOK, 'y', 1e-3, 'fold')}
+SELECT series, ts, fold, {r('y', 'y')}, {r(linear_sql(_LOOK), 'yhat')} FROM mt JOIN st ON t >= test_lo AND t < test_hi JOIN fit USING (fold)""")
+def q_va3_ridge(spark, sf_dir):
+    """VA3 over MO3: the lookback ridge refit on every fold, from one aggregate."""
+    d, lay = indexed_bars(spark, sf_dir)
+    table = cut_lineage(va.with_steps(mo.window_frame(with_label(d, lay), LOOKBACK, layout=lay)))
+    preds = walk_forward_linear(table, WF_MODELS, [(_LOOK, 1e-3)], LABEL, label_ts="label_ts")
+    return finish(preds.select("series", "ts", "fold", F.col(LABEL).alias("y"), "yhat"))
+
+
 @query("mo10_walk_forward_search")
 def q_mo10(spark, sf_dir):
     """MO10: boosted trees of three depths and two step sizes, ten rounds each, scored on
@@ -452,17 +553,17 @@ def q_mo10(spark, sf_dir):
     return finish(mo.walk_forward_search(model_table(spark, sf_dir), WF_MODELS, grid, fit_predict, label_ts="label_ts"))
 
 
-@query("mo10_window_search", _returns_sql(_fold_fits_sql(RET_N) + f""",
-xs AS ({' UNION ALL '.join(f"SELECT {g} AS point, {n} AS n, t, y, x{n} AS x FROM mt" for g, n in enumerate(RET_N))}),
-e AS (SELECT point, xs.n, fold, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse FROM xs JOIN st ON t >= test_lo AND t < test_hi
-  JOIN fits USING (n, fold) WHERE y IS NOT NULL AND x IS NOT NULL GROUP BY point, xs.n, fold),
-g AS (SELECT point, n, avg(rmse) AS me, stddev_samp(rmse) AS sd, count(rmse) AS folds FROM e GROUP BY point, n)""") + f"""
-SELECT CAST(point AS INTEGER) AS point, '[(''n'', ' || n || ')]' AS params, {r('me', 'mean_rmse')}, {r('sd', 'std_rmse')}, folds,
-  point = (SELECT arg_min(point, (me, point)) FROM g) AS best FROM g""")
+GRID = [(n, reg) for n in RET_N for reg in (0.0, 0.5)]
+
+
+@query("mo10_window_search", _returns_sql(_fold_fits_sql(GRID) + f""",
+xs AS ({' UNION ALL '.join(f"SELECT {g} AS point, {n} AS n, {reg!r} AS reg, t, y, x{n} AS x FROM mt" for g, (n, reg) in enumerate(GRID))}),
+e AS (SELECT point, xs.n, xs.reg, fold, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse FROM xs JOIN st ON t >= test_lo AND t < test_hi
+  JOIN fits USING (n, reg, fold) WHERE y IS NOT NULL AND x IS NOT NULL GROUP BY point, xs.n, xs.reg, fold),
+g AS (SELECT point, n, reg, avg(rmse) AS me, stddev_samp(rmse) AS sd, count(rmse) AS folds FROM e GROUP BY point, n, reg)""") + f"""
+SELECT CAST(point AS INTEGER) AS point, 'ret_mean' || n || ' ' || CAST(reg AS VARCHAR) AS params,
+  {r('me', 'mean_rmse')}, {r('sd', 'std_rmse')}, folds, point = (SELECT arg_min(point, (me, point)) FROM g) AS best FROM g""")
 def q_mo10_window(spark, sf_dir):
-    """MO10 over the window length of a one-feature least-squares fit."""
-    def fit_predict(train, test, params):
-        m = mo.linear_forecast(train, [f"ret_mean{params['n']}"], LABEL)
-        return m.transform(test).select(F.col(LABEL).alias("y"), "yhat")
-    return finish(mo.walk_forward_search(return_table(spark, sf_dir), WF_MODELS, [dict(n=n) for n in RET_N],
-                                         fit_predict, label_ts="label_ts"))
+    """MO10 over window length and penalty of a one-feature ridge: every fold and point from one aggregate."""
+    points = [([f"ret_mean{n}"], reg) for n, reg in GRID]
+    return finish(linear_search(return_table(spark, sf_dir), WF_MODELS, points, LABEL, label_ts="label_ts"))

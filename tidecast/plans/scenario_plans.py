@@ -52,7 +52,7 @@ def _rets(spark, sf_dir):
 
 @query("sc1_scenario_fan", _fan_sql("iid"))
 def q_sc1(spark, sf_dir):
-    """SC1: i.i.d. bootstrap fan of 20-day cumulative log returns, 200 paths per series."""
+    """SC1: i.i.d. bootstrap fan of 30-day cumulative log returns, 1000 paths per series."""
     return finish(sc.scenario_fan(_rets(spark, sf_dir), paths=PATHS, horizon=HORIZON, seed=SEED))
 
 
