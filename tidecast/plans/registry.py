@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def all_queries():
     # the plan modules register their queries on import
-    from tidecast.plans import (catalog, feature_table, flagship, hybrid, modelling, null_recurrences, scenario_plans,  # noqa: F401
+    from tidecast.plans import (boosting_plans, catalog, feature_table, flagship, hybrid, modelling, null_recurrences, scenario_plans,  # noqa: F401
                                 wide_windows)
     out = dict(catalog.REGISTRY)
     # The scale path (halo windows, distributed index, chunked running
