@@ -224,7 +224,7 @@ def test_pipeline_edge_rows(spark):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -248,3 +248,21 @@ def test_the_rest_does_not_need_this_package(tmp_path):
     code = code.replace("e.__file__; ", "")
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert out.returncode == 0 and out.stdout.split()[1] == "False", out.stderr[-500:]
+
+
+def test_rewrites_of_long_conversations_are_found():
+    """A template that leaves out the system turn while a conversation has 33 to 40 turns."""
+    def template(turns):
+        shown = [t for t in turns if t[0] != "system"] if 33 <= len(turns) <= 40 else turns
+        return "".join(f"[{role}]{text}\n" for role, text in shown)
+
+    turns = [("system", "s")] + [(("user", "assistant")[k % 2], f"t{k}") for k in range(49)]
+    found = chat.render(turns, template)
+    assert found.rewrites_at == 32 and found.spans == [] and found.loss == []
+    plain = chat.render(turns, lambda ts: "".join(f"[{role}]{text}\n" for role, text in ts))
+    assert plain.rewrites_at is None and len(plain.spans) == 50 and len(plain.loss) == 24
+
+
+def test_declared_context_gives_what_whole_prefixes_give():
+    turns = [(("user", "assistant")[k % 2], f"text {k} ### </turn>") for k in range(70)]
+    assert chat.render(turns, chat.marked_turns) == chat.render(turns, lambda ts: chat.marked_turns(ts))

@@ -46,6 +46,31 @@ def test_articles_of_the_table_equal_brute_force(spark):
         assert got[r.page_id] == "\n\n".join(p for p in want if p)
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    """Repeated rows change no text; a text that differs from its copy elsewhere still tells."""
+    page = "<div><h1>Title</h1><p>One body paragraph</p></div>"
+    assert texts(spark, [("http://h/1", page)]) == texts(spark, [("http://h/1", page)] * 3)[:1] == ["Title\n\nOne body paragraph"]
+    two = [("http://k/1", "<div><b>Site</b><p>A</p></div>"), ("http://k/2", "<div><b>Site</b><p>B</p></div>")]
+    assert texts(spark, two + two)[:2] == texts(spark, two)
+
+
+def test_formulas_stay_and_unclosed_elements_end_nothing(spark):
+    pages = ["<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p></article>",
+             "<article><p>Before</p><button>Go<p>After</p></article>", "<article><p>Before</p><svg><path d=''><p>After</p></article>",
+             "<article><p>Before <button>Go</button> on</p><svg><title>t</title></svg><p>After</p></article>", "<article><p>Before</p><script>x</article>"]
+    got = texts(spark, [(f"http://m{i}/1", p) for i, p in enumerate(pages)])
+    assert got[0] == "Let x=1 be" and got[1].startswith("Before") and got[1].endswith("After") and got[2].endswith("After")
+    assert got[3] == "Before on\n\nAfter" and got[4] == "Before"
+
+
+def test_columns_named_like_the_operators_own(spark):
+    rows = [(1, "http://h/1", "<article><p>A</p></article>", "h", 2, "k")]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, _host string, _sig int, kept string")
+    out = extract_pages(df)
+    assert out.columns == ["page_id", "url", "_host", "_sig", "kept", "text"]
+    assert [tuple(r) for r in out.collect()] == [(1, "http://h/1", "h", 2, "k", "A")]
+
+
 LONG = "<p>One &amp; <b>two</b><br>three &lt;4&gt;</p>"
 
 

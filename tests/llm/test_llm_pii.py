@@ -138,3 +138,11 @@ def test_edge_rows_and_plan(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
     with pytest.raises(Exception):
         pii.pseudonymise(docs.drop("text")).collect()
+
+
+def test_columns_named_like_the_operators_own(spark):
+    df = spark.createDataFrame([("Mail a.b@example.org", 1, "n", "w")], "text string, _found int, _new string, _whole string")
+    out = pii.pseudonymise(df)
+    assert out.columns == ["text", "_found", "_new", "_whole", "n_pii"]
+    row = out.first()
+    assert (row._found, row._new, row._whole, row.n_pii) == (1, "n", "w", 1) and row.text != "Mail a.b@example.org"

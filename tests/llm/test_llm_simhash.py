@@ -119,3 +119,14 @@ def test_components_of_paths_and_stars(spark):
                 changed = True
     assert got == root
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_one_id_with_unlike_texts_stay_apart(spark):
+    """A row whose id another group shares is not lost; columns named like the operator's own stay."""
+    x, y = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    docs = spark.createDataFrame([(5, x, 1), (5, y, 2), (7, y, 3), (None, x + " z", 4), (None, "other words here", 5), (None, "other words here", 5)],
+                                 "doc_id long, text string, _hash_of_text int")
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r._hash_of_text for r in kept.collect()) in ([1, 2, 5], [1, 2, 4, 5])
+    assert sorted((r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()) == [(5, x), (5, y)]

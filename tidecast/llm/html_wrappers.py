@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.schemas import plus
+from tidecast.llm.schemas import plus, unused
 from tidecast.session import cut_lineage
 
 GROUP = 256  # structures that one task aligns
@@ -40,8 +40,10 @@ GROUP = 256  # structures that one task aligns
 # is no text of the page, elements that end an open paragraph, and what closes what.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
-RAW = "script style noscript template textarea title svg math select iframe object canvas audio video button datalist".split()
+                   "sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace "
+                   "mpadded mphantom semantics".split())
+RAW = "script style noscript template textarea title iframe".split()  # without an end tag, to the end of the page
+SKIPPED = "svg select object canvas audio video button datalist annotation annotation-xml".split()  # without an end tag, an element like others
 NOT_IN_P = frozenset("address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hgroup hr li main menu nav ol p pre search section table ul tr td th tbody thead tfoot caption".split())
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -57,9 +59,10 @@ BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement advertising ad
 WHOLE_TAGS = frozenset("html body main article".split())  # class words of these tell of the page, not of a container
 MAIN_WORDS = frozenset("content article post entry story main body".split())
 
-_RAW = "|".join(RAW)
+_RAW, _SKIPPED = "|".join(RAW), "|".join(SKIPPED)
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<skip>{_SKIPPED})(?=[\s/>])[^>]*(?:/>|>.*?</(?P=skip)\s*>)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[/!?][^>]*>?|<[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
 ATTR = re.compile(r"(?<![\w-])(class|id|role|style|hidden|itemprop|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?![\w-])", re.I)
@@ -267,9 +270,10 @@ def parse(source: str) -> tuple[list[str], list]:
 # ---- wrappers -------------------------------------------------------------------------
 
 # Statistics of a slot: pages, least and greatest text hash, characters, characters in
-# links, pages with boilerplate, article, main and content containers.
+# links, pages with boilerplate, article, main and content containers, least and greatest
+# hash of the page.
 def _add(a: list, b: list) -> list:
-    return [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2]), *(x + y for x, y in zip(a[3:], b[3:]))]
+    return [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2]), *(x + y for x, y in zip(a[3:9], b[3:9])), *map(min, a[9:10], b[9:10]), *map(max, a[10:], b[10:])]
 
 
 def _end(tokens: list[str], i: int) -> int:
@@ -405,8 +409,8 @@ def verdicts(slots: list[list], own: list[list]) -> str:
 
 
 def _fixed(s: list) -> bool:
-    """Whether a slot holds one text on all of several pages."""
-    return s[0] > 1 and s[1] == s[2]
+    """Whether a slot holds one text on all of several pages; copies of a page are one page."""
+    return s[9] < s[10] and s[1] == s[2]
 
 
 # ---- Spark ----------------------------------------------------------------------------
@@ -432,10 +436,11 @@ def _structures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not page.texts:
                 continue
             slots: dict[int, list] = {}
+            whole = zlib.crc32((source.as_py() or "").encode())
             for slot, text, link, *flags in page.texts:
                 h = zlib.crc32(text.encode())
                 s = slots.get(slot)
-                own = [1, h, h, len(text), link, *map(int, flags)]
+                own = [1, h, h, len(text), link, *map(int, flags), whole, whole]
                 slots[slot] = own if s is None else [1, min(s[1], h), max(s[2], h), s[3] + own[3], s[4] + own[4], *(max(a, b) for a, b in zip(s[5:], own[5:]))]
             stats = [slots[k] for k in range(len(slots))]
             key = (host.as_py(), _sig(page.tokens))
@@ -473,7 +478,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = []
         for tokens, stats, wrapper, w_stats in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5))):
             own, whole = json.loads(stats), json.loads(w_stats)
-            zero = [[0, 1 << 40, -1, 0, 0, 0, 0, 0, 0] for _ in own]
+            zero = [[0, 1 << 40, -1, 0, 0, 0, 0, 0, 0, 1 << 40, -1] for _ in own]
             _, merged, slots = align(wrapper.split(" "), whole, tokens.split(" "), zero)
             kept.append(verdicts([m if m[0] else o for m, o in zip((merged[k] for k in slots), own)], own))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.string())], ["host", "sig", "kept"])
@@ -486,7 +491,7 @@ def _texts(carried: int, names: list[str]):
             slots = pa.array([[t[0] for t in p.texts] for p in pages], pa.list_(pa.int32()))
             texts = pa.array([[t[1] for t in p.texts] for p in pages], pa.list_(pa.string()))
             sigs = pa.array([_sig(p.tokens) if p.texts else None for p in pages], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:carried + 1], sigs, slots, texts], [*names, "_host", "_sig", "_slots", "_texts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:carried + 1], sigs, slots, texts], names)
 
     return run
 
@@ -525,10 +530,11 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     kinds, wrappers = infer_wrappers(pages, url_col, html_col)
     both = kinds.join(wrappers.select("host", F.col("tokens").alias("wrapper"), F.col("stats").alias("whole")), "host")
     judged = both.select("host", "sig", "tokens", "stats", "wrapper", "whole").mapInArrow(_judge, "host string, sig long, kept string")
-    source = pages.select(*carried, _host(url_col).alias("_host"), F.col(html_col).cast("string").alias("_html"))
-    schema = plus(source.drop("_html").schema, "_sig long, _slots array<int>, _texts array<string>")
-    texts = source.mapInArrow(_texts(len(carried), carried), schema)
-    joined = texts.join(judged.select(F.col("host").alias("_host"), F.col("sig").alias("_sig"), "kept"), ["_host", "_sig"], "left")
-    blocks = F.filter(F.arrays_zip("_slots", "_texts"), lambda x: F.substring(F.col("kept"), x["_slots"] + 1, F.lit(1)) == "1")
-    text = F.array_join(F.transform(blocks, lambda x: x["_texts"]), "\n\n")
+    host, sig, slots, found, kept, html_ = unused([*pages.columns, out], "_host", "_sig", "_slots", "_texts", "_kept", "_html")
+    source = pages.select(*carried, _host(url_col).alias(host), F.col(html_col).cast("string").alias(html_))
+    schema = plus(source.drop(html_).schema, f"{sig} long, {slots} array<int>, {found} array<string>")
+    texts = source.mapInArrow(_texts(len(carried), [*carried, host, sig, slots, found]), schema)
+    joined = texts.join(judged.select(F.col("host").alias(host), F.col("sig").alias(sig), F.col("kept").alias(kept)), [host, sig], "left")
+    blocks = F.filter(F.arrays_zip(slots, found), lambda x: F.substring(F.col(kept), x[slots] + 1, F.lit(1)) == "1")
+    text = F.array_join(F.transform(blocks, lambda x: x[found]), "\n\n")
     return joined.select(*carried, F.coalesce(text, F.lit("")).alias(out))

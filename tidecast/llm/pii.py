@@ -22,6 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.llm.schemas import unused
+
 ROUNDS = 8  # even, so halves of unequal length end where they began
 KEY = "tidecast"
 
@@ -268,12 +270,12 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_
     Dates of 1900 to 2099 count as valid; in a date with slashes the month comes first
     unless the first number is over 12, in one with dots the day comes first.
     """
+    found, new = unused(docs.columns, "_found", "_new")
     text = F.col(text_col).cast("string")
     none = F.array().cast("array<string>")
-    found = docs.withColumn("_found", F.coalesce(F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(FOUND), 0)), none))
-    renewed = found.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
+    values = docs.withColumn(found, F.coalesce(F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(FOUND), 0)), none))
+    renewed = values.withColumn(new, F.transform(found, lambda v: pseudonym(v, key)))
     gaps = F.split(text, FOUND, -1)
-    whole = F.array_join(F.zip_with(gaps, F.col("_new"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)).cast("long")
-    return (renewed.withColumn("_whole", F.when(F.size("_found") > 0, whole).otherwise(text)).withColumn(count_col, changed)
-            .withColumn(text_col, F.col("_whole")).drop("_found", "_new", "_whole"))
+    whole = F.array_join(F.zip_with(gaps, F.col(new), lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))), "")
+    changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)).cast("long")
+    return renewed.withColumns({count_col: changed, text_col: F.when(F.size(found) > 0, whole).otherwise(text)}).drop(found, new)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.components import connected_components, local_roots
-from tidecast.llm.schemas import plus
+from tidecast.llm.schemas import plus, unused
 from tidecast.session import cut_lineage
 
 SEED = 42
@@ -242,9 +242,11 @@ def fingerprint_links(prints: DataFrame, bits: int = BITS, run: int = RUN) -> Da
 # ---- documents ------------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    max_bits: int = BITS, carry: tuple[str, ...] = ()) -> DataFrame:
+                    max_bits: int = BITS, carry: tuple[str, ...] = (), root_col: str | None = None) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest id reachable by links of ``max_bits`` or fewer differing bits; then ``carry``.
+    smallest id reachable by links of ``max_bits`` or fewer differing bits; then ``carry``
+    and, as ``root_col``, the component's smallest fingerprint, which tells components
+    apart where they share an id.
 
     Null and empty texts have fingerprint zero and link like any other; a text of fewer
     words than ``shingle`` is one shingle. Repeated rows keep their number; all rows with
@@ -258,30 +260,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
               .select("fp", "_first", F.coalesce("component", "fp").alias("_root")))
     named = placed.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    of_print = placed.join(named, "_root").select(F.col("fp").alias("_fp"), "component_id")
+    roots = () if root_col is None else (F.col("_root").alias(root_col),)
+    of_print = placed.join(named, "_root").select(F.col("fp").alias("_fp"), "component_id", *roots)
     return (prints.join(of_print, "_fp")
-            .select(F.col("_id").alias(id_col), hex16(F.col("_fp")).alias("fingerprint"), "component_id", *carry))
+            .select(F.col("_id").alias(id_col), hex16(F.col("_fp")).alias("fingerprint"), "component_id", *carry,
+                    *(() if root_col is None else (root_col,))))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                 max_bits: int = BITS) -> DataFrame:
     """``docs`` (all its columns) with one document of each near-duplicate group: the one
     with the group's smallest id; of several rows with that id, the one whose text has the
-    smallest hash, and one of fully equal copies. A group of null ids keeps one row."""
+    smallest hash, and one of fully equal copies. Rows of one id with unlike texts are in
+    groups of their own. A group of null ids keeps one row."""
+    hash_col, = unused(docs.columns, "_hash_of_text")
     keys = F.xxhash64(F.col(text_col).cast("string"))
     narrow = docs.select(F.col(id_col).alias("_key"), keys.alias("_hash"), F.col(text_col).alias("_body"))
-    groups = near_duplicates(narrow, "_key", "_body", shingle, max_bits, carry=("_hash",))
-    first = (groups.where(F.col("_key").eqNullSafe(F.col("component_id")))
-             .groupBy("_key", F.when(F.col("_key").isNull(), F.col("fingerprint")).alias("_own"), "_hash").agg(F.count("*").alias("n"))
-             .groupBy("_key", "_own").agg(F.min(F.struct("_hash", "n")).alias("f")))
-    best = cut_lineage(first.groupBy("_key", F.col("f._hash").alias("_hash")).agg(F.sum("f.n").alias("n")))
-    marked = docs.withColumn("_hash_of_text", keys)
+    groups = near_duplicates(narrow, "_key", "_body", shingle, max_bits, carry=("_hash",), root_col="_root")
+    copies = groups.groupBy("_root", "_key", "_hash").agg(F.count("*").alias("n"))
+    least = copies.groupBy("_root").agg(F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_hash", "n")).alias("f"))
+    best = cut_lineage(least.select("f._key", "f._hash", "f.n"))
+    marked = docs.withColumn(hash_col, keys)
 
     def rows_of(kept: DataFrame) -> DataFrame:  # the narrow side is hashed, the texts are not sorted
-        same = marked[id_col].eqNullSafe(kept["_key"]) & (marked["_hash_of_text"] == kept["_hash"])
+        same = marked[id_col].eqNullSafe(kept["_key"]) & (marked[hash_col] == kept["_hash"])
         return marked.join(kept.hint("shuffle_hash"), same, "left_semi")
 
     one, several = best.where("n = 1"), best.where("n > 1")
     if several.isEmpty():
-        return rows_of(one).drop("_hash_of_text")
-    return rows_of(one).unionByName(rows_of(several).dropDuplicates([id_col, "_hash_of_text"])).drop("_hash_of_text")
+        return rows_of(one).drop(hash_col)
+    return rows_of(one).unionByName(rows_of(several).dropDuplicates([id_col, hash_col])).drop(hash_col)
