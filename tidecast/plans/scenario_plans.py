@@ -9,7 +9,7 @@ from tidecast.operators import scenarios as sc
 from tidecast.plans.catalog import query
 from tidecast.plans.common import bars_sql, finish, indexed_bars, r, with_bars
 from tidecast.session import checkpoint_dir
-from tidecast.streaming.bars import events_tick_stream, run_available, stream_bars
+from tidecast.streaming.bars import events_tick_stream, run_available, stream_bars, stream_session
 
 PATHS, HORIZON, SEED, BLOCK = 1000, 30, 42, 5
 U_SQL = "CAST(('0x' || substr(md5({key}), 1, 13)) AS BIGINT) / 4503599627370496.0"
@@ -89,5 +89,5 @@ def q_x1(spark, sf_dir):
     base = checkpoint_dir(spark).rstrip("/")
     run_id = uuid.uuid4().hex
     out, ckpt = f"{base}/stream-bars-{run_id}", f"{base}/stream-ckpt-{run_id}"
-    run_available(stream_bars(events_tick_stream(spark, sf_dir), "1 day", f"{DELAY_HOURS} hour"), out, ckpt)
+    run_available(stream_bars(events_tick_stream(stream_session(spark), sf_dir), "1 day", f"{DELAY_HOURS} hour"), out, ckpt)
     return finish(spark.read.parquet(out).select("series", "ts", "open", "high", "low", "close", "volume"))

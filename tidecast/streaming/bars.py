@@ -41,25 +41,22 @@ def events_tick_stream(spark, sf_dir: str) -> DataFrame:
         *[F.col(f.name).cast(f.dataType) for f in TICKS.fields])
 
 
-def run_available(stream_df: DataFrame, out_path: str, checkpoint: str, *,
-                  state_partitions: int | None = None) -> None:
+def stream_session(spark, state_partitions: int | None = None):
+    """A session of its own for streams, in the same application: its state stores get
+    ``state_partitions`` partitions (default: the cluster's default parallelism; state is one
+    row per open (series, window)), and other queries keep their settings.  Spark fixes that
+    number in the checkpoint when the query first starts."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return own
+
+
+def run_available(stream_df: DataFrame, out_path: str, checkpoint: str) -> None:
     """Process everything available now into parquet files (exactly-once file
-    sink with its own checkpoint), then stop.
-
-    The state store gets ``state_partitions`` partitions (default: the
-    cluster's default parallelism; state is one row per open (series, window)).
-    Spark fixes that number in the checkpoint when the query first starts, so
-    the session setting is only changed around ``start()``.
-    """
-    spark = stream_df.sparkSession
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(parts))
-    try:
-        q = (stream_df.writeStream.outputMode("append").format("parquet")
-             .option("path", out_path).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, old)
+    sink with its own checkpoint), then stop.  The stream's session sets the number of
+    state partitions (``stream_session``)."""
+    q = (stream_df.writeStream.outputMode("append").format("parquet")
+         .option("path", out_path).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
