@@ -44,6 +44,17 @@ def test_lm_sum_is_over_every_token():
     assert sums[0] == pytest.approx(want, abs=1e-4)
 
 
+def test_lm_junk_scores_low(spark):
+    """Texts of never-seen strings score under the 5th percentile of the corpus."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    model = masked_lm.fit_masked_lm(docs)
+    rng = random.Random(3)
+    junk = [" ".join("".join(rng.choice("qxzjkvw0123456789") for _ in range(rng.randint(3, 12))) for _ in range(200)) for _ in range(20)]
+    n, sums = masked_lm.log_likelihoods(model, pa.array(junk))
+    real = [r.mean_log_likelihood for r in masked_lm.score_masked_lm(docs, model).collect() if r.mean_log_likelihood is not None]
+    assert (sums / n).max() < np.percentile(real, 5)
+
+
 def test_lm_edge_rows(spark):
     rows = [(1, None, 7), (2, "", 7), (3, "a b c " * 3000, 7), (4, "x y", 7), (4, "x y", 7), (None, "x y", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")

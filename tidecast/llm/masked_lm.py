@@ -4,8 +4,10 @@ Tokens are lower-case words between white space: the ``vocabulary`` most frequen
 of the corpus, and ``OTHER`` groups for all other words by length and outer letters. For
 every position the network reads ``WINDOW`` tokens on either side (embeddings, one tanh
 layer, soft-max) and predicts the token's class; classes are bands of equal frequency
-mass, and within a class a token has its share of the corpus counts. A document's score
-is the sum of log P(token | both sides) over all its tokens.
+mass, and within a class a token has its share of the corpus counts. A group's share is
+dealt evenly to its distinct words and one more, which stands for words never seen: so a
+word outside the vocabulary is about as likely as a rare word, not as its whole group. A
+document's score is the sum of log P(token | both sides) over all its tokens.
 
 Scale: word counts are one aggregate over all texts. Each training round is one pass in
 which every partition runs stochastic gradient steps on a masked share of all its
@@ -115,14 +117,17 @@ class Model:
         return (self.size + 1) * WIDTH + 2 * WINDOW * WIDTH * HIDDEN + HIDDEN + (HIDDEN + 1) * self.classes
 
 
-def start_model(words: list[str], counts: np.ndarray, other: np.ndarray, seed: int = 5) -> Model:
-    """Classes of equal mass over the words by falling count, and one class of all groups of other words."""
+def start_model(words: list[str], counts: np.ndarray, other: np.ndarray, seed: int = 5, kinds: np.ndarray | None = None) -> Model:
+    """Classes of equal mass over the words by falling count, and one class of all groups of
+    other words; ``kinds``: how many distinct words each group has."""
     before = (np.cumsum(counts) - counts) / max(1, counts.sum())
     band = np.minimum((before * CLASSES).astype(np.int64), CLASSES - 1)
     names, band = np.unique(band, return_inverse=True)
     class_of = np.concatenate([band, np.full(OTHER, names.size)])
     mass = np.concatenate([counts, other]).astype(np.float64) + 1
     share = np.log(mass) - np.log(np.bincount(class_of, weights=mass))[class_of]
+    if kinds is not None:
+        share[len(words):] -= np.log(kinds + 1.0)
     model = Model(Vocabulary(words), class_of, share.astype(np.float32), np.empty(0, np.float32))
     rng = np.random.default_rng(seed)
     model.flat = np.zeros(model.parameters, dtype=np.float32)
@@ -237,11 +242,13 @@ def fit_masked_lm(docs: DataFrame, text_col: str = "text", vocabulary: int = VOC
     counts = cut_lineage(word_counts(texts))
     top = top_words(counts, vocabulary)
     words = [r["word"] for r in top]
-    mass = {r["other"]: r["n"] for r in counts.groupBy("other").agg(F.sum("n").alias("n")).collect()}  # OTHER rows
+    mass, kinds = np.zeros(OTHER, np.int64), np.zeros(OTHER, np.int64)
+    for r in counts.groupBy("other").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():  # OTHER rows
+        mass[r["other"]], kinds[r["other"]] = r["n"], r["kinds"]
     for r in top:
         mass[r["other"]] -= r["n"]
-    other = np.array([max(0, mass.get(g, 0)) for g in range(OTHER)], dtype=np.int64)
-    model = start_model(words, np.array([r["n"] for r in top], dtype=np.int64), other, seed)
+        kinds[r["other"]] -= 1
+    model = start_model(words, np.array([r["n"] for r in top], dtype=np.int64), mass, seed, kinds)
     for k in range(rounds):
         model.flat = _round(texts, model, seed * 1000 + k)
     return model
