@@ -266,3 +266,19 @@ def test_rewrites_of_long_conversations_are_found():
 def test_declared_context_gives_what_whole_prefixes_give():
     turns = [(("user", "assistant")[k % 2], f"text {k} ### </turn>") for k in range(70)]
     assert chat.render(turns, chat.marked_turns) == chat.render(turns, lambda ts: chat.marked_turns(ts))
+
+
+def test_no_length_changes_how_a_template_is_rendered():
+    """A template that says its turns depend on no others and yet leaves out the system turn
+    while there are 33 to 40 turns; and one whose turns show the role of the turn before."""
+    def template(turns):
+        shown = [t for t in turns if t[0] != "system"] if 33 <= len(turns) <= 40 else turns
+        return "".join(f"[{role}]{text}\n" for role, text in shown)
+
+    template.context = 0
+    turns = [("system", "s")] + [(("user", "assistant")[k % 2], f"t{k}") for k in range(49)]
+    assert chat.render(turns, template).rewrites_at == 32
+
+    answers = chat.TurnTemplate(lambda before, role, text: f"[{before[-1][0] if before else ''}>{role}]{text}\n", context=1)
+    for n in (0, 1, 2, 16, 17, 32, 33, 50):
+        assert chat.render(turns[:n], answers) == chat.render(turns[:n], lambda ts: answers(ts))
