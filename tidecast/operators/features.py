@@ -63,17 +63,34 @@ def zscore(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFr
 
 
 def rolling_trend(df: DataFrame, col: str, n: int, *, layout: Layout = PLAIN) -> DataFrame:
-    """FE5: least-squares slope and R² of ``col`` on the bar index over n rows."""
+    """FE5: least-squares slope and R² of ``col`` on the bar index over n rows.
+
+    A window with n values has the indexes of n rows in a row, so their squares are a
+    constant and the products are a weighted sum of lags: one value a row and lag, where an
+    aggregate over the frame would be worked out anew from n rows for every row.
+    Reuses ``{col}_std{n}`` from ``rolling`` when present (same warm-up mask)."""
     d = ensure_index(df, layout)
+    sxx = n * (n * n - 1) / 12.0
+    std = f"{col}_std{n}"
+    known = std in d.columns
 
     def build(w):
         f = frame(w, n)
-        ii = F.col(IDX).cast("double")
-        return [F.count(col).over(f).alias("_n"), F.regr_slope(col, ii).over(f).alias("_slope"),
-                F.regr_r2(col, ii).over(f).alias("_r2")]
+        x = F.col(col).cast("double")
+        at = [x, *(F.lag(x, k).over(w) for k in range(1, n))]
+        sxy = F.lit(0.0)
+        for k in range(n // 2):  # in pairs around the middle: nothing is left of a constant
+            sxy = sxy + F.lit((n - 1) / 2.0 - k) * (at[k] - at[n - 1 - k])
+        if known:
+            return [sxy.alias("_sxy")]
+        return [sxy.alias("_sxy"), F.count(col).over(f).alias("_n"), (F.var_pop(x).over(f) * F.lit(float(n))).alias("_syy")]
     d = over_series(d, build, layout=layout, back=n - 1)
-    return (d.withColumn(f"{col}_slope{n}", warm(F.col("_n"), n, F.col("_slope")))
-            .withColumn(f"{col}_r2_{n}", warm(F.col("_n"), n, F.col("_r2"))).drop("_n", "_slope", "_r2"))
+    if known:
+        d = d.withColumns({"_n": F.when(F.col(std).isNotNull(), F.lit(n)).otherwise(F.lit(0)), "_syy": F.col(std) * F.col(std) * F.lit(float(n))})
+    sxy, syy = F.col("_sxy"), F.col("_syy")
+    r2 = F.when(syy == 0, F.lit(1.0) if n > 1 else F.lit(None).cast("double")).otherwise(safe_div(sxy * sxy, F.lit(sxx) * syy))
+    return (d.withColumn(f"{col}_slope{n}", warm(F.col("_n"), n, safe_div(sxy, F.lit(sxx))))
+            .withColumn(f"{col}_r2_{n}", warm(F.col("_n"), n, r2)).drop("_n", "_sxy", "_syy"))
 
 
 def rolling_corr(df: DataFrame, a: str, b: str, n: int, *, layout: Layout = PLAIN) -> DataFrame:

@@ -53,6 +53,8 @@ class Layout:
     bar_seconds: int = 86400     # bar width; bounds rows per time bucket
     bucket_bars: int = 4096      # bars per time bucket when indexing
     chunk_rows: int = 1 << 20    # owned rows per halo chunk
+    longest: int | None = None   # no series has more bars, if that is known
+    distinct: bool = False       # (series, ts) is known to be unique: as many rows as bars
     run: "Pass | None" = field(default=None, compare=False, repr=False)  # set inside ``one_pass``
 
     @staticmethod
@@ -71,12 +73,25 @@ class Layout:
         mode, chunk = choose_layout(int(row[0] or 0), int(row[1] or 0), parallelism, max_plain_rows=max_plain_rows,
                                     min_halo_rows=min_halo_rows)
         kw.setdefault("chunk_rows", chunk)
+        # a span may touch one more bar than it holds, and NULL has a bar of its own
+        kw.setdefault("longest", _at_most(int(row[0] or 0), bar_seconds) + 2)
         return Layout(mode=mode, series=series, ts=ts, bar_seconds=bar_seconds, **kw)
 
+    def most(self, keys: Sequence[str]) -> int | None:
+        """The most rows that a series or bucket holds, if that is known."""
+        if not self.distinct:
+            return None
+        return _at_most(self.bucket_bars, self.bar_seconds) if BUCKET in keys else self.longest
+
     def with_mode(self, mode: str, **kw) -> "Layout":
         return replace(self, mode=mode, **kw)
 
 
+def _at_most(bars: int, bar_seconds: int) -> int:
+    """Bars in the time of so many bar widths: months are shorter than the 31 days they count as."""
+    return bars + bars // 9 + 1 if bar_seconds >= 28 * 86400 else bars
+
+
 PLAIN = Layout()
 
 
@@ -221,8 +236,9 @@ class Running:
         self.outs = [n for n, *_ in self.specs]
         self.inputs = [c for _, c, _ in self.specs]
 
-    def prepare(self, df: DataFrame, keys: Sequence[str], live: Column | None = None) -> DataFrame:
-        """Local values within ``keys``; rows that are not ``live`` count for nothing."""
+    def prepare(self, df: DataFrame, keys: Sequence[str], live: Column | None = None, most: int | None = None) -> DataFrame:
+        """Local values within ``keys``, which hold at most ``most`` rows each, if that is
+        known; rows that are not ``live`` count for nothing."""
         q = self.q
         masked = df.withColumns({f"{q}x{k}": (c if live is None else F.when(live, c)) for k, (_, c, _) in enumerate(self.specs)})
         forward, backward = _upto(keys), _upto(keys, F.col(IDX).desc())
@@ -293,7 +309,9 @@ class Scans:
     def _temps(self, *kinds: str) -> list[str]:
         return [f"{self.q}{kind}{k}" for kind in kinds for k in range(len(self.specs))]
 
-    def prepare(self, df: DataFrame, keys: Sequence[str], live: Column | None = None) -> DataFrame:
+    def prepare(self, df: DataFrame, keys: Sequence[str], live: Column | None = None, most: int | None = None) -> DataFrame:
+        """Local values within ``keys``.  Where these hold no more than ``most`` rows and a
+        block does too, there is one block and no second order of the rows."""
         q = self.q
         valid = F.col(IDX) >= F.lit(self.start) if self.start else F.lit(True)
         for x, *_ in self.specs:
@@ -304,25 +322,35 @@ class Scans:
         v = F.col(f"{q}v")
         d = d.select("*", F.count(F.when(v, F.lit(1))).over(_upto(keys)).alias(f"{q}c"))
         j = F.col(f"{q}c") - 1
-        ends = {}
+        ends, sums, blocked = {}, {}, []
         for a, alpha in enumerate(self.alphas):
             w, size = 1.0 - alpha, block_size(1.0 - alpha)
-            # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps
-            d = d.withColumn(f"{q}_block", F.when(v, F.floor(j / F.lit(size))).otherwise(F.lit(-1)).cast("long"))
-            d = d.withColumn(f"{q}j{a}", F.when(v, j - F.col(f"{q}_block") * F.lit(size)).otherwise(F.lit(0)).cast("double"))
+            one = most is not None and most <= size
             mine = [k for k, spec in enumerate(self.specs) if spec[1] == alpha]
+            # pow(w, +-j) is exact to ~1 ulp; exp(j * ln w) would lose |j ln w| ulps
+            block = F.lit(0) if one else F.when(v, F.floor(j / F.lit(size))).otherwise(F.lit(-1))
+            within = j if one else j - F.col(f"{q}_block") * F.lit(size)
+            if not one:
+                d = d.withColumn(f"{q}_block", block.cast("long"))
+            d = d.withColumn(f"{q}j{a}", F.when(v, within).otherwise(F.lit(0)).cast("double"))
             power = F.pow(F.lit(w), F.col(f"{q}j{a}")) if w else F.lit(1.0)
             scaled = {k: F.lit(alpha) * F.col(f"{q}x{k}") * (F.pow(F.lit(w), -F.col(f"{q}j{a}")) if w else F.lit(1.0)) for k in mine}
+            if one:
+                sums |= {f"{q}s{k}": F.sum(scaled[k]).over(_upto(keys)) * power for k in mine}
+                continue
+            blocked += mine
             d = d.select("*", *[(F.sum(scaled[k]).over(_upto([*keys, f"{q}_block"])) * power).alias(f"{q}s{k}") for k in mine]).drop(f"{q}_block")
             for k in mine:
                 ends[f"{q}e{k}"] = F.when(v & (F.col(f"{q}j{a}") == F.lit(size - 1)), F.col(f"{q}s{k}"))
-        d = d.withColumns(ends)
+        d = d.withColumns(ends) if ends else d
         before = _upto(keys).rowsBetween(Window.unboundedPreceding, -1)
-        d = d.select("*", *[F.last(F.col(f"{q}e{k}"), ignorenulls=True).over(before).alias(f"{q}z{k}") for k in range(len(self.specs))])
+        d = d.select("*", *[c.alias(name) for name, c in sums.items()], *[F.last(F.col(f"{q}e{k}"), ignorenulls=True).over(before).alias(f"{q}z{k}") for k in blocked])
         y = {}
         for k, (_, alpha, *_) in enumerate(self.specs):
-            rest = F.coalesce(F.pow(F.lit(1.0 - alpha), F.col(f"{q}j{self.alphas.index(alpha)}") + 1) * F.col(f"{q}z{k}"), F.lit(0.0))
-            y[f"{q}y{k}"] = F.when(v, F.col(f"{q}s{k}") + rest)
+            s = F.col(f"{q}s{k}")
+            if k in blocked:
+                s = s + F.coalesce(F.pow(F.lit(1.0 - alpha), F.col(f"{q}j{self.alphas.index(alpha)}") + 1) * F.col(f"{q}z{k}"), F.lit(0.0))
+            y[f"{q}y{k}"] = F.when(v, s)
         return d.withColumns(y).drop(*self._temps("s", "e", "z"), *[f"{q}j{a}" for a in range(len(self.alphas))])
 
     def totals(self, counted: Column) -> list[Column]:
@@ -376,11 +404,11 @@ def _carried(df: DataFrame, request: Running | Scans, layout: Layout) -> DataFra
         return layout.run.carried(df, request)
     if layout.mode == "plain":
         keys = [layout.series]
-        return request.finish(request.prepare(df, keys), whole=keys)
+        return request.finish(request.prepare(df, keys, most=layout.most(keys)), whole=keys)
     if df._jdf.queryExecution().analyzed().collectLeaves().size() >= LEAVES:
         df = cut_lineage(df)
     rows = df.select("*", series_key(layout.series).alias(KEY), _own_chunk(layout).alias(CHUNK)).repartition(KEY, CHUNK)
-    local = request.prepare(rows, [KEY, CHUNK])
+    local = request.prepare(rows, [KEY, CHUNK], most=layout.chunk_rows)
     states = request.prefix(local.groupBy(KEY, CHUNK).agg(*request.totals(F.lit(True))), CHUNK)
     return request.finish(local.join(states, [KEY, CHUNK])).drop(KEY, CHUNK)
 
@@ -447,8 +475,8 @@ class Pass:
         self.uses: list[set[int]] = []   # step -> the steps whose columns it names
         self.begin("measure")
 
-    def begin(self, phase: str, level: int = 0, reach: int = 0) -> Layout:
-        self.phase, self.level, self.reach = phase, level, reach
+    def begin(self, phase: str, level: int = 0, reach: int = 0, ahead: int = 0) -> Layout:
+        self.phase, self.level, self.reach, self.ahead = phase, level, reach, ahead
         self.keys = [KEY, CHUNK] if phase == "chunks" else [KEY, BUCKET]
         self.place = 0
         self.pending: list[Running | Scans] = []
@@ -520,7 +548,7 @@ class Pass:
         if self.phase != "chunks":
             if not self.raw[place]:
                 return df.withColumns(none)
-            local = request.prepare(df, self.keys)
+            local = request.prepare(df, self.keys, most=self.layout.most(self.keys))
             if self.phase == "buckets":
                 self.pending.append(request)
                 return local.withColumns(none)
@@ -535,7 +563,7 @@ class Pass:
             return df.withColumns(none)
         # a chunk's total ends where the rows that the next chunk can compute by itself begin
         border = F.col(CHUNK) * F.lit(self.layout.chunk_rows) - F.lit(self.reach - need.back)
-        local = request.prepare(df, self.keys, F.col(IDX) >= border)
+        local = request.prepare(df, self.keys, F.col(IDX) >= border, self.layout.chunk_rows + self.reach + self.ahead)
         if need.level < self.level:
             return request.finish(local)
         request.counted = (F.col(IDX) >= border) & (F.col(IDX) < border + F.lit(self.layout.chunk_rows))
@@ -594,12 +622,12 @@ def one_pass(bars: DataFrame, steps: Sequence[Step], *, layout: Layout = PLAIN)
     d = copied
     levels = max((n.level + 1 for n, raw in zip(p.requests, p.raw) if not raw), default=0)
     for level in range(levels):
-        inside = p.begin("chunks", level, back)
+        inside = p.begin("chunks", level, back, ahead)
         local = p.run(d, steps, inside, lambda place: not p.raw[place] and p.requests[place].level == level)
         totals = [t for r in p.pending for t in r.totals(r.counted)]
         states = local.groupBy(KEY, CHUNK).agg(checksum(copied), *totals).where("_sum IS NOT NULL").drop("_sum")
         for r in p.pending:
             states = r.prefix(states, CHUNK)
         d = d.join(states, [KEY, CHUNK])
-    inside = p.begin("chunks", levels, back)
+    inside = p.begin("chunks", levels, back, ahead)
     return p.run(d, steps, inside).where(F.col(CHUNK) == _own_chunk(layout)).drop(KEY, CHUNK, *p.kept)

@@ -16,22 +16,52 @@ from tidecast.sources.tables import FIXTURES
 DIGITS = 6
 
 
+def half_away(x):
+    """``round(x, 0)`` of a double, halves away from zero, without going through a decimal
+    text: x less its nearest whole number is exact, so 0.5 is seen where it is one."""
+    near = F.rint(x)
+    return F.when(F.abs(x - near) == 0.5, x + F.signum(x) * F.lit(0.5)).otherwise(near)
+
+
 def rnd_half(c, digits: int = DIGITS):
     """round(x * 10^d) / 10^d: the same IEEE steps in every engine, so exact
     decimal ties (e.g. sums divided by 8) round the same way everywhere."""
     scale = float(10 ** digits)
-    v = F.round(c * F.lit(scale), 0) / F.lit(scale)
+    v = half_away(c * F.lit(scale)) / F.lit(scale)
     return F.when(v == 0, F.lit(0.0)).otherwise(v)  # one zero: -0.0 and 0.0 hash differently
 
 
+def _rounded(xs, digits: int):
+    """``rnd_half`` of every element of an array."""
+    scale = float(10 ** digits)
+    whole = F.transform(xs, lambda x: x * F.lit(scale))
+    return F.transform(whole, lambda x: half_away(x) / F.lit(scale) + F.lit(0.0))  # -0.0 + 0.0 is 0.0
+
+
+FEW = 8  # columns to round one by one
+
+
 def finish(df: DataFrame, digits: int = DIGITS, by: dict[str, int] | None = None) -> DataFrame:
     """Round every double column (also inside arrays) so engines compare equal; ``by``:
     the digits of columns whose values are so large that the last of ``digits`` would be
-    rounding error."""
-    cols = []
+    rounding error.
+
+    Many columns are rounded as one array per number of digits: written out column by
+    column they make one method, too long for the JVM to compile, that runs interpreted."""
+    doubles: dict[int, list[str]] = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(rnd_half(F.col(f.name), (by or {}).get(f.name, digits)).alias(f.name))
+            doubles.setdefault((by or {}).get(f.name, digits), []).append(f.name)
+    many, fields = sum(map(len, doubles.values())) > FEW, df.schema.fields
+    place = {name: (d, k) for d, names in doubles.items() for k, name in enumerate(names)}
+    if many:
+        own = [F.col(f.name) for f in fields if f.name not in place]
+        df = df.select(*own, *[_rounded(F.array(*names), d).alias(f"_rounded{d}") for d, names in doubles.items()])
+    cols = []
+    for f in fields:
+        if f.name in place:
+            d, k = place[f.name]
+            cols.append((F.get(f"_rounded{d}", F.lit(k)) if many else rnd_half(F.col(f.name), d)).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
             cols.append(F.transform(F.col(f.name), lambda x: rnd_half(x, digits)).alias(f.name))
         else:
@@ -53,7 +83,7 @@ def fixture_bars(spark: SparkSession, sf_dir: str, fixture: str = "orders",
         layout = replace(forced, bar_seconds=freq_seconds(freq))
     else:
         layout = Layout.auto(ticks, bar_seconds=freq_seconds(freq))
-    return ticks_to_bars(ticks, freq), layout
+    return ticks_to_bars(ticks, freq), replace(layout, distinct=True)
 
 
 def with_layout(fn, layout: Layout):
